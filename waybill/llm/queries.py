@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from .simhash import op1_simhash
+from .url_filter import OP2_SQL, op2_url_filter
 
-QUERIES = {"op1_simhash": op1_simhash}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_url_filter": op2_url_filter,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
