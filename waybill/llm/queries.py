@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from .simhash import op1_simhash
+from .token_records import op4_token_records
 from .url_filter import OP2_SQL, op2_url_filter
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
+    "op4_token_records": op4_token_records,
 }
 
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
