@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from .mixing import op5_mixing
 from .simhash import op1_simhash
 from .token_records import op4_token_records
+from .toxicity import op3_toxicity
 from .url_filter import OP2_SQL, op2_url_filter
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
+    "op3_toxicity": op3_toxicity,
     "op4_token_records": op4_token_records,
+    "op5_mixing": op5_mixing,
 }
 
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
