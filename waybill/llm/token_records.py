@@ -1,17 +1,23 @@
 """Token ids in length-delimited binary records with a separate offset index.
 
 A data file holds one record per document, in ascending id order: the payload's length (u64), the masked checksum
-of that length (u32), the payload (ids as little-endian u32), the masked checksum of the payload (u32). The index
-beside it holds one entry per record: byte offset (u64), number of ids (u64), whether there is an id (u8) and the id
-(i64); its last four bytes are a masked checksum of all entries. A shuffled reader seeks to any record by its offset.
+of that length (u32), the payload (ids as little-endian u16 or, for vocabularies beyond 65,536 ids, u32), the masked
+checksum of the payload (u32). The index beside it holds one entry per record: byte offset (u64), number of ids (u64),
+whether there is a document id (u8) and that id (i64); its last four bytes are a masked checksum of all entries. A
+shuffled reader seeks to any record by its offset.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import struct
+import sys
+import types
 import zlib
+from array import array
+from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +30,8 @@ from .common import file_system, shared_path
 #: Fixed value: what is added to a rotated checksum, so that a checksum of data that holds checksums stays useful.
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
-#: Words whose ids a task keeps at most, some 200 bytes each; the table is emptied when full.
-MAX_CACHED_WORDS = 300_000
+#: Words whose ids a Python worker keeps at most, some 250 bytes each; further words are encoded when they come.
+MAX_CACHED_WORDS = 500_000
 #: Words up to this many characters are kept.
 MAX_CACHED_CHARS = 40
 ENTRY = np.dtype([("offset", "<u8"), ("n", "<u8"), ("known", "u1"), ("id", "<i8")])
@@ -64,99 +70,124 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: str.split() cuts at these too, which these vocabularies do not count as white space.
+NOT_SPACE = "\x1c\x1d\x1e\x1f"
+
+
 class WordEncoder:
     """Ids of whole texts, word by word: no token of these vocabularies spans white space.
 
-    Ids of frequent words are kept, so the library meets each of them once.
+    Ids of words are kept, so the library meets frequent ones once; the frequent words come early, so a full table
+    stays as it is. A final full stop or comma after an ASCII letter or digit is a token of its own.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kept = Tokenizer.from_file(vocabulary), {}
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.kept = {}
+
+    @classmethod
+    def of_worker(cls, vocabulary: str) -> WordEncoder:
+        """The encoder that this Python worker has for a vocabulary: its words stay known from task to task."""
+        home = sys.modules.setdefault("_waybill_worker", types.ModuleType("_waybill_worker"))
+        encoders = home.__dict__.setdefault("encoders", {})
+        if vocabulary not in encoders:
+            encoders[vocabulary] = cls(vocabulary)
+        return encoders[vocabulary]
+
+    @staticmethod
+    def words(text: str) -> list[str]:
+        if any(c in text for c in NOT_SPACE):
+            return re.split(r"[ \t\n\v\f\r]+", text)
+        return text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian u32 ids of each text."""
-        split = [t.translate(ONE_SPACE).split(" ") for t in texts]
-        fresh = list({w for words in split for w in words} - self.kept.keys())
-        if len(self.kept) + len(fresh) > MAX_CACHED_WORDS:
-            self.kept.clear()
-            fresh = list({w for words in split for w in words})
-        extra = {}
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            (self.kept if len(w) <= MAX_CACHED_CHARS else extra)[w] = np.array(e.ids, "<u4").tobytes()
-        if extra:
-            return [b"".join([extra[w] if w in extra else self.kept[w] for w in words]) for words in split]
-        at = self.kept.__getitem__
+        """Little-endian ids of each text, two or four bytes each as ``code`` says."""
+        split = [self.words(t) for t in texts]
+        kept = self.kept
+        fresh = {w for words in split for w in words if w not in kept}
+        if fresh:
+            stems, ended = set(), []
+            for w in fresh:
+                if len(w) > 1 and w[-1] in ".," and w[-2].isascii() and w[-2].isalnum():
+                    ended.append(w)
+                    stems |= {w[:-1], w[-1]}
+            stems |= fresh.difference(ended)
+            new = [w for w in stems if w not in kept]
+            ids = {w: array(self.code, e.ids).tobytes() for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
+            known = ChainMap(ids, kept)
+            ids |= {w: known[w[:-1]] + known[w[-1]] for w in ended}
+            room = MAX_CACHED_WORDS - len(kept)
+            rest = {}
+            for w, x in ids.items():
+                if room > 0 and len(w) <= MAX_CACHED_CHARS:
+                    kept[w] = x
+                    room -= 1
+                else:
+                    rest[w] = x
+            if rest:
+                return [b"".join([kept[w] if w in kept else rest[w] for w in words]) for words in split]
+        at = kept.__getitem__
         return [b"".join(map(at, words)) for words in split]
 
 
-#: The white space at which texts are cut; all of it separates tokens in these vocabularies.
-ONE_SPACE = dict.fromkeys(map(ord, "\t\n\v\f\r"), " ")
-
+def write_records(
+    spark: SparkSession, docs: DataFrame, vocabulary: str, url: str, id_col: str = "doc_id", text_col: str = "text",
+    end_id: int | None = END_ID, files: int | None = None,
+) -> list[dict]:
+    """Encode ``docs`` and write the records under ``url`` in ascending id order; returns the manifest, one entry per file.
 
-def tokenize(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = END_ID) -> DataFrame:
-    """``id_col`` and ``ids`` (binary, little-endian u32) of every row; a null text counts as empty."""
-    rows = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    end = b"" if end_id is None else struct.pack("<I", end_id)
-
-    def run(batches):
-        encoder = WordEncoder(vocabulary)
-        for batch in batches:
-            step = 256
-            for i in range(0, batch.num_rows, step):
-                part = batch.slice(i, step)
-                ids = [x + end for x in encoder.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], [id_col, "ids"])
-
-    return rows.mapInArrow(run, T.StructType([rows.schema[0], T.StructField("ids", T.BinaryType())]))
-
-
-def write_records(spark: SparkSession, tokens: DataFrame, url: str, id_col: str = "doc_id", files: int | None = None) -> list[dict]:
-    """Write ``id_col, ids`` to files in ascending id order under ``url``; returns the manifest, one entry per file.
-
-    Rows without an id come first; rows that repeat an id are ordered by their bytes. A task writes under a name of
-    its own attempt and the manifest names the attempts that counted, so a lost executor's files are never read.
-    The manifest (one entry per file, not per document) is written last, as ``manifest.json``.
+    Rows without an id come first; rows that repeat an id are ordered by their texts. Texts are dealt out by ranges of
+    (id, checksum of the text), so that each is encoded once, where it is written, and an id that many rows share has
+    many tasks. A task writes under a name of its own attempt and the manifest names the attempts that counted, so a
+    lost executor's files are never read. The manifest (one entry per file, not per document) is written last.
     """
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(id_col).asc_nulls_first(), F.crc32("ids"), F.col("ids")]
-    parts = tokens.repartitionByRange(n, *order[:2]).sortWithinPartitions(*order)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("check", F.crc32(F.col("text").cast("binary")))
+    order = [F.col("id").asc_nulls_first(), F.col("check")]
+    parts = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "text").select("id", "text")
 
     def run(batches):
         import uuid
 
         from pyspark import TaskContext
 
+        encoder = WordEncoder.of_worker(vocabulary)
+        end = b"" if end_id is None else array(encoder.code, [end_id]).tobytes()
+        size = len(array(encoder.code, [0]).tobytes())
         fs, root = file_system(url)
         task = TaskContext.get()
         part = task.partitionId() if task else 0
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         fs.create_dir(root, recursive=True)
-        entries, offset, records, ids = [], 0, 0, 0
+        entries, offset, ids = [], 0, 0
         with fs.open_output_stream(f"{root}/{name}.records") as out:
             for batch in batches:
-                keys, payloads = batch.column(0).to_pylist(), batch.column(1)
-                block = np.zeros(batch.num_rows, ENTRY)
-                for i, key in enumerate(keys):
-                    payload = payloads[i].as_py()
-                    block[i] = (offset, len(payload) // 4, key is not None, key or 0)
-                    out.write(record := frame(payload))
-                    offset += len(record)
-                    ids += len(payload) // 4
-                records += batch.num_rows
-                entries.append(block.tobytes())
+                for a in range(0, batch.num_rows, 256):
+                    keys = batch.column(0).slice(a, 256).to_pylist()
+                    block = np.zeros(len(keys), ENTRY)
+                    for i, payload in enumerate(encoder.encode(batch.column(1).slice(a, 256).to_pylist())):
+                        payload += end
+                        block[i] = (offset, len(payload) // size, keys[i] is not None, keys[i] or 0)
+                        out.write(record := frame(payload))
+                        offset += len(record)
+                        ids += len(payload) // size
+                    entries.append(block.tobytes())
         index = b"".join(entries)
         with fs.open_output_stream(f"{root}/{name}.index") as out:
             out.write(index + struct.pack("<I", masked(index)))
-        yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([name]), pa.array([records]), pa.array([ids]), pa.array([offset])], ["part", "name", "records", "ids", "bytes"])
+        row = [part, name, len(index) // ENTRY.itemsize, ids, offset, size]
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["part", "name", "records", "ids", "bytes", "size"])
 
-    done = parts.mapInArrow(run, "part long, name string, records long, ids long, bytes long").collect()
+    done = parts.mapInArrow(run, "part long, name string, records long, ids long, bytes long, size long").collect()
     manifest, start = [], 0
     for r in sorted(done, key=lambda r: r["part"]):
         if r["records"]:
-            manifest.append({"name": r["name"], "records": r["records"], "ids": r["ids"], "bytes": r["bytes"], "start": start})
+            manifest.append({k: r[k] for k in ("name", "records", "ids", "bytes", "size")} | {"start": start})
             start += r["ids"]
     fs, root = file_system(url)
     fs.create_dir(root, recursive=True)
@@ -176,31 +207,33 @@ def read_index(fs, path: str) -> np.ndarray:
 def read_records(spark: SparkSession, url: str, id_col: str = "doc_id") -> DataFrame:
     """``id_col, start, ids`` of every record under ``url``: ``start`` counts the ids of all records before it.
 
+    ``ids`` is binary, little-endian u32 whatever the files hold.
+
     One task per file; a file is read record by record. Every checksum is verified.
     """
     fs, root = file_system(url)
     with fs.open_input_stream(f"{root}/manifest.json") as f:
         manifest = json.loads(f.read())
-    files = spark.createDataFrame([(m["name"], m["start"]) for m in manifest], "name string, start long")
+    files = spark.createDataFrame([(m["name"], m["start"], m["size"]) for m in manifest], "name string, start long, size int")
     files = files.repartition(max(1, len(manifest)), "name")
 
     def run(batches):
         fs, root = file_system(url)
         for batch in batches:
-            for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for name, start, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 index = read_index(fs, f"{root}/{name}.index")
                 ids = [int(k) if known else None for k, known in zip(index["id"], index["known"], strict=True)]
                 starts = start + np.r_[0, np.cumsum(index["n"].astype(np.int64))[:-1]]
                 with fs.open_input_stream(f"{root}/{name}.records") as f:
                     for a in range(0, len(index), 512):
                         block = index[a : a + 512]
-                        data = f.read(int(block["n"].sum() * 4 + 16 * len(block)))
+                        data = f.read(int(block["n"].sum() * size + 16 * len(block)))
                         at, payloads = 0, []
                         for n in block["n"]:
                             payload, at = unframe(data, at)
-                            if len(payload) != 4 * int(n):
+                            if len(payload) != size * int(n):
                                 raise CorruptRecord(f"{name}: a record's length differs from the index")
-                            payloads.append(payload)
+                            payloads.append(np.frombuffer(payload, f"<u{size}").astype("<u4").tobytes())
                         yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + 512], pa.int64()), pa.array(starts[a : a + 512]), pa.array(payloads, pa.binary())], [id_col, "start", "ids"])
 
     return files.mapInArrow(run, T.StructType([T.StructField(id_col, T.LongType()), T.StructField("start", T.LongType()), T.StructField("ids", T.BinaryType())]))
@@ -213,12 +246,12 @@ def read_shuffled(url: str, seed: int = 0):
         manifest = json.loads(f.read())
     rnd = np.random.default_rng(seed)
     for m in rnd.permutation(len(manifest)):
-        name = manifest[m]["name"]
+        name, size = manifest[m]["name"], manifest[m]["size"]
         index = read_index(fs, f"{root}/{name}.index")
         with fs.open_input_file(f"{root}/{name}.records") as f:
             for i in rnd.permutation(len(index)):
-                data = f.read_at(int(index["n"][i]) * 4 + 16, int(index["offset"][i]))
-                yield (int(index["id"][i]) if index["known"][i] else None), np.frombuffer(unframe(data)[0], "<u4")
+                data = f.read_at(int(index["n"][i]) * size + 16, int(index["offset"][i]))
+                yield (int(index["id"][i]) if index["known"][i] else None), np.frombuffer(unframe(data)[0], f"<u{size}").astype("<u4")
 
 
 def token_records(spark: SparkSession, docs: DataFrame, vocabulary: str, url: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = END_ID) -> DataFrame:
@@ -228,7 +261,7 @@ def token_records(spark: SparkSession, docs: DataFrame, vocabulary: str, url: st
     gives an empty manifest and no rows. Other columns are not read.
     """
     url = url or shared_path(spark, "records")
-    write_records(spark, tokenize(docs, vocabulary, id_col, text_col, end_id), url, id_col)
+    write_records(spark, docs, vocabulary, url, id_col, text_col, end_id)
     return read_records(spark, url, id_col)
 
 
