@@ -7,6 +7,7 @@ from .simhash import op1_simhash
 from .token_records import op4_token_records
 from .toxicity import op3_toxicity
 from .url_filter import OP2_SQL, op2_url_filter
+from .warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_token_records": op4_token_records,
     "op5_mixing": op5_mixing,
+    "op9_warc": op9_warc,
 }
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_warc": OP9_SQL}
