@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .mixing import op5_mixing
+from .quality_rules import op10_quality_rules
 from .simhash import op1_simhash
 from .token_records import op4_token_records
 from .toxicity import op3_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_token_records": op4_token_records,
     "op5_mixing": op5_mixing,
     "op9_warc": op9_warc,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_warc": OP9_SQL}
