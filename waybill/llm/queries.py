@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import OP7_SQL, op7_decontaminate
 from .mixing import op5_mixing
 from .quality_rules import op10_quality_rules
 from .simhash import op1_simhash
@@ -16,8 +17,9 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_token_records": op4_token_records,
     "op5_mixing": op5_mixing,
+    "op7_decontaminate": op7_decontaminate,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_warc": OP9_SQL}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op7_decontaminate": OP7_SQL, "op9_warc": OP9_SQL}
