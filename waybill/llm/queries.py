@@ -6,6 +6,7 @@ from .decontaminate import OP7_SQL, op7_decontaminate
 from .mixing import op5_mixing
 from .quality_rules import op10_quality_rules
 from .simhash import op1_simhash
+from .suffix_dedup import op6_suffix_dedup
 from .token_records import op4_token_records
 from .toxicity import op3_toxicity
 from .url_filter import OP2_SQL, op2_url_filter
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_token_records": op4_token_records,
     "op5_mixing": op5_mixing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
