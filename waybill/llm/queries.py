@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP7_SQL, op7_decontaminate
 from .mixing import op5_mixing
+from .pii import op8_pii
 from .quality_rules import op10_quality_rules
 from .simhash import op1_simhash
 from .suffix_dedup import op6_suffix_dedup
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op8_pii": op8_pii,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
 }
