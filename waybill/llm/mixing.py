@@ -24,6 +24,8 @@ CAP = 2.0
 STEPS = 100
 #: Cells (a source and a size) up to this number, of 50 bytes each, are broadcast; more are joined by shuffle.
 MAX_BROADCAST_CELLS = 200_000
+#: Documents up to this number (50 bytes each) are broadcast to their texts; more are joined by shuffle.
+MAX_BROADCAST_ROWS = 1_500_000
 #: Documents of a (source, size, slice) cell that one task ranks are about this many; larger cells have more slices.
 CELL = 20_000
 
@@ -157,6 +159,26 @@ def _whole_copies(cells: pd.DataFrame) -> pd.DataFrame:
     return cells[["number", "size", "n", "rate", "base", "extra"]]
 
 
+def mixed_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` copies them, with all their columns.
+
+    Rows that repeat id, text and source are taken together: the first of them stands for all their copies.
+    """
+    mixed = mix(spark, docs, id_col=id_col, text_col=text_col, **settings)
+    source = settings.get("source_col", "source")
+    keys = [F.col(id_col).alias("__id"), F.col(source).cast("string").alias("__source"), F.col("text_hash").alias("__tie")]
+    taken = mixed.groupBy(*keys).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n"))
+    taken = staged(spark, taken, "taken")
+    small = F.broadcast(taken) if taken.count() <= MAX_BROADCAST_ROWS else taken
+    tie = F.coalesce(F.xxhash64(text_col), F.lit(0))
+    same = docs[id_col].eqNullSafe(small["__id"]) & docs[source].cast("string").eqNullSafe(small["__source"]) & (tie == small["__tie"])
+    joined = docs.join(small, same)
+    if not taken.where("__n > 1").isEmpty():
+        joined = joined.where("__n = 1").unionAll(joined.where("__n > 1").dropDuplicates(["__id", "__source", "__tie"]))
+    copies = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
+    return joined.where("__copies > 0").withColumn("__copy", copies).select(*docs.columns)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     mixed = mix(spark, docs)

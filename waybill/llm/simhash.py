@@ -20,6 +20,8 @@ from .common import components, flat_components, staged
 BUCKET = 4096
 #: Hot keys up to this number are broadcast (16 bytes each); more are joined by shuffle.
 MAX_BROADCAST_KEYS = 100_000
+#: Documents that stay, up to this number (16 bytes each), are broadcast; more are joined by shuffle.
+MAX_BROADCAST_ROWS = 2_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
@@ -41,16 +43,17 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int(ones.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """``id_col`` and ``fp`` (the fingerprint's bits as a signed long) of every row."""
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns (``id_col`` unless given) and ``_fp`` (the fingerprint's bits as a signed long) of every row."""
+    keep = keep or [id_col]
+    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), T.StructField("_fp", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], [id_col, "fp"])
+            prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(len(keep))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(prints.view(np.int64))], schema.names)
 
-    schema = T.StructType([rows.schema[0], T.StructField("fp", T.LongType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -165,6 +168,14 @@ def links(spark: SparkSession, prints: DataFrame, max_bits: int = 4, bucket: int
     return parts.mapInArrow(_bucket_links(max_bits), "a long, b long").distinct()
 
 
+def _classes(spark: SparkSession, prints: DataFrame, id_col: str, max_bits: int, bucket: int) -> DataFrame:
+    """``fp, _rep`` (smallest id of the fingerprint) and ``_root`` (its class) of every fingerprint of ``prints``."""
+    nodes = staged(spark, prints.groupBy(F.col("_fp").alias("fp")).agg(F.min(id_col).alias("_rep")), "nodes")
+    found = components(spark, links(spark, nodes, max_bits, bucket))
+    placed = nodes.join(found, nodes["fp"] == found["node"], "left")
+    return placed.select("fp", "_rep", F.coalesce("root", "fp").alias("_root"))
+
+
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
     max_bits: int = 4, bucket: int = BUCKET,
@@ -176,13 +187,32 @@ def near_duplicates(
     table gives an empty result. Other columns of ``docs`` are not read.
     """
     prints = staged(spark, fingerprints(docs, id_col, text_col, shingle), "prints")
-    nodes = staged(spark, prints.groupBy("fp").agg(F.min(id_col).alias("_rep")), "nodes")
-    found = components(spark, links(spark, nodes, max_bits, bucket))
-    placed = nodes.join(found, nodes["fp"] == found["node"], "left")
-    placed = placed.select("fp", "_rep", F.coalesce("root", "fp").alias("_root"))
+    placed = _classes(spark, prints, id_col, max_bits, bucket)
     classes = placed.groupBy("_root").agg(F.min("_rep").alias("component_id"))
     placed = placed.join(classes, "_root").select("fp", "component_id")
-    return prints.join(placed, "fp").select(id_col, "fp", "component_id")
+    return prints.withColumnRenamed("_fp", "fp").join(placed, "fp").select(id_col, "fp", "component_id")
+
+
+def keep_one(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+    max_bits: int = 4, bucket: int = BUCKET,
+) -> DataFrame:
+    """The rows of ``docs`` that stay when each class of near-duplicates keeps the one with the smallest id.
+
+    A null id comes last; of rows that repeat the winning id with the same fingerprint one stays.
+    """
+    prints = staged(spark, fingerprints(docs, id_col, text_col, shingle), "prints")
+    placed = _classes(spark, prints, id_col, max_bits, bucket)
+    order = F.struct(F.col("_rep").isNull().alias("none"), F.col("_rep").alias("id"), F.col("fp"))
+    winners = placed.groupBy("_root").agg(F.min(order).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_wfp"))
+    winners = staged(spark, winners, "winners")
+    rows = fingerprints(docs, id_col, text_col, shingle, docs.columns)
+    small = F.broadcast(winners) if winners.count() <= MAX_BROADCAST_ROWS else winners
+    kept = rows.join(small, (rows["_fp"] == small["_wfp"]) & rows[id_col].eqNullSafe(small["_id"]), "left_semi")
+    repeated = prints.join(small, (prints["_fp"] == small["_wfp"]) & prints[id_col].eqNullSafe(small["_id"]), "left_semi")
+    if not repeated.groupBy(id_col, "_fp").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, "_fp"])
+    return kept.select(*docs.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

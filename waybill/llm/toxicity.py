@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -214,25 +215,28 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
     return Model(terms, idf, full, base_rate, blank_rate)
 
 
-def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, score, neighbours, cosines`` for every row: evidence lists are empty where no vocabulary term occurs.
+def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns (``doc_id`` unless given) and ``score, neighbours, cosines`` for every row.
 
-    Null and empty texts get the rate of the labelled rows without vocabulary terms. Other columns are not read.
+    ``neighbours`` are ids of labelled examples and ``cosines`` their nearness; both are empty where no vocabulary term
+    occurs. Null and empty texts get the rate of the labelled rows without vocabulary terms. Other columns are not read.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType
+    keep = keep or ["doc_id"]
+    rows = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("__text"))
+    kind = docs.schema["doc_id"].dataType
+    fields = [*rows.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(kind)), T.StructField("cosines", T.ArrayType(T.DoubleType()))]
+    schema = T.StructType(fields)
+    listed = to_arrow_type(T.ArrayType(kind))
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            scored = [model.score(t.as_py()) for t in batch.column(1)]
+            scored = [model.score(t.as_py()) for t in batch.column(len(keep))]
+            names = pa.array([s[1] for s in scored], listed)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([s[0] for s in scored], pa.float64()), pa.array([s[1] for s in scored], pa.list_(ids.type)), pa.array([s[2] for s in scored], pa.list_(pa.float64()))],
-                ["doc_id", "score", "neighbours", "cosines"],
+                [*batch.columns[: len(keep)], pa.array([s[0] for s in scored], pa.float64()), names, pa.array([s[2] for s in scored], pa.list_(pa.float64()))], schema.names
             )
 
-    fields = [rows.schema["doc_id"], T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(kind)), T.StructField("cosines", T.ArrayType(T.DoubleType()))]
-    return rows.mapInArrow(run, T.StructType(fields))
+    return rows.mapInArrow(run, schema)
 
 
 def held_out() -> Column:
