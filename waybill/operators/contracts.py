@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 @dataclass(frozen=True)
 class Check:
-    """A named check; ``columns`` are its arguments and ``null_columns`` the cells it nulls (the column, unless given)."""
+    """A named check; ``columns`` are its arguments (the column, unless given), ``null_columns`` the cells it nulls (its arguments)."""
 
     check: str
     reason: str

@@ -84,18 +84,22 @@ def validate(df: DataFrame, contract: TableContract) -> DataFrame:
     for spec in contract.plain:
         for v in spec.validations:
             columns = list(v.columns or (spec.name,))
-            if missing := [c for c in columns if c not in df.columns]:
-                raise ContractError(f"{contract.table_name}: check {v.check} needs {', '.join(missing)}")
+            missing = [c for c in columns if c not in df.columns]
+            targets = [c for c in v.null_columns or columns if c in df.columns]
             if v.check == "unique":
+                if missing:
+                    continue
                 helper = f"__unique_{v.reason}"
                 helpers[helper] = first_of_group(df, columns, list(contract.keys) or columns)
                 ok = unique[v.reason] = F.col(helper)
-                later += [(c, ok) for c in v.null_columns or (spec.name,)]
+                later += [(c, ok) for c in targets]
                 continue
             if v.check not in CHECKS:
                 raise ContractError(f"{contract.table_name}: no check named {v.check}")
+            if missing:
+                raise ContractError(f"{contract.table_name}: check {v.check} needs {', '.join(missing)}")
             ok = failures[v.reason] = F.coalesce(CHECKS[v.check](*(F.col(c) for c in columns)), F.lit(False))
-            for c in v.null_columns or (spec.name,):
+            for c in targets:
                 nulling.setdefault(c, []).append(ok)
     for c, ok in later:
         nulling.setdefault(c, []).append(ok)
