@@ -210,8 +210,13 @@ def _agreement(pairs: list[tuple[int, int]]) -> float:
 
 
 def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", max_texts: int = MAX_TEXTS) -> Field:
-    """Field from ``max_texts`` texts at most that hold digits or an @, in order of their hashes."""
+    """Field from ``max_texts`` distinct texts at most that hold digits or an @, in order of their hashes.
+
+    A text counts by its first MAX_TOKENS tokens, so that long ones carry no more than their share.
+    """
     rows = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
+    hashed = rows.select(F.xxhash64("text").alias("h"), "text")
+    last = hashed.select("h").distinct().orderBy("h").limit(max_texts).agg(F.max("h")).first()[0]  # texts stay where they are
 
     def labelled(batches):
         for batch in batches:
@@ -224,9 +229,9 @@ def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", max_texts:
             kind = pa.struct([("x", pa.list_(pa.float64())), ("y", pa.list_(pa.int32())), ("chain", pa.list_(pa.int32())), ("skip", pa.list_(pa.int32()))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["h", "g"])
 
-    # long texts carry no more than their share: a text counts by its tokens up to MAX_TOKENS
-    chosen = rows.select(F.xxhash64("text").alias("h"), "text").orderBy("h").limit(max_texts)
-    got = chosen.mapInArrow(labelled, "h long, g struct<x:array<double>,y:array<int>,chain:array<int>,skip:array<int>>").collect()
+    chosen = hashed.where(F.col("h") <= F.lit(last)) if last is not None else hashed.limit(0)
+    made = chosen.mapInArrow(labelled, "h long, g struct<x:array<double>,y:array<int>,chain:array<int>,skip:array<int>>")
+    got = made.groupBy("h").agg(F.first("g").alias("g")).collect()
     got = [r["g"] for r in sorted(got, key=lambda r: r["h"])]
     x = np.array([v for g in got for v in g["x"]]).reshape(-1, FEATURES)
     y = np.array([v for g in got for v in g["y"]], int)
