@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline as cp
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.test_decontaminate import brute as brute_hits
@@ -48,8 +49,12 @@ def test_odd_rows(spark):
     schema = spark.read.parquet(f"{DIR}/documents.parquet").schema
     odd = [(1, None, None, None, None), (1, None, None, None, None), (None, "a b c d e", "en", "s", 3), (2, "", "en", "s", 0), (3, "some words " * 40, "en", None, 9), (3, "some words " * 40, "en", None, 9)]
     docs = spark.createDataFrame(odd, schema)
+    for i, name in enumerate(["score", "spans", "_fp", "copies", "__n", "a.b"]):
+        docs = docs.withColumn(name, F.lit(i))
+    columns = docs.columns
     for _, f in cp.STAGES[:-1]:
         docs = f(spark, docs, DIR)
+        assert docs.columns == columns
     assert sorted((str(r["doc_id"]), r["text"]) for r in docs.collect() if r["text"]) == [("3", "some words " * 40)] * sum(r["doc_id"] == 3 for r in docs.collect()) + [("None", "a b c d e")] * sum(r["doc_id"] is None for r in docs.collect())
     out = cp.write_tokens(spark, docs, DIR).collect()
     assert len(out) == docs.count()

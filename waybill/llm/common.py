@@ -56,6 +56,12 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame, own: tuple[str, ...]):
+    """(``docs`` with every column but ``own`` under a name no operator uses, a function that gives the names back)."""
+    names = {c: c if c in own else f"__carried_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), lambda df: df.select(*(F.col(f"`{n}`").alias(c) for c, n in names.items()))
+
+
 def file_system(url: str):
     """(pyarrow file system, path) of a folder named by URL or by an absolute path."""
     from pyarrow import fs
@@ -105,11 +111,17 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         row = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return tuple(row)
 
-    now = staged(spark, edges.select("a", "b").where("a <> b"), "links")
+    def written(pairs: DataFrame) -> tuple[DataFrame, str]:
+        path = shared_path(spark, "links")
+        pairs.write.parquet(path)
+        return spark.read.schema(pairs.schema).parquet(path), path
+
+    now, path = written(edges.select("a", "b").where("a <> b"))
     before = None
     while (after := state(now))[0] and after != before:
-        before = after
-        now = staged(spark, stars(stars(now, True), False), "links")
+        before, old = after, path
+        now, path = written(stars(stars(now, True), False))
+        remove(spark, old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
