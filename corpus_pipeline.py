@@ -7,30 +7,37 @@ from pyspark.sql import functions as F
 
 from waybill.llm import decontaminate, mixing, simhash, toxicity
 from waybill.llm import token_records as records
-from waybill.llm.common import shared_path, staged
+from waybill.llm.common import carried, shared_path, staged
+
+
+OWN = ("doc_id", "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half; labels that are not held out teach the scores."""
-    scored = toxicity.score(spark, docs, toxicity.learn(spark, docs, sf_dir), docs.columns)
-    return scored.where(F.col("score") < 0.5).select(*docs.columns)
+    rows, named = carried(docs, OWN)
+    scored = toxicity.score(spark, rows, toxicity.learn(spark, docs, sf_dir), rows.columns)
+    return named(scored.where(F.col("score") < 0.5))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one with the smallest id."""
-    return simhash.keep_one(spark, docs)
+    rows, named = carried(docs, OWN)
+    return named(simhash.keep_one(spark, rows))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_contamination(spark, docs, benchmark, keep=docs.columns)
-    return found.where(F.size("spans") == 0).select(*docs.columns)
+    rows, named = carried(docs, OWN)
+    found = decontaminate.find_contamination(spark, rows, benchmark, keep=rows.columns)
+    return named(found.where(F.size("spans") == 0))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in as many copies as the mix of sources takes of them."""
-    return mixing.mixed_rows(spark, docs)
+    rows, named = carried(docs, (*OWN, "source"))
+    return named(mixing.mixed_rows(spark, rows))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
