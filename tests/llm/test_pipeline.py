@@ -3,12 +3,13 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline as cp
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.test_decontaminate import brute as brute_hits
 from tests.llm.test_simhash import brute_classes
-from waybill.llm import mixing, token_records, toxicity
+from waybill.llm import mixing, simhash, token_records, toxicity
 
 DIR = "/root/testdata/sf0.01"
 
@@ -45,7 +46,12 @@ def test_stages_against_plain_versions(spark):
     assert sorted(map(tuple, cp.run(spark, DIR).collect()), key=lambda r: r[1]) == want
 
 
-def test_odd_rows(spark):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_odd_rows(spark, monkeypatch, shuffled):
+    if shuffled:
+        for module, name in ((simhash, "MAX_BROADCAST_ROWS"), (mixing, "MAX_BROADCAST_ROWS"), (mixing, "MAX_BROADCAST_CELLS"), (toxicity, "MAX_BROADCAST_LABELS")):
+            monkeypatch.setattr(module, name, -1)
+
     schema = spark.read.parquet(f"{DIR}/documents.parquet").schema
     odd = [(1, None, None, None, None), (1, None, None, None, None), (None, "a b c d e", "en", "s", 3), (2, "", "en", "s", 0), (3, "some words " * 40, "en", None, 9), (3, "some words " * 40, "en", None, 9)]
     docs = spark.createDataFrame(odd, schema)

@@ -56,6 +56,12 @@ def test_against_brute_force(spark):
     assert got(spark, texts, shard_contexts=2, chunk=300) == want
 
 
+def test_shuffled_joins_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(sd, "MAX_BROADCAST_ROWS", -1)
+    texts = fixture()
+    assert got(spark, texts) == sorted((str(None if i == 4 else i // 2 * 2), *x) for i, x in enumerate(brute(texts, 64)))
+
+
 def test_orders_and_prefixes():
     rnd = random.Random(1)
     texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(40, 60))) for _ in range(30)] + [b"a" * 45]

@@ -16,7 +16,9 @@ def archives(spark, tmp_path, rows=ROWS):
     return url
 
 
-def test_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("limit", [200_000, -1])
+def test_round_trip(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(warc, "MAX_BROADCAST_DIGESTS", limit)
     out = warc.read_warc(spark, archives(spark, tmp_path)).collect()
     assert len(out) == len(ROWS)
     firsts = {}
