@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import re
+import sys
 import tempfile
 import uuid
 
@@ -56,6 +57,24 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch on its way to Python and back; a batch is in memory up to four times.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to send Python batches of BATCH_BYTES at most; smaller settings stay."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    now = re.fullmatch(r"(\d+)b?", conf.get(key))
+    if not now or int(now[1]) > BATCH_BYTES:
+        conf.set(key, f"{BATCH_BYTES}b")
+    return df
+
+
+def free_worker() -> None:
+    """Let go of what an earlier operator keeps in this Python worker from task to task."""
+    sys.modules.pop("_waybill_worker", None)
+
+
 def carried(docs: DataFrame, own: tuple[str, ...]):
     """(``docs`` with every column but ``own`` under a name no operator uses, a function that gives the names back)."""
     names = {c: c if c in own else f"__carried_{i}" for i, c in enumerate(docs.columns)}

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import free_worker, small_batches
+
 #: Words of a window, and of a winnowed k-gram.
 WORDS, GRAM = 10, 5
 #: Words of all items that a task holds at once (some 100 bytes each); larger benchmarks are taken in blocks.
@@ -30,7 +32,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Numbers(dict):
     """A 64-bit number for every word met, made from the word's bytes alone."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
@@ -138,13 +140,14 @@ def find_contamination(
     and hits of earlier blocks are carried along with their row.
     """
     keep = keep or [id_col]
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
+    rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text")))
     rows = rows.withColumns({"__n": F.lit(0).cast("long"), "__runs": F.expr("cast(array() as array<long>)"), "__items": F.expr("cast(array() as array<string>)")})
 
     def passed(rows: DataFrame, items: list) -> DataFrame:
         schema = rows.schema
 
         def run(batches):
+            free_worker()
             numbers, held = Numbers(), Benchmark(items, words, k)
             for batch in batches:
                 lead = len(keep)

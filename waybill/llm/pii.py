@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 #: Kinds in the order in which equal starts are listed; label 0 is none.
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
@@ -246,7 +248,7 @@ def find_pii(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: st
 
     Offsets are code points, ends exclusive; a null text is empty. Other columns are not read.
     """
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    rows = small_batches(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def run(batches):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, flat_components, staged
+from .common import components, flat_components, free_worker, small_batches, staged
 
 #: Members of a bucket that one task compares; larger buckets are cut into tiles of two blocks.
 BUCKET = 4096
@@ -46,10 +46,11 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (``id_col`` unless given) and ``_fp`` (the fingerprint's bits as a signed long) of every row."""
     keep = keep or [id_col]
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
+    rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text")))
     schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), T.StructField("_fp", T.LongType())])
 
     def run(batches):
+        free_worker()
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(len(keep))], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(prints.view(np.int64))], schema.names)

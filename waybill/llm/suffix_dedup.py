@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import small_batches, staged
 
 LENGTH = 400
 #: Contexts of one key in a shard, about, and bytes of contexts sorted at once.
@@ -281,7 +281,7 @@ def remove_repeats(
     result. Other columns are not read.
     """
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).alias("id"), body.alias("body"))
+    rows = small_batches(docs.select(F.col(id_col).alias("id"), body.alias("body")))
     rows = rows.withColumn("tid", F.unhex(F.md5("body")))
     copies = rows.select("tid", "id").groupBy("tid").agg(F.count("*").alias("n"), F.min("id").alias("rep")).where("n > 1")
     copies = staged(spark, copies, "copies")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import file_system, shared_path
+from .common import file_system, shared_path, small_batches
 
 #: Fixed value: what is added to a rotated checksum, so that a checksum of data that holds checksums stays useful.
 MASK_DELTA = 0xA282EAD8
@@ -146,6 +146,7 @@ def write_records(
     lost executor's files are never read. The manifest (one entry per file, not per document) is written last.
     """
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = small_batches(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("check", F.crc32(F.col("text").cast("binary")))
     order = [F.col("id").asc_nulls_first(), F.col("check")]

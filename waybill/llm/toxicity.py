@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import free_worker, small_batches
+
 WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 #: A vocabulary term is in this share of the toxic rows at least, and in MIN_ROWS. Rows have a bounded number of terms,
@@ -145,15 +147,16 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
     Null ids and labels teach nothing; an id that repeats among the labels counts once, as toxic if any row says so;
     rows of ``docs`` that repeat an id are examples each. Without labelled rows every score is 0.5.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     labels = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
 
     def count_all(batches):
+        free_worker()
         tally: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
                 tally.update(term_counts(text.as_py()).keys())
-            if len(tally) > 500_000:
+            if len(tally) > 200_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(tally)), pa.array(list(tally.values()), pa.int64())], ["term", "n"])
                 tally.clear()
         yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], ["term", "n"])
@@ -222,13 +225,14 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] |
     occurs. Null and empty texts get the rate of the labelled rows without vocabulary terms. Other columns are not read.
     """
     keep = keep or ["doc_id"]
-    rows = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("__text"))
+    rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("__text")))
     kind = docs.schema["doc_id"].dataType
     fields = [*rows.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(kind)), T.StructField("cosines", T.ArrayType(T.DoubleType()))]
     schema = T.StructType(fields)
     listed = to_arrow_type(T.ArrayType(kind))
 
     def run(batches):
+        free_worker()
         for batch in batches:
             scored = [model.score(t.as_py()) for t in batch.column(len(keep))]
             names = pa.array([s[1] for s in scored], listed)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, In, InputPartition, IsNotNull, StringContains, StringEndsWith, StringStartsWith
 
-from .common import file_system, shared_path, staged
+from .common import file_system, shared_path, small_batches, staged
 
 FORMAT = "waybill_warc"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -179,7 +179,7 @@ def write_warc(spark: SparkSession, pages: DataFrame, url: str, id_col: str = "p
     write under names of their attempts, so a lost executor's files are not listed.
     """
     body = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
+    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
     rows = rows.withColumn("digest", F.sha2("body", 256))
     repeated = rows.where(F.length("body") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     repeated = staged(spark, repeated.where("n > 1").select("digest", "first"), "digests")
