@@ -21,6 +21,16 @@ def test_words_encode_like_whole_texts():
         assert list(struct.unpack(f"<{len(got) // 2}H", got)) == want, text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_any_vocabulary(name):
+    path = tr.vocabulary_path(name)
+    t, enc = Tokenizer.from_file(path), tr.WordEncoder(path)
+    assert enc.by_word == name.startswith("word")
+    texts = ["The  Cat, sat.\nON it <|ENDOFTEXT|> <|endoftext|>", "\xc9COLE \xdf \u0130x \xb5 \u01c5 ", "don't Stop.", ""]
+    for got, text in zip(enc.encode(texts), texts, strict=True):
+        assert list(struct.unpack(f"<{len(got) // 2}H", got)) == t.encode(text, add_special_tokens=False).ids
+
+
 def test_full_cache_stays_right(monkeypatch):
     monkeypatch.setattr(tr, "MAX_CACHED_WORDS", 3)
     enc = tr.WordEncoder(VOCAB)

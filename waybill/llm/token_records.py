@@ -31,7 +31,7 @@ from .common import file_system, shared_path, small_batches
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
 #: Words whose ids a Python worker keeps at most, some 250 bytes each; further words are encoded when they come.
-MAX_CACHED_WORDS = 500_000
+MAX_CACHED_WORDS = 400_000
 #: Words up to this many characters are kept.
 MAX_CACHED_CHARS = 40
 ENTRY = np.dtype([("offset", "<u8"), ("n", "<u8"), ("known", "u1"), ("id", "<i8")])
@@ -75,10 +75,11 @@ NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 class WordEncoder:
-    """Ids of whole texts, word by word: no token of these vocabularies spans white space.
+    """Ids of whole texts, word by word where no token of the vocabulary spans white space, else text by text.
 
     Ids of words are kept, so the library meets frequent ones once; the frequent words come early, so a full table
-    stays as it is. A final full stop or comma after an ASCII letter or digit is a token of its own.
+    stays as it is. Latin letters are asked for in lower case, many words at once, where the vocabulary ignores case;
+    a final full stop or comma after an ASCII letter or digit is a token of its own.
     """
 
     def __init__(self, vocabulary: str):
@@ -86,8 +87,34 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        size = self.tokenizer.get_vocab_size()
+        self.code = "H" if size <= 1 << 16 else "I"
         self.kept = {}
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.by_word = ids(" a.b\n\tcd, e  ") == ids("a.b") + ids("cd,") + ids("e") and ids("cd.") == ids("cd") + ids(".")
+        self.folds = ids("A\xc9 b") == ids("a\xe9 b")
+        self.last = np.zeros(size, bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.last[i] = token.endswith("</w>")
+
+    def _ids_of(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words. Words of Latin letters are encoded together and cut at the tokens that end one."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if w.isalpha() and max(w) < "\u0250"]
+        size = np.dtype(f"u{array(self.code).itemsize}").itemsize
+        for a in range(0, len(plain), 1000):
+            part = plain[a : a + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
+            cuts = (np.flatnonzero(self.last[ids]) + 1) * size
+            if len(cuts) == len(part) and cuts[-1] == len(ids) * size:
+                data, start = ids.astype(f"<u{size}").tobytes(), 0
+                for w, end in zip(part, cuts.tolist(), strict=True):
+                    out[w] = data[start:end]
+                    start = end
+        rest = [w for w in words if w not in out]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[w] = array(self.code, e.ids).tobytes()
+        return out
 
     @classmethod
     def of_worker(cls, vocabulary: str) -> WordEncoder:
@@ -106,20 +133,27 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, two or four bytes each as ``code`` says."""
+        if not self.by_word:
+            return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [self.words(t) for t in texts]
         kept = self.kept
         fresh = {w for words in split for w in words if w not in kept}
         if fresh:
-            stems, ended = set(), []
+            stems, made_of = set(), {}
             for w in fresh:
+                tail = ""
+                stem = w
                 if len(w) > 1 and w[-1] in ".," and w[-2].isascii() and w[-2].isalnum():
-                    ended.append(w)
-                    stems |= {w[:-1], w[-1]}
-            stems |= fresh.difference(ended)
-            new = [w for w in stems if w not in kept]
-            ids = {w: array(self.code, e.ids).tobytes() for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
+                    stem, tail = w[:-1], w[-1]
+                    stems.add(tail)
+                if self.folds and stem.isalpha() and max(stem) < "\u0100":
+                    stem = stem.lower()
+                stems.add(stem)
+                if stem != w:
+                    made_of[w] = (stem, tail)
+            ids = self._ids_of([w for w in stems if w not in kept])
             known = ChainMap(ids, kept)
-            ids |= {w: known[w[:-1]] + known[w[-1]] for w in ended}
+            ids |= {w: known[stem] + known[tail] if tail else known[stem] for w, (stem, tail) in made_of.items()}
             room = MAX_CACHED_WORDS - len(kept)
             rest = {}
             for w, x in ids.items():
