@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontaminate, mixing, simhash, toxicity
+from waybill.llm import decontaminate, mixing, near_copies, toxicity
 from waybill.llm import token_records as records
 from waybill.llm.common import carried, shared_path, staged
 
@@ -21,9 +21,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the smallest id."""
+    """One document, of the smallest id, of each class connected by 5-word shingle similarities of 0.8 or more."""
     rows, named = carried(docs, OWN)
-    return named(simhash.keep_one(spark, rows))
+    return named(near_copies.keep_one(spark, rows))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("simhash near-dedup", drop_near_duplicates),
+    ("near-dedup", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
     ("token records", write_tokens),

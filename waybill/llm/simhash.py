@@ -169,10 +169,10 @@ def links(spark: SparkSession, prints: DataFrame, max_bits: int = 4, bucket: int
     return parts.mapInArrow(_bucket_links(max_bits), "a long, b long").distinct()
 
 
-def _classes(spark: SparkSession, prints: DataFrame, id_col: str, max_bits: int, bucket: int) -> DataFrame:
+def _classes(spark: SparkSession, prints: DataFrame, id_col: str, link) -> DataFrame:
     """``fp, _rep`` (smallest id of the fingerprint) and ``_root`` (its class) of every fingerprint of ``prints``."""
     nodes = staged(spark, prints.groupBy(F.col("_fp").alias("fp")).agg(F.min(id_col).alias("_rep")), "nodes")
-    found = components(spark, links(spark, nodes, max_bits, bucket))
+    found = components(spark, link(nodes))
     placed = nodes.join(found, nodes["fp"] == found["node"], "left")
     return placed.select("fp", "_rep", F.coalesce("root", "fp").alias("_root"))
 
@@ -188,7 +188,7 @@ def near_duplicates(
     table gives an empty result. Other columns of ``docs`` are not read.
     """
     prints = staged(spark, fingerprints(docs, id_col, text_col, shingle), "prints")
-    placed = _classes(spark, prints, id_col, max_bits, bucket)
+    placed = _classes(spark, prints, id_col, lambda nodes: links(spark, nodes, max_bits, bucket))
     classes = placed.groupBy("_root").agg(F.min("_rep").alias("component_id"))
     placed = placed.join(classes, "_root").select("fp", "component_id")
     return prints.withColumnRenamed("_fp", "fp").join(placed, "fp").select(id_col, "fp", "component_id")
@@ -202,12 +202,21 @@ def keep_one(
 
     A null id comes last; of rows that repeat the winning id with the same fingerprint one stays.
     """
-    prints = staged(spark, fingerprints(docs, id_col, text_col, shingle), "prints")
-    placed = _classes(spark, prints, id_col, max_bits, bucket)
+
+    def name(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+        return fingerprints(rows, id_col, text_col, shingle, keep)
+
+    return keep_winners(spark, docs, id_col, name, lambda nodes: links(spark, nodes, max_bits, bucket))
+
+
+def keep_winners(spark: SparkSession, docs: DataFrame, id_col: str, name, link) -> DataFrame:
+    """``keep_one`` by any names: ``name(rows, keep)`` adds ``_fp`` to rows, ``link(nodes)`` gives links of names."""
+    prints = staged(spark, name(docs), "prints")
+    placed = _classes(spark, prints, id_col, link)
     order = F.struct(F.col("_rep").isNull().alias("none"), F.col("_rep").alias("id"), F.col("fp"))
     winners = placed.groupBy("_root").agg(F.min(order).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_wfp"))
     winners = staged(spark, winners, "winners")
-    rows = fingerprints(docs, id_col, text_col, shingle, docs.columns)
+    rows = name(docs, docs.columns)
     small = F.broadcast(winners) if winners.count() <= MAX_BROADCAST_ROWS else winners
     kept = rows.join(small, (rows["_fp"] == small["_wfp"]) & rows[id_col].eqNullSafe(small["_id"]), "left_semi")
     repeated = prints.join(small, (prints["_fp"] == small["_wfp"]) & prints[id_col].eqNullSafe(small["_id"]), "left_semi")
