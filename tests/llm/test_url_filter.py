@@ -103,3 +103,23 @@ def test_reputation_against_plain_arithmetic(spark, monkeypatch, limit):
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string")
     assert uf.filter_urls(spark, df, spark.createDataFrame([], "page_id long, bad int")).collect() == []
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_unlabelled_hosts_are_judged_by_the_levels_above(spark, monkeypatch, limit):
+    monkeypatch.setattr(uf, "MAX_BROADCAST_HOSTS", limit)
+    hosts = [f"{h}.{d}" for d in ("bad.com", "good.org") for h in "abc"]
+    pages = [(i, f"http://{h}/{i}") for i, h in enumerate(hosts * 60)]
+    marks = [(i, int("bad" in u)) for i, u in pages]
+    pages += [(1000, "http://new.bad.com/x"), (1001, "http://new.good.org/x"), (1002, "http://a.other.org/"), (1003, "http://a.other.info/")]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    out = {r["page_id"]: r for r in uf.filter_urls(spark, df, spark.createDataFrame(marks, "page_id long, bad int"), rules=[]).collect()}
+    assert len(out) == len(pages)
+    rate = 180.5 / 361
+    groups = [(180, 180), (180, 0)]
+    w1, w2, w3 = weight(groups, rate), weight(groups, rate), weight([(60, 60)] * 3 + [(60, 0)] * 3, rate)
+    bad_suffix, good_suffix = (180 + rate * w1) / (180 + w1), rate * w1 / (180 + w1)
+    rates = {1000: (180 + bad_suffix * w2) / (180 + w2), 1001: good_suffix * w2 / (180 + w2), 1002: good_suffix, 1003: rate}
+    for i, r in rates.items():
+        assert out[i]["bound"] == pytest.approx(r - uf.Z * math.sqrt(r * (1 - r) / (w3 + 1)))
+    assert [out[i]["verdict"] for i in sorted(rates)] == ["block", "allow", "allow", "allow"]

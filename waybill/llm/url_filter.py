@@ -75,13 +75,14 @@ def _weight(level: DataFrame, rate: float) -> float:
 
 
 def reputations(outcomes: DataFrame) -> DataFrame:
-    """``host, n, bad, rate, bound`` from one row per labelled page with ``host`` and ``bad`` (0 or 1).
+    """``host, n, bad, rate, bound`` from one row per page with ``host`` and ``bad`` (0, 1 or null: not labelled).
 
-    Rows with a null host or outcome do not count.
+    Rows with a null host do not count. A host without labelled pages has the rate of its domain, a domain without any
+    that of its suffix, a suffix without any the global rate.
     """
     domain, suffix = domain_and_suffix(F.col("host"))
-    count = [F.count("*").alias("n"), F.sum("bad").alias("bad")]
-    hosts = outcomes.where("host is not null and bad is not null").groupBy("host").agg(*count)
+    count = [F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")]
+    hosts = outcomes.where("host is not null").groupBy("host").agg(*count)
     hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     total = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("domain", "suffix").agg(*total)
@@ -105,13 +106,14 @@ def filter_urls(spark: SparkSession, pages: DataFrame, outcomes: DataFrame, rule
 
     ``outcomes`` has ``page_id`` and ``bad`` (0, 1 or null); an id that repeats counts once, as bad if any of its
     rows is, and a page that repeats counts each time. A url that is null or has no ``://`` has an empty host; it is
-    judged like the other pages of that host. Hosts without labelled pages are allowed. Other columns are not read.
+    judged like the other pages of that host. Hosts without labelled pages are judged by the levels above. Other columns
+    are not read.
     """
     host, path = url_parts(F.col("url"))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
     urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumns({"rule": rule, "_says": says})
     marks = outcomes.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    rated = reputations(urls.select("page_id", "host").join(marks, "page_id")).select("host", "bound")
+    rated = reputations(urls.select("page_id", "host").join(marks, "page_id", "left")).select("host", "bound")
     if rated.count() <= MAX_BROADCAST_HOSTS:
         judged = urls.join(F.broadcast(rated), "host", "left")
     else:
