@@ -1,11 +1,12 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-case words and their prefixes of 4 to 6 letters (stems carry over to inflections never seen with a
-label). Terms whose odds in toxic labelled rows are far above those in clean ones form the vocabulary; inverse
-document frequencies count all documents. A bounded set of labelled examples is kept in an inverted index cut into
-blocks, each with its largest weight per term; a query visits blocks by falling upper bound and stops where no block
-can hold a nearer example, so its neighbours are exact. Votes are weighted by squared cosine and drawn towards the
-base rate by a prior vote.
+Terms are lower-case words; every word of every indexed example is one, and no word is left out for being rare or mild.
+A term weighs its inverse document frequency over all documents times how surely labelled rows tell the classes apart by
+it: the positive part of its smoothed log odds over their standard error, above a floor that every term keeps. Examples
+of both classes are kept in an inverted index cut into blocks, each with its largest weight per term; a query opens
+blocks by falling upper bound and stops where no block can hold a nearer example, so its neighbours are exact. Votes are
+weighted by squared cosine and by the share of its class that an example stands for, drawn towards the base rate by a
+prior vote, and calibrated by a logistic curve through the votes that examples get when they are left out.
 """
 
 from __future__ import annotations
@@ -21,119 +22,150 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import free_worker, small_batches
+from .common import small_batches, staged
 
 WORDS = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6)
-#: A vocabulary term is in this share of the toxic rows at least, and in MIN_ROWS. Rows have a bounded number of terms,
-#: so the candidates number at most that bound divided by this share, at any corpus size.
-MIN_SHARE, MIN_ROWS = 0.015, 5
-MIN_LOG_ODDS = 4.0
-#: Labelled examples of each class that the index holds at most.
-MAX_EXAMPLES = 2000
-BLOCK = 64
+#: Labelled examples of each class that the index holds at most, and entries (an example's distinct words) of all.
+MAX_EXAMPLES, MAX_ENTRIES = 2000, 2_000_000
+#: Examples of each class whose votes, themselves left out, the curve is fitted on at most.
+MAX_CALIBRATION = 500
+#: What a term weighs whose odds are the same in both classes.
+FLOOR = 0.05
+BLOCK = 128
 NEIGHBOURS = 16
-PRIOR_VOTE = 1.0
+PRIOR_VOTE = 0.02
 #: Labels up to this number (16 bytes each) are broadcast to the documents; more are joined by shuffle.
 MAX_BROADCAST_LABELS = 2_000_000
 
 
-def term_counts(text: str | None) -> dict[str, int]:
-    """Counts of a text's terms: words, and prefixes marked with a leading ^."""
-    words = Counter(WORDS.findall((text or "").lower()))
-    out: dict[str, int] = dict(words)
-    for w, n in words.items():
-        for size in PREFIXES:
-            if len(w) >= size:
-                p = f"^{w[:size]}"
-                out[p] = out.get(p, 0) + n
-    return out
+def words_of(text: str | None) -> Counter:
+    """Counts of a text's words in lower case."""
+    return Counter(WORDS.findall((text or "").lower()))
 
 
-def known_counts(text: str | None, known: dict[str, int], stems: frozenset[str]) -> dict[int, int]:
-    """Counts of those terms of a text that ``known`` numbers; ``stems`` holds the first 4 letters of all of them."""
-    out: dict[int, int] = {}
-    for w, n in Counter(WORDS.findall((text or "").lower())).items():
-        if w[:4] not in stems:
-            continue
-        if (t := known.get(w)) is not None:
-            out[t] = out.get(t, 0) + n
-        for size in PREFIXES:
-            if len(w) >= size and (t := known.get(f"^{w[:size]}")) is not None:
-                out[t] = out.get(t, 0) + n
-    return out
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0] .. start[0] + size[0] - 1, start[1] .. and so on."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
-def _stems(terms) -> frozenset[str]:
-    return frozenset(t.removeprefix("^")[:4] for t in terms)
+class BlockMaxIndex:
+    """Examples (terms and weights of unit length) and exact nearest-neighbour search over them.
 
+    ``entries`` are a term's runs of postings, one for each block that it occurs in, with the largest weight of the run.
+    """
 
-class BlockMaxIndex:
-    """Examples (dicts of term number to weight, of unit length) and exact nearest-neighbour search over them."""
-
-    def __init__(self, vectors: list[dict[int, float]], labels: list[int], names: list, block: int = BLOCK):
-        heaviest = [max(v, key=lambda t: (v[t], -t)) for v in vectors]
-        order = sorted(range(len(vectors)), key=lambda i: (heaviest[i], i))  # like examples share blocks
-        self.labels, self.names, self.block = [labels[i] for i in order], [names[i] for i in order], block
-        self.blocks = -(-len(order) // block)
-        lists: dict[int, list] = {}
-        for place, i in enumerate(order):
-            for t, w in vectors[i].items():
-                lists.setdefault(t, []).append((place, w))
-        self.postings = {}
-        for t, pairs in lists.items():
-            at, weight = np.array([p for p, _ in pairs]), np.array([w for _, w in pairs])
-            cuts = np.searchsorted(at, np.arange(self.blocks + 1) * block)
-            filled = np.flatnonzero(np.diff(cuts))
-            most = np.array([weight[cuts[b] : cuts[b + 1]].max() for b in filled])
-            self.postings[t] = (at, weight, cuts, filled, most)
-
-    def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
-        """The k examples of highest positive cosine, as (cosine, place), ties by place; also counts visited blocks."""
-        bound = np.zeros(self.blocks)
-        terms = [(w, self.postings[t]) for t, w in sorted(query.items()) if t in self.postings]
-        for w, (_, _, _, filled, most) in terms:
-            bound[filled] += w * most
-        best: list[tuple[float, int]] = []
-        self.visited = 0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-9:
-                break
-            self.visited += 1
-            base = b * self.block
-            sums = np.zeros(self.block)
-            for w, (at, weight, cuts, _, _) in terms:
-                part = slice(cuts[b], cuts[b + 1])
-                sums[at[part] - base] += w * weight[part]
-            best = sorted(best + [(-float(sums[i]), int(base + i)) for i in np.flatnonzero(sums > 0)])[:k]
-        return [(-s, p) for s, p in best]
-
-
-def _weights(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    raw = {t: (1 + math.log(n)) * idf[t] for t, n in sorted(counts.items())}
-    length = math.sqrt(sum(w * w for w in raw.values()))
-    return {t: float(w / length) for t, w in raw.items()}
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK):
+        self.n, self.block, self.blocks = len(vectors), block, -(-len(vectors) // block)
+        sizes = [len(t) for t, _ in vectors]
+        term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
+        place = np.repeat(np.arange(len(vectors)), sizes)
+        order = np.lexsort((place, term))
+        term, self.place = term[order], place[order].astype(np.int32)
+        self.weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])[order]
+        run = term * max(1, self.blocks) + self.place // block
+        self.run_start = np.flatnonzero(np.r_[True, run[1:] != run[:-1]] if len(run) else np.zeros(0, bool))
+        self.run_size = np.diff(np.r_[self.run_start, len(run)])
+        self.run_block = (self.place[self.run_start] // block).astype(np.int32)
+        self.run_most = np.maximum.reduceat(self.weight, self.run_start) if len(run) else np.zeros(0)
+        self.first = np.searchsorted(term[self.run_start], np.arange(terms + 1))
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """(cosines, places) of the k examples of highest positive cosine, ties by place; ``without`` is left out.
+
+        Counts the blocks it opened in ``visited``.
+        """
+        start, size = self.first[terms], self.first[terms + 1] - self.first[terms]
+        runs, heavy = _spread(start, size), np.repeat(weights, size)
+        block = self.run_block[runs]
+        bound = np.bincount(block, heavy * self.run_most[runs], self.blocks) if len(runs) else np.zeros(self.blocks)
+        queue = np.argsort(-bound, kind="stable")
+        queue = queue[bound[queue] > 0]
+        best, at, step, self.visited = np.zeros(0), np.zeros(0, np.int64), 2, 0
+        while len(queue) and not (len(best) == k and bound[queue[0]] < best[-1] - 1e-9):
+            opened = np.zeros(self.blocks, bool)
+            opened[queue[:step]] = True
+            self.visited += min(step, len(queue))
+            queue, step = queue[step:], 2 * step
+            mine = opened[block]
+            chosen = runs[mine]
+            postings = _spread(self.run_start[chosen], self.run_size[chosen])
+            sums = np.bincount(self.place[postings], np.repeat(heavy[mine], self.run_size[chosen]) * self.weight[postings], self.n)
+            found = np.flatnonzero(sums > 0)
+            found = found[found != without]
+            best, at = np.r_[best, sums[found]], np.r_[at, found]
+            order = np.lexsort((at, -best))[:k]
+            best, at = best[order], at[order]
+        return best, at
 
 
 class Model:
-    """What the driver broadcasts: vocabulary, inverse document frequencies, index and rates; its size is bounded."""
-
-    def __init__(self, terms, idf, examples, base_rate, blank_rate, k=NEIGHBOURS, prior=PRIOR_VOTE):
-        self.known, self.stems, self.idf = {t: i for i, t in enumerate(terms)}, _stems(terms), idf
-        self.k, self.prior, self.base_rate, self.blank_rate = k, prior, base_rate, blank_rate
-        vectors = [_weights(dict(zip(e["terms"], e["counts"], strict=True)), idf) for e in examples]
-        self.index = BlockMaxIndex(vectors, [e["label"] for e in examples], [e["name"] for e in examples])
+    """Vocabulary, weights, index, votes and curve. Plain values make one, so it travels to workers as plain values."""
+
+    def __init__(self, known: dict[str, int], scale: np.ndarray, examples: list[tuple], share: tuple[float, float], base_rate: float, curve=None, k: int = NEIGHBOURS, prior: float = PRIOR_VOTE):
+        """``examples`` are (name, label, terms, counts); ``share`` is what a clean and a toxic example stand for."""
+        self.made = (known, scale, examples, share, base_rate)
+        self.known, self.scale, self.k, self.prior, self.base_rate = known, scale, k, prior, base_rate
+        vectors = [self._unit(np.array(e[2], np.int64), np.array(e[3], float)) for e in examples]
+        heaviest = [int(t[np.argmax(w)]) for t, w in vectors]
+        like = sorted(range(len(examples)), key=lambda i: (examples[i][1], heaviest[i], i))  # like examples share blocks
+        self.vectors = [vectors[i] for i in like]
+        self.names, self.labels = [examples[i][0] for i in like], np.array([examples[i][1] for i in like], np.int64)
+        self.votes = np.array(share)[self.labels] if len(examples) else np.zeros(0)
+        self.index = BlockMaxIndex(self.vectors, len(known))
+        self.curve = curve or self._calibrated()
+
+    def _unit(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(terms)
+        raw = (1 + np.log(counts[order])) * self.scale[terms[order]]
+        return terms[order], raw / math.sqrt(float((raw * raw).sum()))
+
+    def _vote(self, vector, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
+        near, at = self.index.nearest(*vector, self.k, without)
+        votes = near * near * self.votes[at]
+        toxic = float((votes * self.labels[at]).sum())
+        return (toxic + self.prior * self.base_rate) / (float(votes.sum()) + self.prior), near, at
+
+    def _calibrated(self) -> tuple[float, float]:
+        """(slope, offset) of the logistic curve from votes to probabilities, by Newton steps on a ridged likelihood."""
+        sides = [np.flatnonzero(self.labels == label) for label in (0, 1)]
+        chosen = [i for side in sides for i in side[:: -(-len(side) // MAX_CALIBRATION) or 1]]
+        if not len(chosen) or self.labels.min() == self.labels.max():
+            return 4.0, -2.0
+        y = self.labels[chosen].astype(float)
+        x = np.array([self._vote(self.vectors[i], i)[0] for i in chosen]) - 0.5
+        per = np.array([(self.votes * (self.labels == c)).sum() / (y == c).sum() for c in (0, 1)])[y.astype(int)]
+        per = per / per.mean()
+        a, b = 4.0, 0.0
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-(a * x + b)))
+            g = np.array([(per * (p - y) * x).sum() + 1e-2 * a, (per * (p - y)).sum()])
+            v = per * np.maximum(p * (1 - p), 1e-9)
+            h = np.array([[(v * x * x).sum() + 1e-2, (v * x).sum()], [(v * x).sum(), v.sum() + 1e-9]])
+            step = np.clip(np.linalg.solve(h, g), -2, 2)
+            a, b = a - float(step[0]), b - float(step[1])
+        a = max(a, 0.5)  # a higher vote never lowers a score
+        return round(a, 9), round(b - a / 2, 9)
 
     def score(self, text: str | None) -> tuple[float, list, list]:
         """(score, names of the neighbours, their cosines)."""
-        counts = known_counts(text, self.known, self.stems)
-        found = self.index.nearest(_weights(counts, self.idf), self.k) if counts else []
-        if not found:
-            return self.blank_rate, [], []
-        votes = sum(s * s for s, _ in found)
-        toxic = sum(s * s for s, p in found if self.index.labels[p])
-        score = (toxic + self.prior * self.base_rate) / (votes + self.prior)
-        return min(1.0, max(0.0, score)), [self.index.names[p] for _, p in found], [s for s, _ in found]
+        get = self.known.get
+        counts = [(t, n) for w, n in words_of(text).items() if (t := get(w)) is not None]
+        vote, near, at = self.base_rate, np.zeros(0), np.zeros(0, np.int64)
+        if counts and len(self.names):
+            both = np.array(counts)
+            vote, near, at = self._vote(self._unit(both[:, 0], both[:, 1].astype(float)))
+        if not len(self.names):
+            return self.base_rate, [], []
+        z = self.curve[0] * vote + self.curve[1]
+        return 1 / (1 + math.exp(-min(max(z, -500.0), 500.0))), [self.names[i] for i in at], near.tolist()
+
+
+def term_scale(n: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_docs: int, n_toxic: int, n_clean: int) -> np.ndarray:
+    """What each term weighs, from how many documents, toxic rows and clean rows it is in."""
+    odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+    sure = odds / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    return (np.log((1 + n_docs) / (1 + n)) + 1) * (FLOOR + np.maximum(0.0, sure))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, how: str) -> DataFrame:
@@ -141,88 +173,96 @@ def _labelled(docs: DataFrame, labels: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(labels) if few else labels, "doc_id", how)
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Model:
+def _examples(spark: SparkSession, marked: DataFrame, max_examples: int, max_entries: int) -> list:
+    """Rows (label, name, words, counts) of the indexed examples.
+
+    Labelled texts with words, each distinct one once, in order of their hashes: ``max_examples`` of a class, less
+    where they would have more than ``max_entries`` distinct words, counted text by text.
+    """
+    texts = marked.where(F.length("text") > 0).withColumn("h", F.xxhash64("text"))
+    listed = texts.groupBy("label", "h").agg(F.min("doc_id").alias("name"))
+    chosen = listed.where("label = 1").orderBy("h").limit(max_examples).unionAll(listed.where("label <> 1").orderBy("h").limit(max_examples))
+    chosen = staged(spark, chosen, "examples")
+
+    def counted(batches):
+        for batch in batches:
+            found = [words_of(t.as_py()) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))],
+                ["label", "h", "name", "words", "counts"],
+            )
+
+    once = texts.select("label", "h", "doc_id", "text").join(F.broadcast(chosen), ["label", "h"])
+    once = once.where(F.col("doc_id").eqNullSafe(F.col("name"))).select("label", "h", "name", "text")
+    words, numbers = T.ArrayType(T.StringType()), T.ArrayType(T.LongType())
+    schema = T.StructType([*(once.schema[c] for c in ("label", "h", "name")), T.StructField("words", words), T.StructField("counts", numbers)])
+    made = once.mapInArrow(counted, schema).where(F.size("words") > 0).dropDuplicates(["label", "h"])
+    made = staged(spark, made, "example-words")
+    sizes = sorted((r["h"], r["label"], r["n"]) for r in made.select("h", "label", F.size("words").alias("n")).collect())
+    total = np.cumsum([n for _, _, n in sizes])
+    if len(sizes) and total[-1] > max_entries:
+        last = sizes[max(0, int(np.searchsorted(total, max_entries, "right")) - 1)][0]
+        made = made.where(F.col("h") <= last)
+    return sorted(made.collect(), key=lambda r: (r["h"], r["label"]))
+
+
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_entries: int = MAX_ENTRIES) -> Model:
     """Model from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, label`` 0, 1 or null).
 
     Null ids and labels teach nothing; an id that repeats among the labels counts once, as toxic if any row says so;
-    rows of ``docs`` that repeat an id are examples each. Without labelled rows every score is 0.5.
+    labelled rows of equal texts are one example of a class, under their smallest id, but count one by one in odds,
+    frequencies and rates. Texts without words are no examples. Without labelled rows every score is 0.5; with empty
+    tables likewise. Only the index is bounded (``max_examples`` of a class, ``max_entries`` words of all examples);
+    frequencies cover all rows and odds all labelled ones.
     """
     docs = small_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     labels = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-
-    def count_all(batches):
-        free_worker()
-        tally: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                tally.update(term_counts(text.as_py()).keys())
-            if len(tally) > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(tally)), pa.array(list(tally.values()), pa.int64())], ["term", "n"])
-                tally.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], ["term", "n"])
-
-    sizes = _labelled(docs.select("doc_id"), labels, "inner").groupBy("label").count().collect()
-    n_toxic = sum(r["count"] for r in sizes if r["label"] == 1)
-    n_clean = sum(r["count"] for r in sizes if r["label"] != 1)
-    if not n_toxic + n_clean:
-        return Model([], np.zeros(0), [], 0.5, 0.5)
-    base_rate = n_toxic / (n_toxic + n_clean)
-    support = max(MIN_ROWS, math.ceil(MIN_SHARE * n_toxic))
-    toxic_docs = _labelled(docs, labels.where("label = 1"), "inner").select("text")
-    frequent = toxic_docs.mapInArrow(count_all, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-    in_toxic = {r["term"]: r["n"] for r in frequent.collect()}
-    candidates = sorted(in_toxic)
-    known, stems = {t: i for i, t in enumerate(candidates)}, _stems(candidates)
-    shared = spark.sparkContext.broadcast((known, stems))
-
-    def count_known(batches):
-        every, clean = np.zeros(len(shared.value[0]), np.int64), np.zeros(len(shared.value[0]), np.int64)
+    labels = staged(spark, labels, "labels")
+    examples = _examples(spark, _labelled(docs, labels, "inner"), max_examples, max_entries)
+    known: dict[str, int] = {}
+    for r in examples:
+        for w in r["words"]:
+            known.setdefault(w, len(known))
+    shared = spark.sparkContext.broadcast(known)
+
+    def count(batches):
+        known = shared.value
+        tally, rows = np.zeros((len(known), 3), np.int64), np.zeros(3, np.int64)
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                at = list(known_counts(text.as_py(), *shared.value))
-                every[at] += 1
-                if label == 0:
-                    clean[at] += 1
-        at = np.flatnonzero(every)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(every[at]), pa.array(clean[at])], ["term", "n", "clean"])
-
-    counted = _labelled(docs, labels, "left").select("text", "label").mapInArrow(count_known, "term long, n long, clean long")
-    rows = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean")).collect()
-    n_docs = docs.count()
-    chosen = []
-    for r in sorted(rows, key=lambda r: r["term"]):
-        odds = math.log((in_toxic[candidates[r["term"]]] + 0.5) / (n_toxic + 1)) - math.log((r["clean"] + 0.5) / (n_clean + 1))
-        if odds >= MIN_LOG_ODDS:
-            chosen.append((candidates[r["term"]], math.log((1 + n_docs) / (1 + r["n"])) + 1))
-    terms, idf = [t for t, _ in chosen], np.array([w for _, w in chosen])
-    final = spark.sparkContext.broadcast(({t: i for i, t in enumerate(terms)}, _stems(terms)))
-
-    def vectors(batches):
-        for batch in batches:
-            found = [known_counts(t.as_py(), *final.value) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([list(f) for f in found], pa.list_(pa.int64())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))],
-                ["name", "label", "terms", "counts"],
-            )
-
-    numbers = T.ArrayType(T.LongType())
-    schema = T.StructType([T.StructField("name", docs.schema["doc_id"].dataType), T.StructField("label", T.IntegerType()), T.StructField("terms", numbers), T.StructField("counts", numbers)])
-    made = _labelled(docs, labels, "inner").select("doc_id", "label", "text").mapInArrow(vectors, schema)
-    order = [F.xxhash64("name"), F.col("name"), F.to_json(F.struct("terms", "counts"))]
-    ranked = [made.where(F.size("terms") > 0).where(c).orderBy(*order).limit(max_examples) for c in ("label = 1", "label <> 1")]
-    full = ranked[0].unionAll(ranked[1]).collect()
-    covered = made.where(F.size("terms") == 0)
-    blank = {r["label"] == 1: r["count"] for r in covered.groupBy("label").count().collect()}
-    total = sum(blank.values())
-    blank_rate = (blank.get(True, 0) + PRIOR_VOTE * base_rate) / (total + PRIOR_VOTE)
-    return Model(terms, idf, full, base_rate, blank_rate)
+                at = [t for w in set(WORDS.findall((text.as_py() or "").lower())) if (t := known.get(w)) is not None]
+                sides = [0] if label is None else [0, 1 if label == 1 else 2]
+                for side in sides:
+                    tally[at, side] += 1
+                    rows[side] += 1
+        at = np.flatnonzero(tally[:, 0])
+        columns = [np.r_[-1, at], *(np.r_[rows[i], tally[at, i]] for i in range(3))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["term", "n", "toxic", "clean"])
+
+    counted = _labelled(docs, labels, "left").select("text", "label").mapInArrow(count, "term long, n long, toxic long, clean long")
+    sums = counted.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("n", "toxic", "clean"))).toArrow()
+    shared.unpersist()
+    table = np.zeros((len(known) + 1, 3))
+    for i, c in enumerate(("n", "toxic", "clean")):
+        table[sums.column("term").to_numpy() + 1, i] = sums.column(c).to_numpy()
+    (n_docs, n_toxic, n_clean), (n, toxic, clean) = table[0], table[1:].T
+    if not n_toxic + n_clean:
+        return Model({}, np.zeros(0), [], (1.0, 1.0), 0.5)
+    base_rate = float(n_toxic / (n_toxic + n_clean))
+    rows = [(r["name"], int(r["label"] == 1), np.array([known[w] for w in r["words"]], np.int32), np.array(r["counts"], np.int32)) for r in examples]
+    held = [sum(1 for r in rows if r[1] == c) for c in (0, 1)]
+    share = tuple(float(m / max(1, h)) for m, h in zip((n_clean, n_toxic), held, strict=True))
+    most = max(share)
+    return Model(known, term_scale(n, toxic, clean, n_docs, n_toxic, n_clean), rows, tuple(s / most for s in share), base_rate)
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (``doc_id`` unless given) and ``score, neighbours, cosines`` for every row.
 
-    ``neighbours`` are ids of labelled examples and ``cosines`` their nearness; both are empty where no vocabulary term
-    occurs. Null and empty texts get the rate of the labelled rows without vocabulary terms. Other columns are not read.
+    ``neighbours`` are ids of labelled examples and ``cosines`` their nearness, nearest first, equal ones by the order
+    of the index; both are empty where no word of an example occurs. Null and empty texts get the score of the base
+    rate; rows that repeat an id or a text are scored each, alike; an empty table gives an empty result. Other columns
+    are not read.
     """
     keep = keep or ["doc_id"]
     rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("__text")))
@@ -230,10 +270,12 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] |
     fields = [*rows.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(kind)), T.StructField("cosines", T.ArrayType(T.DoubleType()))]
     schema = T.StructType(fields)
     listed = to_arrow_type(T.ArrayType(kind))
+    shared, curve = spark.sparkContext.broadcast(model.made), model.curve
 
     def run(batches):
-        free_worker()
+        model = None
         for batch in batches:
+            model = model or Model(*shared.value, curve=curve)
             scored = [model.score(t.as_py()) for t in batch.column(len(keep))]
             names = pa.array([s[1] for s in scored], listed)
             yield pa.RecordBatch.from_arrays(
@@ -254,6 +296,10 @@ def learn(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document, with its evidence: the nearest labelled examples and their cosines.
+
+    Null and empty texts, ties, repeated rows and empty tables: see ``fit`` and ``score``.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = score(spark, docs, learn(spark, docs, sf_dir))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours", "cosines")
