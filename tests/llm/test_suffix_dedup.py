@@ -43,31 +43,58 @@ def fixture():
     return texts + [texts[9]] * 3 + ["b" * 64, "q" + "b" * 64]
 
 
-def got(spark, texts, **kw):
+def want_of(texts, length=64, also=40):
+    both = [(*x, y[1], y[2]) for x, y in zip(brute(texts, length), brute(texts, also), strict=True)]
+    return sorted((str(None if i == 4 else i // 2 * 2), *x) for i, x in enumerate(both))
+
+
+def got(spark, texts, length=64, also=40, **kw):
     df = spark.createDataFrame([(None if i == 4 else i // 2 * 2, t, "x", i) for i, t in enumerate(texts)], "doc_id long, text string, spans string, n long")
-    rows = sd.remove_repeats(spark, df, length=64, **kw).collect()
-    return sorted((str(r["doc_id"]), r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in rows)
+    rows = sd.remove_repeats(spark, df, length=length, also=also, **kw).collect()
+    total = lambda spans: sum(s["end"] - s["start"] for s in spans)
+    return sorted((str(r["doc_id"]), r["n_bytes"], total(r["spans"]), len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest(), total(r["repeats"]), len(r["repeats"])) for r in rows)
 
 
 def test_against_brute_force(spark):
     texts = fixture()
-    want = sorted((str(None if i == 4 else i // 2 * 2), *x) for i, x in enumerate(brute(texts, 64)))
-    assert got(spark, texts) == want
-    assert got(spark, texts, shard_contexts=2, chunk=300) == want
+    assert got(spark, texts) == want_of(texts)
+    assert got(spark, texts, shard_contexts=2, chunk=300) == want_of(texts)
+    assert got(spark, texts, also=64) == want_of(texts, also=64)
+    assert got(spark, texts, length=24, also=16, shard_contexts=3, chunk=100) == want_of(texts, 24, 16)
 
 
-def test_shuffled_joins_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(sd, "MAX_BROADCAST_ROWS", -1)
+def test_shuffled_joins_and_cut_texts_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(sd, "MAX_BROADCAST_BYTES", -1)
     texts = fixture()
-    assert got(spark, texts) == sorted((str(None if i == 4 else i // 2 * 2), *x) for i, x in enumerate(brute(texts, 64)))
+    assert got(spark, texts) == want_of(texts)
+    long = ["".join(random.Random(i // 2).choice("ab") for _ in range(6000)) + "z" * i for i in range(4)]
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 1000)
+    assert got(spark, texts + long) == want_of(texts + long)
 
 
 def test_orders_and_prefixes():
     rnd = random.Random(1)
     texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(40, 60))) for _ in range(30)] + [b"a" * 45]
-    number, start, repeats = sd.repeated_starts(texts, 12)
-    n = Counter(texts[i][s : s + 12] for i, s in zip(number, start, strict=True))
-    assert [n[texts[i][s : s + 12]] > 1 for i, s in zip(number, start, strict=True)] == repeats.tolist()
+    count = np.array([len(t) - 9 + 1 for t in texts])
+    number, start, found = sd.repeated_starts(texts, count, (9, 12))
+    for length, (place, group) in zip((9, 12), found, strict=True):
+        strings = [texts[number[i]][start[i] : start[i] + length] for i in place]
+        assert sorted(strings) == strings and len(strings) == sum(len(t) - length + 1 for t in texts)
+        assert [a == b for a, b in zip(strings, strings[1:], strict=False)] == (group[1:] == group[:-1]).tolist()
+
+
+def test_merging_finds_strings_of_two_shards():
+    import pyarrow as pa
+
+    rows = [(b"a", 1, 1, 5, 5), (None, 2, 0, 5, 5), (b"c", 3, 1, 5, 6), (None, 4, 0, 6, 6), (b"e", 5, 1, 7, 1), (b"f", 6, 0, 7, 1), (b"g", 7, 0, 7, 1)]
+    batches = []
+    for a in range(0, 7, 2):
+        part = rows[a : a + 2]
+        columns = ([r[0] for r in part], [r[1] for r in part], [r[1] + 1 for r in part], [r[2] for r in part], [r[3] for r in part], [r[4] for r in part])
+        batches.append(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, sd.FOUND.values(), strict=True)], list(sd.FOUND)))
+    out = [tuple(r.values()) for b in sd._merged(iter(batches)) for r in b.to_pylist()]
+    assert out == [(b"a", 1, 2, 1), (b"e", 5, 6, 1), (b"f", 6, 7, 0), (b"g", 7, 8, 0)]
+    assert list(sd._merged(iter([]))) == []
 
 
 def test_contexts_depend_on_the_string_alone():
@@ -75,7 +102,7 @@ def test_contexts_depend_on_the_string_alone():
     core = rnd.integers(97, 100, 600).astype(np.uint8).tobytes()
     keys = []
     for before in (b"", b"zz" * 50, b"q" * 333):
-        first, end, key = sd.contexts(before + core + b"tail" * 30)
+        first, end, key = sd.contexts(before + core + b"tail" * 30, 400)
         assert first[0] == 0 and (first[1:] == end[:-1]).all() and end[-1] == len(before) + len(core) + 120 - 400 + 1
         keys.append({int(k) for a, b, k in zip(first, end, key, strict=True) if a <= len(before) + 100 < b})
     assert keys[0] == keys[1] == keys[2]

@@ -50,11 +50,15 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends at files any executor can read."""
+def written(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """(``df`` as read back from the shared folder, its path): lineage ends at files any executor can read."""
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    return written(spark, df, name)[0]
 
 
 #: Bytes of an Arrow batch on its way to Python and back; a batch is in memory up to four times.
@@ -130,16 +134,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         row = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return tuple(row)
 
-    def written(pairs: DataFrame) -> tuple[DataFrame, str]:
-        path = shared_path(spark, "links")
-        pairs.write.parquet(path)
-        return spark.read.schema(pairs.schema).parquet(path), path
-
-    now, path = written(edges.select("a", "b").where("a <> b"))
+    now, path = written(spark, edges.select("a", "b").where("a <> b"), "links")
     before = None
     while (after := state(now))[0] and after != before:
         before, old = after, path
-        now, path = written(stars(stars(now, True), False))
+        now, path = written(spark, stars(stars(now, True), False), "links")
         remove(spark, old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -1,32 +1,36 @@
 """Exact substring deduplication by suffix arrays of shards.
 
-Every byte covered by a ``length``-byte string that also starts elsewhere is removed. Each start of such a string has an
-anchor, the place of the smallest hash in the window after it, which depends on the string alone; so equal strings have
-equal anchors, and starts that share an anchor form one context. Contexts whose anchors' keys occur once cannot repeat.
-Contexts that are equal as a whole are settled by count. What is left goes to shards by anchor key: each shard sorts its
-suffixes by Larsson-Sadakane refinement in numpy and takes common prefixes by Kasai's walk. Keys with many contexts
-have several shards, whose distinct strings are merged by binary search.
+Every byte covered by a ``length``-byte string that also starts elsewhere is removed; repeats of a shorter length
+(``also``) are reported beside. Each start of a string of the shorter length has an anchor, the place of the smallest
+hash in the window after it, which depends on the string alone; so equal strings have equal anchors, and starts that
+share an anchor form one context. Contexts whose anchors' keys occur once cannot repeat. Contexts that are equal as a
+whole are settled by count. What is left goes to shards by anchor key: each shard sorts its suffixes by Larsson-Sadakane
+refinement in numpy and takes common prefixes by Kasai's walk. Keys with many contexts have several shards; each sends
+one row for every distinct string of its own, and strings of two shards are found by binary search among all.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged
+from .common import remove, small_batches, written
 
 LENGTH = 400
+#: The shorter length; a passage of over 50 words is rarely shorter.
+ALSO = 250
+#: Bytes after an anchor that its key is made of, at most half the shorter length.
+KEY_BYTES = 64
 #: Contexts of one key in a shard, about, and bytes of contexts sorted at once.
 SHARD_CONTEXTS = 4000
 CHUNK_BYTES = 2 << 20
-#: Rows up to this number are broadcast to the texts (some 60 bytes each); more are joined by shuffle.
-MAX_BROADCAST_ROWS = 1_500_000
-_PLACE = 26  # bits of a place in a text; longer texts are cut into overlapping parts
+#: Tables up to this size, by their rows and the values in them, are broadcast to the texts; more are joined by shuffle.
+MAX_BROADCAST_BYTES = 96 << 20
+_PLACE = 20  # bits of a place in a text; longer texts are cut into overlapping parts
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -36,16 +40,16 @@ def _words(buffer) -> np.ndarray:
     return np.ndarray(len(data) - 7, "<u8", data, 0, (1,)).copy()
 
 
-def contexts(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, end of starts, anchor key) of each context of a text; its bytes are text[first : end + length - 1]."""
+def contexts(text: bytes, length: int = ALSO) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first start, end of starts, anchor key) of each context of a text's ``length``-byte strings."""
     cut = (1 << _PLACE) - length
     if len(text) < length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     if len(text) > cut + length:
         parts = [(a, contexts(text[a : a + cut + length - 1], length)) for a in range(0, len(text) - length + 1, cut)]
         return tuple(np.concatenate([x[i] + (np.int64(a) if i < 2 else np.uint64(0)) for a, x in parts]) for i in range(3))
-    half = length // 2
-    span = length - half + 1  # places an anchor may take after a start, so that half the string follows it
+    half = min(KEY_BYTES, length // 2)
+    span = length - half + 1  # places an anchor may take after a start, so that its key is inside the string
     words = _words(text)
     hashed = words * _M1
     hashed ^= hashed >> np.uint64(32)
@@ -147,23 +151,28 @@ def common_prefixes(words: np.ndarray, order: np.ndarray, at: np.ndarray, first:
     return out
 
 
-def repeated_starts(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context number, start, whether it repeats) of every ``length``-byte string of these contexts."""
+def repeated_starts(texts: list[bytes], count: np.ndarray, lengths: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(context number, start, a (place, group) pair for each length) of the first ``count`` suffixes of these contexts.
+
+    A pair lists the suffixes that have so many bytes, in suffix order, and numbers the groups of equal strings. All
+    suffixes have the first, shorter length.
+    """
     sizes = np.array([len(t) for t in texts])
-    text = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
+    text = np.frombuffer(b"".join(texts) + bytes(lengths[-1] + 8), np.uint8)
     words = _words(text)
-    base, count = np.cumsum(sizes) - sizes, sizes - length + 1
+    base = np.cumsum(sizes) - sizes
     first = np.cumsum(count) - count
     number = np.repeat(np.arange(len(texts)), count)
     start = np.arange(len(number)) - first[number]
-    at = base[number] + start
-    order, _ = suffix_order(text, words, at, length)
-    prefix = common_prefixes(words, order, at, first, count, length)
-    hit = prefix >= length
-    hit[:-1] |= prefix[1:] >= length
-    repeats = np.zeros(len(at), bool)
-    repeats[order] = hit
-    return number, start, repeats
+    order, _ = suffix_order(text, words, base[number] + start, lengths[-1])
+    prefix = common_prefixes(words, order, base[number] + start, first, count, lengths[-1])
+    out = []
+    for length in lengths:
+        whole = np.flatnonzero(sizes[number[order]] - start[order] >= length)  # others run on into the next context
+        shared = np.minimum.reduceat(prefix[: whole[-1] + 1], np.r_[0, whole[:-1] + 1]) if len(whole) else np.zeros(0, np.int64)
+        shared[:1] = 0
+        out.append((order[whole], np.cumsum(shared < length)))
+    return number, start, out
 
 
 def _runs(flags: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -176,32 +185,40 @@ def _runs(flags: np.ndarray, number: np.ndarray) -> np.ndarray:
     return np.c_[set_[new], set_[np.r_[new[1:], True]] + 1]
 
 
-FOUND = "tid binary, start long, end long, d1 long, d2 long, shard long"
+FOUND = {"tid": pa.binary(), "start": pa.int64(), "end": pa.int64(), "level": pa.int32(), "d1": pa.int64(), "d2": pa.int64()}
 
 
-def _shards(length: int, chunk: int):
-    """Sorted stream of (akey, block, split, tid, first, copies, ctx) -> runs of repeated starts, and digests to merge."""
+def _shards(lengths: tuple[int, int], chunk: int):
+    """Sorted stream of (akey, block, split, tid, first, count, ctx) -> runs of repeated starts, and strings to merge.
+
+    A shard of a split key sends each distinct string once, under its digest: with its place where the shard has it
+    only once, else without one, as its places are already known to repeat.
+    """
+
+    def batch(tid, start, end, level, d1=None, d2=None):
+        none = [None] * len(start)
+        columns = (tid, start, end, [level] * len(start), none if d1 is None else d1, none if d2 is None else d2)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, FOUND.values(), strict=True)], list(FOUND))
 
     def solve(rows: list[tuple]):
-        number, start, repeats = repeated_starts([r[6] for r in rows], length)
-        where = np.array([r[4] for r in rows])
-        runs = _runs(repeats, number)
-        tids = [rows[number[a]][3] for a, _ in runs]
-        starts, ends = (where[number[a]] + start[a] for a, _ in runs), (where[number[a]] + start[b - 1] + 1 for a, b in runs)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(tids, pa.binary()), pa.array(list(starts), pa.int64()), pa.array(list(ends), pa.int64()), *([pa.nulls(len(runs), pa.int64())] * 3)], [f.split()[0] for f in FOUND.split(", ")]
-        )
-        split = np.array([r[2] for r in rows])
-        open_ = np.flatnonzero(split[number])
-        for a in range(0, len(open_), 50_000):
-            part = open_[a : a + 50_000]
-            digests = [hashlib.blake2b(rows[number[i]][6][start[i] : start[i] + length], digest_size=16).digest() for i in part]
-            both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            at = where[number[part]] + start[part]
-            shard = np.array([rows[n][1] for n in number[part]], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rows[n][3] for n in number[part]], pa.binary()), pa.array(at), pa.array(at + 1), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(shard)], [f.split()[0] for f in FOUND.split(", ")]
-            )
+        number, start, found = repeated_starts([r[6] for r in rows], np.array([r[5] for r in rows], np.int64), lengths)
+        where, split = np.array([r[4] for r in rows]), np.array([r[2] for r in rows])
+        for level, (place, group) in enumerate(found):
+            size = np.bincount(group, minlength=1)
+            repeats = np.zeros(len(number), bool)
+            repeats[place[size[group] > 1]] = True
+            runs = _runs(repeats, number)
+            at = number[runs[:, 0]]
+            yield batch([rows[n][3] for n in at], where[at] + start[runs[:, 0]], where[at] + start[runs[:, 1] - 1] + 1, level)
+            new = np.r_[True, group[1:] != group[:-1]] if len(group) else np.zeros(0, bool)
+            open_ = place[new & split[number[place]]]
+            alone = ~repeats
+            for a in range(0, len(open_), 50_000):
+                part = open_[a : a + 50_000]
+                digests = [xxhash.xxh3_128_digest(rows[number[i]][6][start[i] : start[i] + lengths[level]], level) for i in part]
+                both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                at = where[number[part]] + start[part]
+                yield batch([rows[number[i]][3] if alone[i] else None for i in part], at, at + 1, level, both[:, 0], both[:, 1])
 
     def run(batches):
         held, size = [], 0
@@ -219,31 +236,26 @@ def _shards(length: int, chunk: int):
 
 
 def _merged(batches):
-    """Stream sorted by digest -> places whose digest is in two shards: each shard's digests are sought in the rest."""
+    """Stream sorted by digest, a row for each shard that has the string -> places of strings that two shards have."""
     held = None
     for batch in _with_end(batches):
         if batch is not None:
-            now = [batch.column(0).to_pylist(), *(batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6))]
-            now[0] = np.array(now[0], object)
-            held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-            if not len(held[3]):
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            if not held.num_rows:
                 continue
-            run = np.r_[0, np.cumsum((held[3][1:] != held[3][:-1]) | (held[4][1:] != held[4][:-1]))]
-            end = int(np.searchsorted(run, run[-1]))
-        elif held is None or not len(held[3]):
+        if held is None or not held.num_rows:
             return
-        else:
-            run = np.r_[0, np.cumsum((held[3][1:] != held[3][:-1]) | (held[4][1:] != held[4][:-1]))]
-            end = len(run)
+        d1, d2 = (held.column(c).to_numpy() for c in ("d1", "d2"))
+        run = np.r_[0, np.cumsum((d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1]))]
+        end = len(run) if batch is None else int(np.searchsorted(run, run[-1]))
         if end:
-            run, shard = run[:end], held[5][:end]
-            low, high = np.searchsorted(run, run, "left"), np.searchsorted(run, run, "right")
-            own = run * (np.int64(shard.max()) + 1) + shard
-            by_shard = np.sort(own)
-            mine = np.searchsorted(by_shard, own, "right") - np.searchsorted(by_shard, own, "left")
-            elsewhere = mine < high - low
-            yield pa.RecordBatch.from_arrays([pa.array(held[0][:end][elsewhere].tolist(), pa.binary()), pa.array(held[1][:end][elsewhere]), pa.array(held[2][:end][elsewhere])], ["tid", "start", "end"])
-            held = [x[end:] for x in held]
+            run = run[:end]
+            shards = np.searchsorted(run, run, "right") - np.searchsorted(run, run, "left")
+            here = held.slice(0, end)
+            chosen = here.filter(pa.array(shards > 1)).filter(pc.field("tid").is_valid()).select(["tid", "start", "end", "level"])
+            yield from chosen.combine_chunks().to_batches()
+            held = held.slice(end).combine_chunks()
 
 
 def _with_end(batches):
@@ -251,111 +263,124 @@ def _with_end(batches):
     yield None
 
 
+def _union(runs: list[tuple[int, int]], reach: int = 0) -> list[int]:
+    """Flat sorted bounds of the union of runs, ends moved on by ``reach``."""
+    bounds: list[int] = []
+    for a, b in sorted(runs):
+        if bounds and a <= bounds[-1]:
+            bounds[-1] = max(bounds[-1], b + reach)
+        else:
+            bounds += [a, b + reach]
+    return bounds
+
+
 def _cover(batches):
-    """(tid, runs of starts) -> (tid, flat sorted bounds of the union)."""
+    """(tid, runs of starts) -> (tid, bounds of the union of starts at either length)."""
     for batch in batches:
-        out = []
-        for runs in batch.column(1).to_pylist():
-            bounds: list[int] = []
-            for r in sorted((r["start"], r["end"]) for r in runs):
-                if bounds and r[0] <= bounds[-1]:
-                    bounds[-1] = max(bounds[-1], r[1])
-                else:
-                    bounds += r
-            out.append(bounds)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["tid", "bounds"])
+        out = [[_union([(r["start"], r["end"]) for r in runs if r["level"] == level]) for runs in batch.column(1).to_pylist()] for level in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.list_(pa.int64())) for x in out)], ["tid", "short", "long"])
 
 
-def _hinted(small: DataFrame) -> DataFrame:
-    return F.broadcast(small) if small.count() <= MAX_BROADCAST_ROWS else small
+def _hinted(small: DataFrame, size: Column) -> DataFrame:
+    """``small`` with a broadcast hint where its rows, of ``size`` bytes each, are few enough."""
+    total = small.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(small) if total <= MAX_BROADCAST_BYTES else small
 
 
 def remove_repeats(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-    shard_contexts: int = SHARD_CONTEXTS, chunk: int = CHUNK_BYTES,
+    also: int = ALSO, shard_contexts: int = SHARD_CONTEXTS, chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """``id_col, n_bytes, spans, kept`` for every row: ``spans`` are the removed (start, end) byte runs, ``kept`` the rest.
+    """``id_col, n_bytes, spans, repeats, kept`` for every row of ``docs``.
 
-    Texts are taken as UTF-8 bytes; a null text is empty. Rows that repeat a text of ``length`` bytes lose all of it,
-    whatever their ids; of such rows one (the smallest id) stands for all in the search. An empty table gives an empty
-    result. Other columns are not read.
+    ``spans`` are the removed (start, end) byte runs, ``kept`` the rest; ``repeats`` the runs covered by strings of
+    ``also`` bytes (16 to ``length``) that start elsewhere too. Texts are taken as UTF-8 bytes; a null text is empty.
+    Rows that repeat a text of so many bytes lose all of it, whatever their ids (also null ones); of such rows one (the
+    smallest id) stands for all in the search. An empty table gives an empty result. Other columns are not read.
     """
+    also = min(also, length)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = small_batches(docs.select(F.col(id_col).alias("id"), body.alias("body")))
     rows = rows.withColumn("tid", F.unhex(F.md5("body")))
     copies = rows.select("tid", "id").groupBy("tid").agg(F.count("*").alias("n"), F.min("id").alias("rep")).where("n > 1")
-    copies = staged(spark, copies, "copies")
-    marked = rows.join(_hinted(copies), "tid", "left")
+    copies, _ = written(spark, copies, "copies")
+    marked = rows.join(_hinted(copies, F.lit(64)), "tid", "left")
     # Of copies, the one that searches; rows that repeat both text and id search together.
-    searching = marked.where((F.length("body") >= length) & (F.col("n").isNull() | F.col("id").eqNullSafe(F.col("rep"))))
+    searching = marked.where((F.length("body") >= also) & (F.col("n").isNull() | F.col("id").eqNullSafe(F.col("rep"))))
 
     def anchored(batches):
         for batch in batches:
             for tid, text, n in zip(*batch.columns, strict=True):
                 text = text.as_py()
-                first, end, keys = contexts(text, length)
+                first, end, keys = contexts(text, also)
                 view = memoryview(text)
-                whole = np.fromiter((xxhash.xxh3_64_intdigest(view[a : b + length - 1]) for a, b in zip(first.tolist(), end.tolist(), strict=True)), np.uint64, len(first))
+                whole = np.fromiter((xxhash.xxh3_64_intdigest(view[a : b + length - 1], b - a) for a, b in zip(first.tolist(), end.tolist(), strict=True)), np.uint64, len(first))
+                deep = np.clip(np.minimum(end, len(text) - length + 1) - first, 0, None)
                 k = len(first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(whole.view(np.int64)), pa.array([tid.as_py()] * k, pa.binary()), pa.array(first, pa.int64()), pa.array((end - first).astype(np.int32)), pa.array(np.full(k, n.as_py() or 1))],
-                    ["akey", "whole", "tid", "first", "count", "n"],
-                )
+                columns = [keys.view(np.int64), whole.view(np.int64), pa.array([tid.as_py()] * k, pa.binary()), first, (end - first).astype(np.int32), deep.astype(np.int32), np.full(k, n.as_py() or 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["akey", "whole", "tid", "first", "count", "deep", "n"])
 
-    found = searching.select("tid", "body", "n").mapInArrow(anchored, "akey long, whole long, tid binary, first long, count int, n long")
-    found = staged(spark, found, "anchors")
+    found = searching.select("tid", "body", "n").mapInArrow(anchored, "akey long, whole long, tid binary, first long, count int, deep int, n long")
+    found, found_at = written(spark, found, "anchors")
     kinds = found.groupBy("akey", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("tid", "first", "count")).alias("one"))
-    kinds = staged(spark, kinds.withColumn("many", F.col("n") > 1), "contexts")
+    kinds, kinds_at = written(spark, kinds.withColumn("many", F.col("n") > 1), "contexts")
     keys = kinds.groupBy("akey").agg(F.count("*").alias("m")).where("m > 1")
-    settled = found.join(kinds.where("many").select("akey", "whole"), ["akey", "whole"]).select("tid", F.col("first").alias("start"), (F.col("first") + F.col("count")).alias("end"))
-
+    settled = found.join(kinds.where("many").select("akey", "whole"), ["akey", "whole"]).select("tid", "first", "count", "deep")
+    settled, settled_at = written(spark, settled, "settled")
+    remove(spark, found_at)
     blocks = F.ceil(F.col("m") / shard_contexts).cast("long")
-    pending = kinds.join(keys, "akey").select("akey", F.pmod("whole", blocks).alias("block"), (blocks > 1).alias("split"), "n", F.col("one.tid").alias("tid"), F.col("one.first").alias("first"), F.col("one.count").alias("count"))
-    pending = staged(spark, pending, "pending")
-    sent = searching.select("tid", "body").join(_hinted(pending), "tid")
+    pending = kinds.join(keys, "akey").select("akey", F.pmod("whole", blocks).alias("block"), (blocks > 1).alias("split"), F.col("one.tid").alias("tid"), F.col("one.first").alias("first"), F.col("one.count").alias("count"))
+    pending, pending_at = written(spark, pending, "pending")
+    remove(spark, kinds_at)
+    sent = searching.select("tid", "body").join(pending, "tid")
     bytes_ = F.expr(f"substring(body, cast(first + 1 as int), cast(count + {length - 1} as int))")
-    sent = sent.select("akey", "block", "split", "tid", "first", "n", bytes_.alias("ctx"))
+    sent = sent.select("akey", "block", "split", "tid", "first", F.col("count").cast("long").alias("count"), bytes_.alias("ctx"))
     shards = sent.repartition("akey", "block").sortWithinPartitions("akey", "block")
-    starts = staged(spark, shards.mapInArrow(_shards(length, chunk), FOUND), "starts")
-    open_ = starts.where("shard is not null").repartition("d1", "d2").sortWithinPartitions("d1", "d2")
-    merged = open_.mapInArrow(_merged, "tid binary, start long, end long")
-    every = settled.unionAll(starts.where("shard is null").select("tid", "start", "end")).unionAll(merged).distinct()
-    cover = every.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("runs")).mapInArrow(_cover, "tid binary, bounds array<long>")
-    cover = staged(spark, cover, "cover")
-
-    whole = F.col("n").isNotNull() & (F.length("body") >= length)
-    out = marked.join(_hinted(cover), "tid", "left").select("id", "body", F.when(whole, F.array(F.lit(0).cast("long"), F.length("body").cast("long") - length + 1)).otherwise(F.col("bounds")).alias("bounds"))
+    kind = "tid binary, start long, end long, level int"
+    starts, starts_at = written(spark, shards.mapInArrow(_shards((also, length), chunk), f"{kind}, d1 long, d2 long"), "starts")
+    remove(spark, pending_at)
+    open_ = starts.where("d1 is not null").repartition("d1", "d2").sortWithinPartitions("d1", "d2")
+    level = lambda n, upto: settled.where(F.col(upto) > 0).select("tid", F.col("first").alias("start"), (F.col("first") + F.col(upto)).alias("end"), F.lit(n).alias("level"))
+    every = level(0, "count").unionAll(level(1, "deep")).unionAll(starts.where("d1 is null").select("tid", "start", "end", "level")).unionAll(open_.mapInArrow(_merged, kind))
+    cover = every.distinct().groupBy("tid").agg(F.collect_list(F.struct("start", "end", "level")).alias("runs"))
+    cover, _ = written(spark, cover.mapInArrow(_cover, "tid binary, short array<long>, long array<long>"), "cover")
+    remove(spark, settled_at)
+    remove(spark, starts_at)
+
+    joined = marked.join(_hinted(cover, 96 + 8 * (F.size("short") + F.size("long"))), "tid", "left")
+    n = F.length("body").cast("long")
+    whole = lambda size, bounds: F.when(F.col("n").isNotNull() & (n >= size), F.array(F.lit(0).cast("long"), n - size + 1)).otherwise(F.col(bounds)).alias(bounds)
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
     def cut(batches):
         for batch in batches:
-            sizes, spans, kept = [], [], []
-            for text, bounds in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+            sizes, both, kept = [], ([], []), []
+            for text, short, long in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 text = text.as_py()
-                mine: list[dict] = []
-                for a, b in zip((bounds or [])[::2], (bounds or [])[1::2], strict=True):
-                    b += length - 1
-                    if mine and a <= mine[-1]["end"]:
-                        mine[-1]["end"] = max(mine[-1]["end"], b)
-                    else:
-                        mine.append({"start": a, "end": b})
+                for out, bounds, size in zip(both, (long, short), (length, also), strict=True):
+                    flat = _union(list(zip((bounds or [])[::2], (bounds or [])[1::2], strict=True)), size - 1)
+                    out.append([{"start": a, "end": b} for a, b in zip(flat[::2], flat[1::2], strict=True)])
                 at, parts = 0, []
-                for s in mine:
+                for s in both[0][-1]:
                     parts.append(text[at : s["start"]])
                     at = s["end"]
                 sizes.append(len(text))
-                spans.append(mine)
                 kept.append(b"".join([*parts, text[at:]]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], [id_col, "n_bytes", "spans", "kept"]
-            )
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), *(pa.array(x, span) for x in both), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "spans", "repeats", "kept"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return out.mapInArrow(cut, f"{id_col} {kind}, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    spans = "array<struct<start:bigint,end:bigint>>"
+    return joined.select("id", "body", whole(also, "short"), whole(length, "long")).mapInArrow(cut, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_bytes long, spans {spans}, repeats {spans}, kept binary")
 
 
-def removed_bytes(spans: Column) -> Column:
+def covered_bytes(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``remove_repeats`` removes of every document; ``n_repeated`` counts the bytes of its shorter repeats."""
     out = remove_repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_bytes", removed_bytes(F.col("spans")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select(
+        "doc_id", "n_bytes", covered_bytes(F.col("spans")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"), covered_bytes(F.col("repeats")).alias("n_repeated"),
+    )
