@@ -18,7 +18,7 @@ def test_stages_against_plain_versions(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     rows = docs.collect()
     model = toxicity.learn(spark, docs, DIR)
-    calm = [r for r in rows if model.score(r["text"])[0] < 0.5]
+    calm = [r for r, s in zip(rows, model.scores([r["text"] for r in rows]), strict=True) if s[0] < 0.5]
     classes = {d: c for d, _, c in brute_classes([(r["doc_id"], r["text"]) for r in calm])}
     single = [r for r in calm if classes[str(r["doc_id"])] == r["doc_id"]]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]

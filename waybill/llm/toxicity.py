@@ -17,6 +17,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,11 @@ MAX_EXAMPLES, MAX_ENTRIES = 2000, 2_000_000
 MAX_CALIBRATION = 500
 #: What a term weighs whose odds are the same in both classes.
 FLOOR = 0.05
-BLOCK = 128
+BLOCK = 8
+#: A term that more than one in so many examples has is a column of the index's matrix.
+COMMON = 24
+#: Documents that are multiplied with it at once.
+TOGETHER = 64
 NEIGHBOURS = 16
 PRIOR_VOTE = 0.02
 #: Labels up to this number (16 bytes each) are broadcast to the documents; more are joined by shuffle.
@@ -52,66 +57,92 @@ def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Examples (terms and weights of unit length) and exact nearest-neighbour search over them.
 
-    ``entries`` are a term's runs of postings, one for each block that it occurs in, with the largest weight of the run.
+    Terms that more than one in ``COMMON`` examples has are columns of a matrix, which many queries are multiplied with
+    at once. The others have postings in runs, one for each block that a term occurs in, with the run's largest weight.
     """
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK, common: int = COMMON):
         self.n, self.block, self.blocks = len(vectors), block, -(-len(vectors) // block)
-        sizes = [len(t) for t, _ in vectors]
         term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
-        place = np.repeat(np.arange(len(vectors)), sizes)
-        order = np.lexsort((place, term))
-        term, self.place = term[order], place[order].astype(np.int32)
-        self.weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])[order]
+        place = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+        weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
+        often = np.bincount(term, minlength=terms) * common > self.n
+        self.column = np.where(often, np.cumsum(often) - 1, -1)
+        self.matrix = np.zeros((int(often.sum()), self.blocks * block))
+        dense = often[term]
+        self.matrix[self.column[term[dense]], place[dense]] = weight[dense]
+        order = np.lexsort((place, np.where(dense, terms, term)))[: int((~dense).sum())]
+        term, self.place, self.weight = term[order], place[order].astype(np.int32), weight[order]
         run = term * max(1, self.blocks) + self.place // block
         self.run_start = np.flatnonzero(np.r_[True, run[1:] != run[:-1]] if len(run) else np.zeros(0, bool))
         self.run_size = np.diff(np.r_[self.run_start, len(run)])
         self.run_block = (self.place[self.run_start] // block).astype(np.int32)
         self.run_most = np.maximum.reduceat(self.weight, self.run_start) if len(run) else np.zeros(0)
         self.first = np.searchsorted(term[self.run_start], np.arange(terms + 1))
+        self.visited = 0
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(cosines, places) of the k examples of highest positive cosine, ties by place; ``without`` is left out.
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None):
+        """For each query (cosines, places) of the k examples of highest positive cosine, ties by place.
 
-        Counts the blocks it opened in ``visited``.
+        ``without`` names an example that a query leaves out. ``visited`` counts the blocks opened.
         """
+        many = np.zeros((len(queries), len(self.matrix)))
+        for q, (terms, weights) in enumerate(queries):
+            column = self.column[terms]
+            many[q, column[column >= 0]] = weights[column >= 0]
+        many = many @ self.matrix
+        for q, (terms, weights) in enumerate(queries):
+            yield self._nearest(many[q], terms, weights, k, -1 if without is None else without[q])
+
+    def _nearest(self, sums: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, without: int):
+        """``sums`` has what common terms give; postings are added block by block, by falling upper bound."""
         start, size = self.first[terms], self.first[terms + 1] - self.first[terms]
         runs, heavy = _spread(start, size), np.repeat(weights, size)
         block = self.run_block[runs]
-        bound = np.bincount(block, heavy * self.run_most[runs], self.blocks) if len(runs) else np.zeros(self.blocks)
+        bound = sums.reshape(self.blocks, self.block).max(axis=1) + np.bincount(block, heavy * self.run_most[runs], self.blocks)
         queue = np.argsort(-bound, kind="stable")
         queue = queue[bound[queue] > 0]
-        best, at, step, self.visited = np.zeros(0), np.zeros(0, np.int64), 2, 0
-        while len(queue) and not (len(best) == k and bound[queue[0]] < best[-1] - 1e-9):
-            opened = np.zeros(self.blocks, bool)
-            opened[queue[:step]] = True
-            self.visited += min(step, len(queue))
-            queue, step = queue[step:], 2 * step
-            mine = opened[block]
+        best, at, step = np.zeros(0), np.zeros(0, np.int64), max(2, self.blocks // 16)
+        while len(queue):
+            opened, queue = queue[:step], queue[step:]
+            self.visited += len(opened)
+            local = np.full(self.blocks, -1)
+            local[opened] = np.arange(len(opened))
+            mine = local[block] >= 0
             chosen = runs[mine]
             postings = _spread(self.run_start[chosen], self.run_size[chosen])
-            sums = np.bincount(self.place[postings], np.repeat(heavy[mine], self.run_size[chosen]) * self.weight[postings], self.n)
-            found = np.flatnonzero(sums > 0)
-            found = found[found != without]
-            best, at = np.r_[best, sums[found]], np.r_[at, found]
+            place = self.place[postings]
+            found = sums.reshape(self.blocks, self.block)[opened].ravel()
+            added = np.repeat(heavy[mine], self.run_size[chosen]) * self.weight[postings]
+            found += np.bincount(local[place // self.block] * self.block + place % self.block, added, len(found))
+            places = (opened[:, None] * self.block + np.arange(self.block)).ravel()
+            found[places == without] = 0.0
+            least = best[-1] if len(best) == k else float(np.partition(found, -k)[-k]) if len(found) > k else 0.0
+            some = np.flatnonzero(found >= least if least > 0 else found > 0)
+            best, at = np.r_[best, found[some]], np.r_[at, places[some]]
             order = np.lexsort((at, -best))[:k]
             best, at = best[order], at[order]
+            if len(best) == k:  # all blocks that may still hold a nearer example, at once
+                queue = queue[bound[queue] >= best[-1] - 1e-9]
+                step = len(queue)
         return best, at
 
 
 class Model:
     """Vocabulary, weights, index, votes and curve. Plain values make one, so it travels to workers as plain values."""
 
-    def __init__(self, known: dict[str, int], scale: np.ndarray, examples: list[tuple], share: tuple[float, float], base_rate: float, curve=None, k: int = NEIGHBOURS, prior: float = PRIOR_VOTE):
-        """``examples`` are (name, label, terms, counts); ``share`` is what a clean and a toxic example stand for."""
+    def __init__(self, known: dict[str, int], scale: np.ndarray, examples: tuple, share: tuple[float, float],
+                 base_rate: float, curve=None, k: int = NEIGHBOURS, prior: float = PRIOR_VOTE):
+        """``examples``: names, labels, cuts of the terms and counts that follow; ``share``: what a clean and a toxic one stand for."""
         self.made = (known, scale, examples, share, base_rate)
         self.known, self.scale, self.k, self.prior, self.base_rate = known, scale, k, prior, base_rate
-        vectors = [self._unit(np.array(e[2], np.int64), np.array(e[3], float)) for e in examples]
+        names, labels, cuts, terms, counts = examples
+        vectors = [self._unit(terms[a:b], counts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
         heaviest = [int(t[np.argmax(w)]) for t, w in vectors]
-        like = sorted(range(len(examples)), key=lambda i: (examples[i][1], heaviest[i], i))  # like examples share blocks
+        like = sorted(range(len(names)), key=lambda i: (labels[i], heaviest[i], i))  # like examples share blocks
         self.vectors = [vectors[i] for i in like]
-        self.names, self.labels = [examples[i][0] for i in like], np.array([examples[i][1] for i in like], np.int64)
-        self.votes = np.array(share)[self.labels] if len(examples) else np.zeros(0)
+        self.names, self.labels = [names[i] for i in like], np.array([labels[i] for i in like], np.int64)
+        self.votes = np.array(share)[self.labels]
         self.index = BlockMaxIndex(self.vectors, len(known))
         self.curve = curve or self._calibrated()
 
@@ -120,11 +151,11 @@ class Model:
         raw = (1 + np.log(counts[order])) * self.scale[terms[order]]
         return terms[order], raw / math.sqrt(float((raw * raw).sum()))
 
-    def _vote(self, vector, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        near, at = self.index.nearest(*vector, self.k, without)
-        votes = near * near * self.votes[at]
-        toxic = float((votes * self.labels[at]).sum())
-        return (toxic + self.prior * self.base_rate) / (float(votes.sum()) + self.prior), near, at
+    def _votes(self, vectors: list, without: list[int] | None = None):
+        for near, at in self.index.nearest(vectors, self.k, without):
+            votes = near * near * self.votes[at]
+            toxic = float((votes * self.labels[at]).sum())
+            yield (toxic + self.prior * self.base_rate) / (float(votes.sum()) + self.prior), near, at
 
     def _calibrated(self) -> tuple[float, float]:
         """(slope, offset) of the logistic curve from votes to probabilities, by Newton steps on a ridged likelihood."""
@@ -133,7 +164,7 @@ class Model:
         if not len(chosen) or self.labels.min() == self.labels.max():
             return 4.0, -2.0
         y = self.labels[chosen].astype(float)
-        x = np.array([self._vote(self.vectors[i], i)[0] for i in chosen]) - 0.5
+        x = np.array([v for v, _, _ in self._votes([self.vectors[i] for i in chosen], chosen)]) - 0.5
         per = np.array([(self.votes * (self.labels == c)).sum() / (y == c).sum() for c in (0, 1)])[y.astype(int)]
         per = per / per.mean()
         a, b = 4.0, 0.0
@@ -147,18 +178,23 @@ class Model:
         a = max(a, 0.5)  # a higher vote never lowers a score
         return round(a, 9), round(b - a / 2, 9)
 
-    def score(self, text: str | None) -> tuple[float, list, list]:
-        """(score, names of the neighbours, their cosines)."""
-        get = self.known.get
-        counts = [(t, n) for w, n in words_of(text).items() if (t := get(w)) is not None]
-        vote, near, at = self.base_rate, np.zeros(0), np.zeros(0, np.int64)
-        if counts and len(self.names):
-            both = np.array(counts)
-            vote, near, at = self._vote(self._unit(both[:, 0], both[:, 1].astype(float)))
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list, list]]:
+        """(score, names of the neighbours, their cosines) of each text."""
         if not len(self.names):
-            return self.base_rate, [], []
-        z = self.curve[0] * vote + self.curve[1]
-        return 1 / (1 + math.exp(-min(max(z, -500.0), 500.0))), [self.names[i] for i in at], near.tolist()
+            return [(self.base_rate, [], [])] * len(texts)
+        number, vectors = self.known.__getitem__, []
+        for text in texts:
+            words = words_of(text)
+            both = words.keys() & self.known.keys()
+            terms, counts = (np.fromiter(map(f, both), np.int64, len(both)) for f in (number, words.__getitem__))
+            vectors.append(self._unit(terms, counts) if len(both) else None)
+        votes = self._votes([v for v in vectors if v is not None])
+        out = []
+        for vector in vectors:
+            vote, near, at = next(votes) if vector is not None else (self.base_rate, np.zeros(0), np.zeros(0, np.int64))
+            z = min(max(self.curve[0] * vote + self.curve[1], -500.0), 500.0)
+            out.append((round(1 / (1 + math.exp(-z)), 9), [self.names[i] for i in at], near.round(12).tolist()))
+        return out
 
 
 def term_scale(n: np.ndarray, toxic: np.ndarray, clean: np.ndarray, n_docs: int, n_toxic: int, n_clean: int) -> np.ndarray:
@@ -173,8 +209,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(labels) if few else labels, "doc_id", how)
 
 
-def _examples(spark: SparkSession, marked: DataFrame, max_examples: int, max_entries: int) -> list:
-    """Rows (label, name, words, counts) of the indexed examples.
+def _examples(spark: SparkSession, marked: DataFrame, max_examples: int, max_entries: int) -> tuple[list[str], tuple]:
+    """(words, the examples: names, labels, cuts, numbers of words, counts).
 
     Labelled texts with words, each distinct one once, in order of their hashes: ``max_examples`` of a class, less
     where they would have more than ``max_entries`` distinct words, counted text by text.
@@ -198,12 +234,19 @@ def _examples(spark: SparkSession, marked: DataFrame, max_examples: int, max_ent
     schema = T.StructType([*(once.schema[c] for c in ("label", "h", "name")), T.StructField("words", words), T.StructField("counts", numbers)])
     made = once.mapInArrow(counted, schema).where(F.size("words") > 0).dropDuplicates(["label", "h"])
     made = staged(spark, made, "example-words")
-    sizes = sorted((r["h"], r["label"], r["n"]) for r in made.select("h", "label", F.size("words").alias("n")).collect())
-    total = np.cumsum([n for _, _, n in sizes])
-    if len(sizes) and total[-1] > max_entries:
-        last = sizes[max(0, int(np.searchsorted(total, max_entries, "right")) - 1)][0]
-        made = made.where(F.col("h") <= last)
-    return sorted(made.collect(), key=lambda r: (r["h"], r["label"]))
+    sizes = made.select("h", "label", F.size("words").alias("n")).toArrow().sort_by([("h", "ascending"), ("label", "ascending")])
+    total = np.cumsum(sizes.column("n").to_numpy())
+    if len(total) and total[-1] > max_entries:
+        made = made.where(F.col("h") <= sizes.column("h")[max(0, int(np.searchsorted(total, max_entries, "right")) - 1)].as_py())
+    table = made.toArrow().sort_by([("h", "ascending"), ("label", "ascending")]).combine_chunks()
+    if not table.num_rows:
+        return [], ([], np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    words = table.column("words").combine_chunks()
+    cuts = np.r_[0, np.cumsum(pc.list_value_length(words).to_numpy())]
+    flat = words.flatten().dictionary_encode()
+    labels = (table.column("label").to_numpy() == 1).astype(np.int64)
+    counts = table.column("counts").combine_chunks().flatten().to_numpy()
+    return flat.dictionary.to_pylist(), (table.column("name").to_pylist(), labels, cuts, flat.indices.to_numpy().astype(np.int32), counts.astype(np.int32))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_entries: int = MAX_ENTRIES) -> Model:
@@ -218,11 +261,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
     docs = small_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     labels = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     labels = staged(spark, labels, "labels")
-    examples = _examples(spark, _labelled(docs, labels, "inner"), max_examples, max_entries)
-    known: dict[str, int] = {}
-    for r in examples:
-        for w in r["words"]:
-            known.setdefault(w, len(known))
+    words, examples = _examples(spark, _labelled(docs, labels, "inner"), max_examples, max_entries)
+    known = {w: i for i, w in enumerate(words)}
     shared = spark.sparkContext.broadcast(known)
 
     def count(batches):
@@ -230,7 +270,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
         tally, rows = np.zeros((len(known), 3), np.int64), np.zeros(3, np.int64)
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                at = [t for w in set(WORDS.findall((text.as_py() or "").lower())) if (t := known.get(w)) is not None]
+                both = known.keys() & set(WORDS.findall((text.as_py() or "").lower()))
+                at = np.fromiter(map(known.__getitem__, both), np.int64, len(both))
                 sides = [0] if label is None else [0, 1 if label == 1 else 2]
                 for side in sides:
                     tally[at, side] += 1
@@ -247,13 +288,11 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
         table[sums.column("term").to_numpy() + 1, i] = sums.column(c).to_numpy()
     (n_docs, n_toxic, n_clean), (n, toxic, clean) = table[0], table[1:].T
     if not n_toxic + n_clean:
-        return Model({}, np.zeros(0), [], (1.0, 1.0), 0.5)
+        return Model({}, np.zeros(0), examples, (1.0, 1.0), 0.5)
     base_rate = float(n_toxic / (n_toxic + n_clean))
-    rows = [(r["name"], int(r["label"] == 1), np.array([known[w] for w in r["words"]], np.int32), np.array(r["counts"], np.int32)) for r in examples]
-    held = [sum(1 for r in rows if r[1] == c) for c in (0, 1)]
-    share = tuple(float(m / max(1, h)) for m, h in zip((n_clean, n_toxic), held, strict=True))
-    most = max(share)
-    return Model(known, term_scale(n, toxic, clean, n_docs, n_toxic, n_clean), rows, tuple(s / most for s in share), base_rate)
+    held = np.bincount(examples[1], minlength=2)
+    share = [float(m / max(1, h)) for m, h in zip((n_clean, n_toxic), held, strict=True)]
+    return Model(known, term_scale(n, toxic, clean, n_docs, n_toxic, n_clean), examples, (share[0] / max(share), share[1] / max(share)), base_rate)
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
@@ -276,7 +315,8 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] |
         model = None
         for batch in batches:
             model = model or Model(*shared.value, curve=curve)
-            scored = [model.score(t.as_py()) for t in batch.column(len(keep))]
+            texts = batch.column(len(keep))
+            scored = [x for a in range(0, len(texts), TOGETHER) for x in model.scores(texts.slice(a, TOGETHER).to_pylist())]
             names = pa.array([s[1] for s in scored], listed)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array([s[0] for s in scored], pa.float64()), names, pa.array([s[2] for s in scored], pa.list_(pa.float64()))], schema.names
