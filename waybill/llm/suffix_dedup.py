@@ -26,8 +26,8 @@ ALSO = 250
 #: Bytes after an anchor that its key is made of, at most half the shorter length.
 KEY_BYTES = 64
 #: Contexts of one key in a shard, about, and bytes of contexts sorted at once.
-SHARD_CONTEXTS = 4000
-CHUNK_BYTES = 2 << 20
+SHARD_CONTEXTS = 2000
+CHUNK_BYTES = 1 << 20
 #: Tables up to this size, by their rows and the values in them, are broadcast to the texts; more are joined by shuffle.
 MAX_BROADCAST_BYTES = 96 << 20
 _PLACE = 20  # bits of a place in a text; longer texts are cut into overlapping parts
@@ -71,18 +71,21 @@ def contexts(text: bytes, length: int = ALSO) -> tuple[np.ndarray, np.ndarray, n
     return first, np.r_[first[1:], starts], keys
 
 
-def _refined(rank: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
-    """Ranks by twice as many bytes: groups of equal rank are sorted by the rank ``step`` places on; others stay."""
+def _refined(rank: np.ndarray, at: np.ndarray, steps: list[int]) -> np.ndarray:
+    """Ranks by more bytes: groups of equal rank are sorted by the ranks ``steps`` places on; others stay."""
     own = rank[at]
     counts = np.bincount(own)
     start = np.cumsum(counts) - counts
     out = start[own]
     many = np.flatnonzero(counts[own] > 1)
-    pair = (own[many].astype(np.uint64) << np.uint64(32)) | rank[at[many] + step].astype(np.uint64)
-    order = np.argsort(pair)
-    sorted_pair = pair[order]
-    new = np.r_[True, sorted_pair[1:] != sorted_pair[:-1]]
-    group = sorted_pair >> np.uint64(32)
+    bits = np.uint64(64 // (1 + len(steps)))
+    key = own[many].astype(np.uint64)
+    for step in steps:
+        key = key << bits | rank[at[many] + step].astype(np.uint64)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.r_[True, key[1:] != key[:-1]]
+    group = key >> bits * np.uint64(len(steps))
     head = np.r_[True, group[1:] != group[:-1]]
     place = np.arange(len(order))
     inside = np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(head, place, 0))
@@ -91,26 +94,29 @@ def _refined(rank: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
 
 
 def suffix_order(text: np.ndarray, words: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, rank) of the suffixes at ``at`` by their first ``length`` bytes, by doubling from 8 bytes.
+    """(order, rank) of the suffixes at ``at`` by their first ``length`` bytes.
 
-    Each depth ranks only those places that the next depth looks at.
+    Larsson-Sadakane refinement from 8 bytes on: a depth is two of the depth before, or three where three ranks fit in
+    a key of 64 bits. Each depth ranks only those places that the next depth looks at.
     """
+    parts = 3 if len(text) < 1 << 21 else 2
     depths = [length]
     while depths[-1] > 8:
-        depths.append(max(8, -(-depths[-1] // 2)))
+        depths.append(max(8, -(-depths[-1] // parts)))
     depths = depths[::-1]
+    steps = [[min(shallow * i, deep - shallow) for i in range(1, parts)] for shallow, deep in zip(depths, depths[1:], strict=False)]
     needed = [at]
-    for deep, shallow in zip(depths[::-1], depths[-2::-1], strict=False):
+    for ahead in steps[::-1]:
         mask = np.zeros(len(text), bool)
         mask[needed[-1]] = True
-        mask[needed[-1] + (deep - shallow)] = True
+        for step in ahead:
+            mask[needed[-1] + step] = True
         needed.append(np.flatnonzero(mask))
     needed = needed[::-1]
     rank = np.zeros(len(text), np.int64)
     rank[needed[0]] = np.unique(words[needed[0]].byteswap(), return_inverse=True)[1]
-    for shallow, deep, places in zip(depths, depths[1:], needed[1:], strict=False):
-        refined = _refined(rank, places, deep - shallow)
-        rank[places] = refined
+    for ahead, places in zip(steps, needed[1:], strict=True):
+        rank[places] = _refined(rank, places, ahead)
     return np.argsort(rank[at], kind="stable"), rank[at]
 
 
@@ -275,10 +281,25 @@ def _union(runs: list[tuple[int, int]], reach: int = 0) -> list[int]:
 
 
 def _cover(batches):
-    """(tid, runs of starts) -> (tid, bounds of the union of starts at either length)."""
+    """(tid, runs of starts) -> (tid, bounds of the union of starts at the shorter and at the longer length)."""
     for batch in batches:
-        out = [[_union([(r["start"], r["end"]) for r in runs if r["level"] == level]) for runs in batch.column(1).to_pylist()] for level in (0, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.list_(pa.int64())) for x in out)], ["tid", "short", "long"])
+        runs = batch.column(1)
+        size, flat = pc.list_value_length(runs).to_numpy(zero_copy_only=False), runs.flatten()
+        row = np.repeat(np.arange(len(size)), size)
+        start, end, level = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("start", "end", "level"))
+        out = []
+        for n in (0, 1):
+            mine = np.flatnonzero(level == n)
+            mine = mine[np.lexsort((start[mine], row[mine]))]
+            r, a, b = row[mine], start[mine], end[mine]
+            base = r * (np.int64(1) << 40)  # beyond any text, so runs of two rows never touch
+            far = np.maximum.accumulate(base + b) if len(mine) else b
+            new = np.r_[True, (base + a)[1:] > far[:-1]] if len(mine) else np.zeros(0, bool)
+            last = np.r_[new[1:], True] if len(mine) else new
+            bounds = np.c_[a[new], (far - base)[last]].ravel()
+            cuts = np.r_[0, np.cumsum(2 * np.bincount(r[new], minlength=len(size)))]
+            out.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(bounds)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *out], ["tid", "short", "long"])
 
 
 def _hinted(small: DataFrame, size: Column) -> DataFrame:
@@ -309,6 +330,16 @@ def remove_repeats(
     searching = marked.where((F.length("body") >= also) & (F.col("n").isNull() | F.col("id").eqNullSafe(F.col("rep"))))
 
     def anchored(batches):
+        names = ["akey", "whole", "tid", "first", "count", "deep", "n"]
+
+        def flush(held):
+            counts = [len(h[0]) for h in held]
+            owner = pa.array(np.repeat(np.arange(len(held)), counts))
+            columns = [np.concatenate([h[i] for h in held]) for i in range(5)]
+            tids, copies = pa.array([h[5] for h in held], pa.binary()).take(owner), pa.array([h[6] for h in held], pa.int64()).take(owner)
+            return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), tids, *(pa.array(c) for c in columns[2:]), copies], names)
+
+        held, size = [], 0
         for batch in batches:
             for tid, text, n in zip(*batch.columns, strict=True):
                 text = text.as_py()
@@ -316,9 +347,13 @@ def remove_repeats(
                 view = memoryview(text)
                 whole = np.fromiter((xxhash.xxh3_64_intdigest(view[a : b + length - 1], b - a) for a, b in zip(first.tolist(), end.tolist(), strict=True)), np.uint64, len(first))
                 deep = np.clip(np.minimum(end, len(text) - length + 1) - first, 0, None)
-                k = len(first)
-                columns = [keys.view(np.int64), whole.view(np.int64), pa.array([tid.as_py()] * k, pa.binary()), first, (end - first).astype(np.int32), deep.astype(np.int32), np.full(k, n.as_py() or 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["akey", "whole", "tid", "first", "count", "deep", "n"])
+                held.append((keys.view(np.int64), whole.view(np.int64), first, (end - first).astype(np.int32), deep.astype(np.int32), tid.as_py(), n.as_py() or 1))
+                size += len(first)
+                if size >= 20_000:
+                    yield flush(held)
+                    held, size = [], 0
+        if held:
+            yield flush(held)
 
     found = searching.select("tid", "body", "n").mapInArrow(anchored, "akey long, whole long, tid binary, first long, count int, deep int, n long")
     found, found_at = written(spark, found, "anchors")
@@ -332,7 +367,7 @@ def remove_repeats(
     pending = kinds.join(keys, "akey").select("akey", F.pmod("whole", blocks).alias("block"), (blocks > 1).alias("split"), F.col("one.tid").alias("tid"), F.col("one.first").alias("first"), F.col("one.count").alias("count"))
     pending, pending_at = written(spark, pending, "pending")
     remove(spark, kinds_at)
-    sent = searching.select("tid", "body").join(pending, "tid")
+    sent = searching.select("tid", "body").join(pending.hint("shuffle_hash"), "tid")
     bytes_ = F.expr(f"substring(body, cast(first + 1 as int), cast(count + {length - 1} as int))")
     sent = sent.select("akey", "block", "split", "tid", "first", F.col("count").cast("long").alias("count"), bytes_.alias("ctx"))
     shards = sent.repartition("akey", "block").sortWithinPartitions("akey", "block")
@@ -342,7 +377,7 @@ def remove_repeats(
     open_ = starts.where("d1 is not null").repartition("d1", "d2").sortWithinPartitions("d1", "d2")
     level = lambda n, upto: settled.where(F.col(upto) > 0).select("tid", F.col("first").alias("start"), (F.col("first") + F.col(upto)).alias("end"), F.lit(n).alias("level"))
     every = level(0, "count").unionAll(level(1, "deep")).unionAll(starts.where("d1 is null").select("tid", "start", "end", "level")).unionAll(open_.mapInArrow(_merged, kind))
-    cover = every.distinct().groupBy("tid").agg(F.collect_list(F.struct("start", "end", "level")).alias("runs"))
+    cover = every.groupBy("tid").agg(F.collect_list(F.struct("start", "end", "level")).alias("runs"))
     cover, _ = written(spark, cover.mapInArrow(_cover, "tid binary, short array<long>, long array<long>"), "cover")
     remove(spark, settled_at)
     remove(spark, starts_at)
