@@ -27,7 +27,7 @@ from .common import small_batches, staged
 
 WORDS = re.compile(r"[^\W\d_]+")
 #: Labelled examples of each class that the index holds at most, and entries (an example's distinct words) of all.
-MAX_EXAMPLES, MAX_ENTRIES = 2000, 2_000_000
+MAX_EXAMPLES, MAX_ENTRIES = 1500, 2_000_000
 #: Examples of each class whose votes, themselves left out, the curve is fitted on at most.
 MAX_CALIBRATION = 500
 #: What a term weighs whose odds are the same in both classes.
