@@ -58,9 +58,30 @@ def test_against_brute_force(spark):
     assert got(spark, docs, items) == brute(docs, items)
 
 
-def test_blocks_give_the_same(spark):
+def test_salted_joins_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(dc, "MAX_BROADCAST_KEYS", -1)
+    monkeypatch.setattr(dc, "MAX_BROADCAST_ROWS", -1)
     docs, items = fixture()
-    assert got(spark, docs, items, block_words=150) == brute(docs, items)
+    assert got(spark, docs, items) == brute(docs, items)
+
+
+def test_one_plan_for_any_benchmark(spark):
+    """A benchmark of 1.5 million words has the plan of a small one, and its common passage is found everywhere."""
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(3000)]
+    passage = " ".join(rnd.choice(vocab) for _ in range(25))
+    items = [(i, " ".join(rnd.choices(vocab, k=1000)) + " " + passage * (i % 2)) for i in range(1500)]
+    docs = [(i, f"{i} before {passage} after" if i % 3 else f"{i} plain") for i in range(300)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    plans = []
+    for some in (items[:2], items):
+        b = spark.createDataFrame(some, "item_id long, text string")
+        found = dc.find_contamination(spark, d, b)
+        plans.append(found._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        rows = found.collect()
+        assert all(len(r["items"]) == len(some) // 2 * (r["doc_id"] % 3 > 0) for r in rows)
+        assert all(sum(s["end"] - s["start"] for s in r["spans"]) == 25 * (r["doc_id"] % 3 > 0) for r in rows)
+    assert plans[0] == plans[1]
 
 
 def test_every_shared_span_leaves_a_common_fingerprint():

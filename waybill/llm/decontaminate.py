@@ -2,7 +2,8 @@
 
 Every text keeps, of each window of consecutive k-gram hashes, the smallest. A span of ``words`` words that a document
 and an item share has the same window in both, so it leaves the same fingerprint in both. Fingerprints of documents are
-looked up among those of the items; a hit is extended to the windows of words around it, which are compared word by word.
+joined with those of the items; texts with common ones extend each hit to the windows of words around it, and those
+windows are joined, word for word, with the windows of the items.
 """
 
 from __future__ import annotations
@@ -14,12 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_worker, small_batches
+from .common import small_batches, staged
 
 #: Words of a window, and of a winnowed k-gram.
 WORDS, GRAM = 10, 5
-#: Words of all items that a task holds at once (some 100 bytes each); larger benchmarks are taken in blocks.
-BLOCK_WORDS = 400_000
+#: Fingerprints of the benchmark up to this number (16 bytes each) are broadcast; more are joined by a salted shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
+SALTS = 16
+#: Texts with hits are broadcast up to this many rows and windows (some 100 bytes each); more are joined by shuffle.
+MAX_BROADCAST_ROWS = 300_000
+#: Fixed value: a word, of letters and digits and all beyond ASCII, before letters become lower case.
+WORD_RE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes that words consist of (digits, letters and all beyond ASCII); letters become lower case.
 _KEEP = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -63,122 +69,133 @@ def winnow(numbers: np.ndarray, words: int = WORDS, k: int = GRAM) -> np.ndarray
     return np.unique(np.arange(len(views)) + views.argmin(axis=1))
 
 
-class Benchmark:
-    """Items of one block: fingerprints of long items, and whole short items by their number of words."""
+def keys_of(numbers: np.ndarray, words: int, k: int, shorter: list[int]) -> np.ndarray:
+    """Distinct fingerprints of a text, and the hashes of all its n-grams for each n of ``shorter``; n is part of a key."""
+    parts = [gram_hashes(numbers, k)[winnow(numbers, words, k)] * np.uint64(words), *(gram_hashes(numbers, n) * np.uint64(2 * n + 1) for n in shorter)]
+    return np.unique(np.concatenate(parts))
 
-    def __init__(self, items: list[tuple[str, str]], words: int = WORDS, k: int = GRAM):
-        self.words, self.k = words, k
-        numbers = Numbers()
-        prints = []
-        self.windows: dict[tuple[bytes, ...], set[str]] = {}
-        self.short: dict[int, np.ndarray] = {}
-        shorts: dict[int, list] = {}
-        for name, text in items:
-            item = words_of(text)
-            at = np.array([numbers[w] for w in item], np.uint64)
-            if len(item) >= words:
-                prints.append(gram_hashes(at, k)[winnow(at, words, k)])
-                for i in range(len(item) - words + 1):
-                    self.windows.setdefault(tuple(item[i : i + words]), set()).add(name)
-            elif item:
-                self.windows.setdefault(tuple(item), set()).add(name)
-                shorts.setdefault(len(item), []).append(gram_hashes(at, len(item)))
-        self.prints = np.unique(np.concatenate(prints)) if prints else np.zeros(0, np.uint64)
-        self.short = {n: np.unique(np.concatenate(x)) for n, x in shorts.items()}
-
-    def hits(self, words: list[bytes], numbers: Numbers) -> tuple[np.ndarray, set[str]]:
-        """(whether each word is in an occurrence of a window, names of the items with occurring windows)."""
-        edge = np.zeros(len(words) + 1, np.int64)
-        names: set[str] = set()
-        at = np.fromiter(map(numbers.__getitem__, words), np.uint64, len(words))
-        starts: dict[int, set[int]] = {}
-        places = winnow(at, self.words, self.k)
-        if len(places) and len(self.prints):
-            found = gram_hashes(at, self.k)[places]
-            slot = np.minimum(np.searchsorted(self.prints, found), len(self.prints) - 1)
-            for p in places[self.prints[slot] == found]:
-                first, last = max(0, p + self.k - self.words), min(p, len(words) - self.words)
-                starts.setdefault(self.words, set()).update(range(first, last + 1))
-        for n, prints in self.short.items():
-            own = gram_hashes(at, n)
-            slot = np.minimum(np.searchsorted(prints, own), len(prints) - 1)
-            starts.setdefault(n, set()).update(np.flatnonzero(prints[slot] == own).tolist())
-        for n, places in starts.items():
-            for i in places:
-                if (items := self.windows.get(tuple(words[i : i + n]))) is not None:
-                    edge[i] += 1
-                    edge[i + n] -= 1
-                    names |= items
-        return np.cumsum(edge)[:-1] > 0, names
-
-
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, limit: int = BLOCK_WORDS):
-    """Items in blocks of ``limit`` words at most (or one item), streamed to the driver a partition at a time."""
-    items, size = [], 0
-    for r in benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator():
-        n = len(words_of(r[1]))
-        if items and size + n > limit:
-            yield items
-            items, size = [], 0
-        if r[0] is not None and n:
-            items.append((r[0], r[1]))
-            size += n
-    if items:
-        yield items
+
+def window_starts(numbers: np.ndarray, found: np.ndarray, words: int, k: int, shorter: list[int]) -> list[tuple[int, int]]:
+    """(start, words) of the windows that a text's keys among ``found`` can be part of."""
+    places = winnow(numbers, words, k)
+    hits = places[np.isin(gram_hashes(numbers, k)[places] * np.uint64(words), found)]
+    starts = {s for p in hits.tolist() for s in range(max(0, p + k - words), min(p, len(numbers) - words) + 1)}
+    out = [(s, words) for s in sorted(starts)]
+    for n in shorter:
+        out += [(int(s), n) for s in np.flatnonzero(np.isin(gram_hashes(numbers, n) * np.uint64(2 * n + 1), found))]
+    return out
+
+
+def _item_windows(items: DataFrame, words: int) -> DataFrame:
+    """``item, n, window`` of every window of every item: ``words`` words, or all of an item of fewer."""
+
+    def run(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 64):
+                out = []
+                for name, text in zip(*(c.slice(a, 64).to_pylist() for c in batch.columns), strict=True):
+                    item = words_of(text)
+                    n = min(words, len(item))
+                    out += [(name, n, b" ".join(item[i : i + n])) for i in range(len(item) - n + 1) if n]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], ["item", "n", "window"])
+
+    return items.mapInArrow(run, "item string, n int, window binary").distinct()
 
 
 def find_contamination(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", words: int = WORDS, k: int = GRAM, block_words: int = BLOCK_WORDS,
-    keep: list[str] | None = None,
+    item_col: str = "item_id", item_text_col: str = "text", words: int = WORDS, k: int = GRAM, keep: list[str] | None = None,
 ) -> DataFrame:
     """``keep`` columns (``id_col`` unless given), ``n_words, spans, items`` for every row of ``docs``.
 
     ``spans`` lists the maximal runs of hit words as (start, end) word numbers; ``items`` the sorted item ids. Null
     and empty texts have no words; items without words or without an id never occur; items that repeat an id are
-    taken together. A benchmark larger than a block is a stated query set: each block passes over all rows in turn,
-    and hits of earlier blocks are carried along with their row.
+    taken together. Rows that repeat an id or a text are answered each; texts are searched once. Empty tables of either
+    kind give rows without hits, or no rows. Columns beside ``keep`` are not read.
     """
     keep = keep or [id_col]
-    rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text")))
-    rows = rows.withColumns({"__n": F.lit(0).cast("long"), "__runs": F.expr("cast(array() as array<long>)"), "__items": F.expr("cast(array() as array<string>)")})
-
-    def passed(rows: DataFrame, items: list) -> DataFrame:
-        schema = rows.schema
-
-        def run(batches):
-            free_worker()
-            numbers, held = Numbers(), Benchmark(items, words, k)
-            for batch in batches:
-                lead = len(keep)
-                n_words, runs, names = [], [], []
-                for text, old_runs, old_items in zip(*(batch.column(lead + i) for i in (0, 2, 3)), strict=True):
-                    tokens = words_of(text.as_py())
-                    hit, found = held.hits(tokens, numbers)
-                    for a, b in zip(old_runs.as_py()[::2], old_runs.as_py()[1::2], strict=True):
-                        hit[a:b] = True
-                    cuts = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
-                    n_words.append(len(tokens))
-                    runs.append(cuts.tolist())
-                    names.append(sorted(found.union(old_items.as_py())))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[: lead + 1], pa.array(n_words, pa.int64()), pa.array(runs, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], schema.names
-                )
-
-        return rows.mapInArrow(run, schema)
-
-    blocks = 0
-    for items in blocks_of(benchmark, item_col, item_text_col, block_words):
-        rows, blocks = passed(rows, items), blocks + 1
-    if not blocks:
-        rows = passed(rows, [])
-    spans = F.when(F.size("__runs") == 0, F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")).otherwise(
-        F.expr("transform(sequence(0, cast(size(__runs) / 2 as int) - 1), i -> struct(__runs[2 * i] as start, __runs[2 * i + 1] as end))")
-    )
-    return rows.select(*keep, F.col("__n").alias("n_words"), spans.alias("spans"), F.col("__items").alias("items"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = small_batches(docs.select(*[F.col(c) for c in keep], text.alias("__text"))).withColumn("__tid", F.unhex(F.md5(F.col("__text").cast("binary"))))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item is not null and text is not null")
+    windows = staged(spark, _item_windows(items, words), "windows")
+    shorter = sorted(r["n"] for r in windows.where(F.col("n") < words).select("n").distinct().collect())  # fewer than ``words``
+
+    def item_keys(batches):
+        numbers = Numbers()
+        for batch in batches:
+            out = []
+            for text in batch.column(0):
+                item = words_of(text.as_py())
+                at = np.array([numbers[w] for w in item], np.uint64)
+                out.append(keys_of(at, words, k, [len(item)] if 0 < len(item) < words else []))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out or [np.zeros(0, np.uint64)]).view(np.int64))], ["key"])
+
+    def text_keys(batches):
+        numbers = Numbers()
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                out = []
+                for text in batch.column(1).slice(a, 256):
+                    found = words_of(text.as_py())
+                    out.append(keys_of(np.fromiter(map(numbers.__getitem__, found), np.uint64, len(found)), words, k, shorter))
+                cuts = np.r_[0, np.cumsum([len(x) for x in out])].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, 256), pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(out).view(np.int64)))], ["tid", "keys"])
+
+    known = staged(spark, items.select("text").mapInArrow(item_keys, "key long").distinct(), "keys")
+    texts = rows.select(F.col("__tid").alias("tid"), F.col("__text").alias("text"))
+    own = texts.mapInArrow(text_keys, "tid binary, keys array<long>").select("tid", F.explode("keys").alias("key"))
+    if known.count() <= MAX_BROADCAST_KEYS:
+        common = own.join(F.broadcast(known), "key", "left_semi")
+    else:  # a key that many texts have is dealt out to SALTS tasks
+        copies = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        common = own.withColumn("salt", F.pmod(F.xxhash64("tid"), F.lit(SALTS)).cast("int")).join(copies, ["key", "salt"], "left_semi")
+    hits = staged(spark, common.groupBy("tid").agg(F.collect_set("key").alias("keys")), "hits")
+
+    def extend(batches):
+        numbers = Numbers()
+        for batch in batches:
+            out = []
+            for tid, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = words_of(text)
+                at = np.fromiter(map(numbers.__getitem__, own), np.uint64, len(own))
+                out += [(tid, s, n, b" ".join(own[s : s + n])) for s, n in window_starts(at, np.array(found, np.int64).view(np.uint64), words, k, shorter)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["tid", "start", "n", "window"])
+
+    few = hits.count() <= MAX_BROADCAST_ROWS
+    once = texts.join(F.broadcast(hits.select("tid")) if few else hits.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
+    extended = once.join(hits, "tid").select("tid", "text", "keys").mapInArrow(extend, "tid binary, start long, n int, window binary")
+    matched = extended.join(windows, ["window", "n"]).groupBy("tid").agg(F.collect_set(F.struct("start", "n")).alias("runs"), F.sort_array(F.collect_set("item")).alias("items"))
+    matched = staged(spark, matched.mapInArrow(_spans, f"tid binary, spans {SPANS}, items array<string>"), "matched")
+    size = matched.agg(F.count("*") + F.sum(F.size("spans") + F.size("items"))).first()[0] or 0
+    joined = rows.join(F.broadcast(matched) if size <= MAX_BROADCAST_ROWS else matched, rows["__tid"] == matched["tid"], "left")
+    none = lambda c, kind: F.coalesce(c, F.expr(f"cast(array() as {kind})")).alias(c)
+    return joined.select(*keep, F.regexp_count("__text", F.lit(WORD_RE)).cast("long").alias("n_words"), none("spans", SPANS), none("items", "array<string>"))
+
+
+SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _spans(batches):
+    """(tid, windows, items) -> (tid, the maximal runs of words that windows cover, items)."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for batch in batches:
+        out = []
+        for runs in batch.column(1).to_pylist():
+            spans: list[dict] = []
+            for r in sorted(runs, key=lambda r: r["start"]):
+                end = r["start"] + r["n"]
+                if spans and r["start"] <= spans[-1]["end"]:
+                    spans[-1]["end"] = max(spans[-1]["end"], end)
+                else:
+                    spans.append({"start": r["start"], "end": end})
+            out.append(spans)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind), batch.column(2)], ["tid", "spans", "items"])
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and occurring items of every document; odd rows and empty tables: see ``find_contamination``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = find_contamination(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
