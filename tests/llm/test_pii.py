@@ -41,13 +41,13 @@ def sample():
 def test_labels_carry_over_to_repeats(spark):
     texts = [
         "call +1 (212) 555-0147 today; later 555-0147 or 2125550147 again",
-        "4465758382889437 4465758382889437",
+        "4465758382889437 4041894974608795 paid",
         "number 5550147 alone and 5550148",
         None, "", "no digits", "1 " * 5000, "a" * 20000 + "@" + "b" * 20000,
     ]
     docs = spark.createDataFrame(sample(), "doc_id long, text string")
     field = pii.fit(spark, docs)
-    assert field.skip > 0.5
+    assert field.skip[4] > 0.5 and field.skip[0] == 0
     more = spark.createDataFrame([(i, t, "clash", 1) for i, t in enumerate(texts)] + [(0, texts[0], "", 2), (None, "x@y.z", "", 3)], "doc_id long, text string, base string, added int")
     rows = pii.find_pii(more, field).collect()
     assert len(rows) == len(texts) + 2
@@ -58,20 +58,84 @@ def test_labels_carry_over_to_repeats(spark):
         said = [(text[s["start"] : s["end"]], s["kind"]) for s in r["added"]]
         if r["doc_id"] == 0:
             assert said == [("555-0147", "phone"), ("2125550147", "phone")]
+        if r["doc_id"] == 1:  # the pattern takes both cards for one number and drops it
+            assert said == [("4465758382889437", "card"), ("4041894974608795", "card")]
         if r["doc_id"] in (2, 3, 4, 5, 6, 7):
             assert said == []
 
 
+def test_planted_repeats(spark):
+    """Repeats that the base patterns miss, among numbers that are none: what is added is right, and little is missed."""
+    rnd = random.Random(8)
+    field = pii.fit(spark, spark.createDataFrame(sample(), "doc_id long, text string"))
+    right = wrong = missed = 0
+    for i in range(200):
+        code, last = rnd.randrange(200, 999), f"555-{rnd.randrange(1000, 9999)}"
+        filler = lambda: " ".join(rnd.choice(["ab", "cd.", f"{rnd.randrange(10**6)}", f"{rnd.randrange(10**15, 10**16)}", f"19{rnd.randrange(10, 99)}"]) for _ in range(rnd.randrange(1, 30)))
+        repeat = rnd.choice([last, f"{code}{last.replace('-', '')}", f"({code}){last}"])
+        text = f"{filler()} word +1 ({code}) {last} end {filler()} word {repeat} end {filler()}"
+        at = text.index(f"word {repeat} end") + 5
+        base, added, _ = pii.find(text, field)
+        want = {(at, 4, at + len(repeat))}
+        got = {a for a in added if not (a[1] == 3 and pii.unit_ok(3, text[a[0] : a[2]]))}
+        right, wrong, missed = right + len(got & want), wrong + len(got - want), missed + len(want - got)
+    assert right >= 0.95 * (right + missed) and right >= 0.95 * (right + wrong), (right, wrong, missed)
+
+
+def test_secrets_and_their_repeats(spark):
+    secret = "04debbab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [(i, f'x token = "{i:08x}{secret[8:]}" y {i}') for i in range(100)]
+    field = pii.fit(spark, spark.createDataFrame(rows + [(1000 + i, t) for i, t in sample()], "doc_id long, text string"))
+    text = f'token = "{secret}" then again {secret}. And 12345678901234567 or password: none'
+    base, added, secrets = pii.find(text, field)
+    assert [text[a:b] for a, _, b in secrets] == [secret, secret] and not base and not added
+
+
+def test_fitting_draws_tokens_over_the_whole_text(spark):
+    text = "12 " * 5000 + "+1 (212) 555-0147 " * 500
+    field = pii.fit(spark, spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert np.abs(field.unary[:, 4]).max() > 0.05  # phones, which come late, are learnt
+
+
+def test_weights_by_pseudo_likelihood():
+    """The fitted weights are where the likelihood's numeric gradient vanishes, up to the ridge."""
+    rnd = np.random.default_rng(5)
+    x, y = rnd.normal(size=(300, 3)), rnd.integers(0, pii.LABELS, 300)
+    chain, skip = rnd.integers(0, 2, (300, pii.LABELS)), rnd.integers(0, 2, (300, pii.LABELS))
+    skip[np.arange(300), y] += 1
+    field = pii.fit_weights(x, y, chain, skip, steps=4000)
+
+    def value(u, wc, ws):
+        z = x @ u + wc * np.minimum(chain, 2) * (np.arange(pii.LABELS) > 0) + ws * np.minimum(skip, 2) * (np.arange(pii.LABELS) > 0)
+        return (z[np.arange(300), y] - np.log(np.exp(z).sum(axis=1))).mean() - 5e-5 * ((u * u).sum() + (wc * wc).sum() + (ws * ws).sum())
+
+    here = value(field.unary, field.chain, field.skip)
+    assert min(field.skip[1:]) > 0.3
+    for d in (0.01, -0.01):
+        for label in range(1, pii.LABELS):
+            step = d * (np.arange(pii.LABELS) == label)
+            assert value(field.unary, field.chain, field.skip + step) < here
+            if field.chain[label] > 0.01:
+                assert value(field.unary, field.chain + step, field.skip) < here
+        u = field.unary.copy()
+        u[1, 2] += d
+        assert value(u, field.chain, field.skip) < here
+
+
 def test_passing_matches_enumeration_on_a_tree():
-    g = pii.Graph("+1 (212) 555-0147 x 555-0147", pii.base_spans("+1 (212) 555-0147 x 555-0147"))
+    text = "+1 (212) 555-0147 x 555-0147"
+    g = pii.Graph(text, pii.base_spans(text))
     rnd = np.random.default_rng(0)
     g.chain, g.skip = [(0, 1), (1, 2)], [(2, 3)]
     g.spans, g.clamped, g.features = g.spans[:4], [-1] * 4, rnd.normal(size=(4, pii.FEATURES))
-    field = pii.Field(rnd.normal(size=(pii.FEATURES, 5)) / 3, 0.7, 1.3)
+    some = np.arange(pii.LABELS) > 0
+    chain, skip = rnd.random(pii.LABELS) * some, 2 * rnd.random(pii.LABELS) * some
+    field = pii.Field(rnd.normal(size=(pii.FEATURES, pii.LABELS)) / 3, chain, skip)
     node = g.features @ field.unary
-    want = np.zeros((4, 5))
-    for y in np.ndindex(5, 5, 5, 5):
-        w = np.exp(sum(node[i, y[i]] for i in range(4)) + 0.7 * (y[0] == y[1]) + 0.7 * (y[1] == y[2]) + 1.3 * (y[2] == y[3]))
+    want = np.zeros((4, pii.LABELS))
+    for y in np.ndindex(*[pii.LABELS] * 4):
+        agree = lambda a, b, w: w[y[a]] * (y[a] == y[b])  # noqa: B023, E731
+        w = np.exp(sum(node[i, y[i]] for i in range(4)) + agree(0, 1, chain) + agree(1, 2, chain) + agree(2, 3, skip))
         for i in range(4):
             want[i, y[i]] += w
     want /= want.sum(axis=1, keepdims=True)
@@ -80,7 +144,7 @@ def test_passing_matches_enumeration_on_a_tree():
 
 def test_query_columns_and_empty(spark):
     out = pii.op8_pii(spark, "/root/testdata/sf0.001")
-    assert out.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    assert out.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "secrets", "n_found"]
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     for r in out.collect():
         want = ",".join(f"{pii.KINDS[k - 1]}:{a}:{b}" for a, k, b in brute(texts[r["doc_id"]]))
