@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import small_batches, staged
 
@@ -24,8 +25,6 @@ MAX_BROADCAST_KEYS = 1_000_000
 SALTS = 16
 #: Texts with hits are broadcast up to this many rows and windows (some 100 bytes each); more are joined by shuffle.
 MAX_BROADCAST_ROWS = 300_000
-#: Fixed value: a word, of letters and digits and all beyond ASCII, before letters become lower case.
-WORD_RE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes that words consist of (digits, letters and all beyond ASCII); letters become lower case.
 _KEEP = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -171,7 +170,16 @@ def find_contamination(
     size = matched.agg(F.count("*") + F.sum(F.size("spans") + F.size("items"))).first()[0] or 0
     joined = rows.join(F.broadcast(matched) if size <= MAX_BROADCAST_ROWS else matched, rows["__tid"] == matched["tid"], "left")
     none = lambda c, kind: F.coalesce(c, F.expr(f"cast(array() as {kind})")).alias(c)
-    return joined.select(*keep, F.regexp_count("__text", F.lit(WORD_RE)).cast("long").alias("n_words"), none("spans", SPANS), none("items", "array<string>"))
+    joined = joined.select(*keep, F.col("__text").alias("n_words"), none("spans", SPANS), none("items", "array<string>"))
+    at = len(keep)
+
+    def count(batches):
+        for batch in batches:
+            n = pa.array([len(words_of(t.as_py())) for t in batch.column(at)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], n, *batch.columns[at + 1 :]], batch.schema.names)
+
+    fields = [T.StructField("n_words", T.LongType()) if i == at else f for i, f in enumerate(joined.schema.fields)]
+    return joined.mapInArrow(count, T.StructType(fields))
 
 
 SPANS = "array<struct<start:bigint,end:bigint>>"
