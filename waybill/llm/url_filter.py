@@ -1,8 +1,9 @@
 """URL verdicts: host rules first, else an empirical-Bayes reputation of the host.
 
-Labelled page outcomes are counted per host, registered domain and suffix. Each level's bad rate is shrunk by a
-beta-binomial prior centred on the level above (suffix: the global rate); the prior's weight is estimated at every
-level by moments. A host is blocked where the lower bound of its posterior bad rate passes a threshold.
+Labelled page outcomes are counted per host, once; domains and suffixes are sums of hosts. Each level's bad rate is
+shrunk by a beta-binomial prior centred on the level above (suffix: the global rate), whose weight is estimated at
+every level by moments around those centres. A host is blocked where the lower 5 % quantile of its beta posterior lies
+above a threshold, that is where the posterior gives the rates up to the threshold less than 5 %.
 All of it is DataFrame functions.
 """
 
@@ -11,11 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import staged
+
 #: (rule, verdict): a host, then a path prefix.
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 #: Suffixes of two labels, under which a registered domain has three.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.jp", "com.br", "co.nz", "co.in", "com.mx")
-Z = 1.645
+#: Normal score of the posterior's share below the threshold under which a host is blocked (5 %).
+Z = -1.6448536269514722
+#: The bad rate that a host must surely pass, 0.01 at least. Lower ones block more, as 0.2, near the rate of all pages.
 THRESHOLD = 0.5
 MIN_WEIGHT, MAX_WEIGHT = 1.0, 1000.0
 #: Hosts up to this number (about 100 bytes each) are broadcast to the pages; beyond, a salted join.
@@ -57,83 +62,115 @@ def rule_of(host: Column, path: Column, rules=None) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _weight(level: DataFrame, rate: float) -> float:
-    """Prior weight of a level from its groups' counts ``n, bad``: moments of the beta-binomial."""
+def _weight(level: DataFrame, centre: str) -> float:
+    """Prior weight of a level from its groups' counts ``n, bad`` and ``centre``: moments of the beta-binomial.
+
+    A group's squared distance from its centre m, times n, is m (1 - m) (1 + (n - 1) / (weight + 1)) on average.
+    """
+    m = F.col(centre)
     row = level.where("n > 0").agg(
-        F.count("*").cast("double").alias("k"),
-        F.sum("n").cast("double").alias("n"),
-        F.sum(F.col("n").cast("double") * F.col("n")).alias("n2"),
-        F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.lit(rate), F.lit(2.0))).alias("s"),
+        F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - m, F.lit(2.0))),
+        F.sum(m * (1 - m)), F.sum((F.col("n") - 1) * m * (1 - m)),
     ).first()
-    k, n, n2, s = (x or 0.0 for x in row)
-    noise = rate * (1 - rate)
-    usable = n - n2 / n if n else 0.0
-    if k < 2 or usable <= 0 or noise <= 0:
+    seen, least, room = (x or 0.0 for x in row)
+    if room <= 0 or seen <= least:
         return MAX_WEIGHT
-    between = (s - (k - 1) * noise) / usable
-    return MAX_WEIGHT if between <= 0 else min(MAX_WEIGHT, max(MIN_WEIGHT, noise / between - 1))
+    return min(MAX_WEIGHT, max(MIN_WEIGHT, room / (seen - least) - 1))
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
-    """``host, n, bad, rate, bound`` from one row per page with ``host`` and ``bad`` (0, 1 or null: not labelled).
+def _tilt(x: Column) -> Column:
+    """(1 - x^2 + 2 x ln x) / (1 - x)^2, which is (1 - x) / 3 near 1 and 1 at 0."""
+    whole = (1 - x * x + 2 * x * F.ln(x)) / F.pow(1 - x, F.lit(2.0))
+    return F.when(F.abs(x - 1) < 1e-4, (1 - x) / 3).otherwise(whole)
 
-    Rows with a null host do not count. A host without labelled pages has the rate of its domain, a domain without any
-    that of its suffix, a suffix without any the global rate.
+
+def share_below(a: Column, b: Column, x: float) -> Column:
+    """Normal score of the share of a beta distribution's mass below ``x``, by Peizer and Pratt's closed form.
+
+    Off by less than 0.005 of the mass for parameters of 1 and more. Null, meaning no small share, where ``a`` is 0.5 or
+    less, as most of the mass is at 0; a ``b`` below 0.51 counts as 0.51, which gives no smaller share.
     """
+    b = F.greatest(b, F.lit(0.51))
+    n, s, t, y = a + b - 1, a - 0.5, b - 0.5, 1 - x
+    shift = t - (n + 1 / 3) * y + 1 / 6 + 0.02 * (x / b - y / a + (x - 0.5) / (a + b))
+    spread = (1 + x * _tilt(t / (n * y)) + y * _tilt(s / (n * x))) / ((n + 1 / 6) * x * y)
+    return F.when(a > 0.5, shift * F.sqrt(spread))
+
+
+def host_counts(outcomes: DataFrame) -> DataFrame:
+    """``host, domain, suffix, n, bad`` from one row per page with ``host`` and ``bad`` (0, 1 or null: not labelled)."""
     domain, suffix = domain_and_suffix(F.col("host"))
     count = [F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")]
-    hosts = outcomes.where("host is not null").groupBy("host").agg(*count)
-    hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
+    return outcomes.where("host is not null").groupBy("host").agg(*count).withColumns({"domain": domain, "suffix": suffix})
+
+
+def reputations(hosts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``host, n, bad, rate, below`` of every host of ``host_counts``; ``below`` is the score of ``share_below``.
+
+    A host without labelled pages has the rate of its domain, a domain without any that of its suffix, a suffix without
+    any the global rate, each with the spread of its level. Without any outcome the rate is 0.5 everywhere. An empty
+    table gives an empty result.
+    """
     total = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("domain", "suffix").agg(*total)
-    suffixes = domains.groupBy("suffix").agg(*total)
-    n, bad = suffixes.agg(F.sum("n"), F.sum("bad")).first()
+    suffixes = hosts.groupBy("suffix").agg(*total)
+    n, bad = hosts.agg(F.sum("n"), F.sum("bad")).first()
     rate = (bad + 0.5) / (n + 1.0) if n else 0.5
-    weights = [_weight(level, rate) for level in (suffixes, domains, hosts)]
 
-    def shrunk(prior: Column, weight: float) -> Column:
-        return (F.col("bad") + prior * F.lit(weight)) / (F.col("n") + F.lit(weight))
+    def shrunk(level: DataFrame, centre: str) -> tuple[DataFrame, float]:
+        weight = _weight(level, centre)
+        return level.withColumn("rate", (F.col("bad") + F.col(centre) * F.lit(weight)) / (F.col("n") + F.lit(weight))), weight
 
-    suffixes = suffixes.select("suffix", shrunk(F.lit(rate), weights[0]).alias("suffix_rate"))
-    domains = domains.join(suffixes, "suffix").select("domain", "suffix", shrunk(F.col("suffix_rate"), weights[1]).alias("domain_rate"))
-    rated = hosts.join(domains, ["domain", "suffix"]).withColumn("rate", shrunk(F.col("domain_rate"), weights[2]))
-    spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.lit(weights[2] + 1)))
-    return rated.select("host", "n", "bad", "rate", (F.col("rate") - F.lit(Z) * spread).alias("bound"))
+    suffixes, _ = shrunk(suffixes.withColumn("above", F.lit(rate)), "above")
+    domains, _ = shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("above")), "suffix"), "above")
+    rated, weight = shrunk(hosts.join(domains.select("domain", "suffix", F.col("rate").alias("above")), ["domain", "suffix"]), "above")
+    mass = F.col("n") + F.lit(weight)
+    return rated.select("host", "n", "bad", "rate", share_below(F.col("rate") * mass, (1 - F.col("rate")) * mass, threshold).alias("below"))
 
 
 def filter_urls(spark: SparkSession, pages: DataFrame, outcomes: DataFrame, rules=None, threshold: float = THRESHOLD) -> DataFrame:
-    """``page_id, host, path, rule, verdict, bound`` for every row of ``pages`` (``page_id``, ``url``).
+    """``page_id, host, path, rule, verdict, rate, below`` for every row of ``pages`` (``page_id``, ``url``).
 
     ``outcomes`` has ``page_id`` and ``bad`` (0, 1 or null); an id that repeats counts once, as bad if any of its
-    rows is, and a page that repeats counts each time. A url that is null or has no ``://`` has an empty host; it is
-    judged like the other pages of that host. Hosts without labelled pages are judged by the levels above. Other columns
-    are not read.
+    rows is, and a page that repeats counts each time. A null id has no outcome. A url that is null or has no ``://`` has
+    an empty host; it is judged like the other pages of that host. Of rules that fit, the longest wins; equally long
+    ones of two hosts cannot both fit, and of equal rules the last one counts. A ``below`` equal to the limit allows.
+    Hosts without labelled pages are judged by the levels above; without any outcome every page is allowed. An empty
+    table gives an empty result. Other columns are not read. Pages meet their outcomes in one join, and one written
+    table of hosts feeds all levels.
     """
     host, path = url_parts(F.col("url"))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
-    urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumns({"rule": rule, "_says": says})
+    urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     marks = outcomes.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    rated = reputations(urls.select("page_id", "host").join(marks, "page_id", "left")).select("host", "bound")
-    if rated.count() <= MAX_BROADCAST_HOSTS:
+    hosts = staged(spark, host_counts(urls.select("page_id", "host").join(marks, "page_id", "left")), "hosts")
+    rated = reputations(hosts, threshold).select("host", "rate", "below")
+    urls = urls.withColumns({"rule": rule, "_says": says})
+    if hosts.count() <= MAX_BROADCAST_HOSTS:
         judged = urls.join(F.broadcast(rated), "host", "left")
     else:
         salt = F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS))
         copies = rated.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         judged = urls.withColumn("_salt", salt).join(copies, ["host", "_salt"], "left")
-    own = F.when(F.coalesce(F.col("bound") > F.lit(threshold), F.lit(False)), "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", "rule", F.coalesce("_says", own).alias("verdict"), "bound")
+    own = F.when(F.coalesce(F.col("below") < F.lit(Z), F.lit(False)), "block").otherwise("allow")
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("_says", own).alias("verdict"), "rate", "below")
 
 
-def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes: the labels of the documents with the pages' ids; a page of low quality or toxic counts as bad."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+def labelled_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, bad`` from the labels of the documents with the pages' ids: of low quality or toxic is bad."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0)
-    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    return filter_urls(spark, pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+    return labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on every page, and the rate behind the method's; odd rows and empty tables: see ``filter_urls``."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    judged = filter_urls(spark, pages, labelled_outcomes(spark, sf_dir))
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("rate", 6).alias("bad_rate"))
 
 
-OP2_SQL = r"""
+_OP2_SQL = r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN coalesce(instr(url, '://'), 0) > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), urls AS (
@@ -162,30 +199,41 @@ WITH cut AS (
       WHEN two IN ('co.uk','org.uk','ac.uk','com.au','net.au','co.jp','com.br','co.nz','co.in','com.mx') THEN two ELSE p[len(p)] END AS suffix
   FROM places
 ), hosts AS (
-  SELECT u.host, domain, suffix, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
-  FROM urls u JOIN marks m ON u.page_id = m.page_id JOIN sites s ON s.host = u.host GROUP BY ALL
-), domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
-), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL
-), overall AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) AS rate FROM suffixes
-), levels AS (
-  SELECT 1 AS level, n, bad FROM suffixes UNION ALL SELECT 2, n, bad FROM domains UNION ALL SELECT 3, n, bad FROM hosts
-), moments AS (
-  SELECT level, any_value(rate) AS rate, count(*) AS k, sum(n) AS n, sum(n * n) AS n2, sum(n * pow(bad / n - rate, 2)) AS s
-  FROM levels, overall GROUP BY level
-), spreads AS (
-  SELECT level, k, rate, n - n2 / n AS usable,
-         CASE WHEN n - n2 / n > 0 THEN (s - (k - 1) * rate * (1 - rate)) / (n - n2 / n) END AS between_groups FROM moments
-), weights AS (
-  SELECT level, CASE WHEN k < 2 OR usable <= 0 OR between_groups <= 0 THEN 1000.0
-    ELSE least(1000.0, greatest(1.0, rate * (1 - rate) / between_groups - 1)) END AS w FROM spreads
-), w AS (
-  SELECT max(w) FILTER (level = 1) AS w1, max(w) FILTER (level = 2) AS w2, max(w) FILTER (level = 3) AS w3 FROM weights
-), rates AS (
-  SELECT h.host, (h.bad + (d.bad + (x.bad + rate * w1) / (x.n + w1) * w2) / (d.n + w2) * w3) / (h.n + w3) AS r, h.n, w3
-  FROM hosts h JOIN domains d ON h.domain = d.domain AND h.suffix = d.suffix JOIN suffixes x ON x.suffix = h.suffix, overall, w
+  SELECT u.host, domain, suffix, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad
+  FROM urls u LEFT JOIN marks m ON u.page_id = m.page_id JOIN sites s ON s.host = u.host GROUP BY ALL
+), overall AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(bad) + 0.5) / (sum(n) + 1.0) ELSE 0.5 END AS c FROM hosts
+), s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(c) AS c FROM hosts, overall GROUP BY suffix
+), s1 AS (SELECT {weight} AS w FROM s0 WHERE n > 0
+), s2 AS (SELECT suffix, (bad + c * w) / (n + w) AS r FROM s0, s1
+), d0 AS (SELECT domain, h.suffix, sum(n) AS n, sum(bad) AS bad, any_value(r) AS c FROM hosts h JOIN s2 ON h.suffix = s2.suffix GROUP BY domain, h.suffix
+), d1 AS (SELECT {weight} AS w FROM d0 WHERE n > 0
+), d2 AS (SELECT domain, suffix, (bad + c * w) / (n + w) AS r FROM d0, d1
+), h0 AS (SELECT host, n, bad, r AS c FROM hosts h JOIN d2 ON h.domain = d2.domain AND h.suffix = d2.suffix
+), h1 AS (SELECT {weight} AS w FROM h0 WHERE n > 0
+), h2 AS (SELECT host, (bad + c * w) / (n + w) AS r, n + w AS m FROM h0, h1
+), p0 AS (SELECT host, r, r * m AS a, greatest((1 - r) * m, 0.51) AS b, {x} AS x FROM h2
+), p1 AS (SELECT *, (b - 0.5) / ((a + b - 1) * (1 - x)) AS g, (a - 0.5) / ((a + b - 1) * x) AS h FROM p0 WHERE a > 0.5
+), p2 AS (
+  SELECT host, (b - 0.5 - (a + b - 1 + 1.0 / 3) * (1 - x) + 1.0 / 6 + 0.02 * (x / b - (1 - x) / a + (x - 0.5) / (a + b)))
+    * sqrt((1 + x * CASE WHEN abs(g - 1) < 1e-4 THEN (1 - g) / 3 ELSE (1 - g * g + 2 * g * ln(g)) / pow(1 - g, 2) END
+      + (1 - x) * CASE WHEN abs(h - 1) < 1e-4 THEN (1 - h) / 3 ELSE (1 - h * h + 2 * h * ln(h)) / pow(1 - h, 2) END)
+      / ((a + b - 1 + 1.0 / 6) * x * (1 - x))) AS z FROM p1
 )
 SELECT page_id, u.host, path, rule,
   CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-       WHEN r - 1.645 * sqrt(r * (1 - r) / (r0.n + w3 + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled u LEFT JOIN rates r0 ON u.host = r0.host
+       WHEN z < -1.6448536269514722 THEN 'block' ELSE 'allow' END AS verdict,
+  round(r, 6) AS bad_rate
+FROM ruled u LEFT JOIN p0 ON u.host = p0.host LEFT JOIN p2 ON u.host = p2.host
 """
+#: The SQL twin of ``op2_url_filter`` for a threshold; {weight} is the moment estimate of a level's prior weight.
+_WEIGHT_SQL = (
+    "coalesce(CASE WHEN sum((n - 1) * c * (1 - c)) <= 0 OR sum(n * pow(bad / n - c, 2)) <= sum(c * (1 - c)) THEN 1000.0 "
+    "ELSE least(1000.0, greatest(1.0, sum((n - 1) * c * (1 - c)) / (sum(n * pow(bad / n - c, 2)) - sum(c * (1 - c))) - 1)) END, 1000.0)"
+)
+
+
+def sql_of(threshold: float = THRESHOLD) -> str:
+    return _OP2_SQL.replace("{weight}", _WEIGHT_SQL).replace("{x}", f"{threshold}::DOUBLE")
+
+
+OP2_SQL = sql_of()
