@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.test_decontaminate import brute as brute_hits
-from tests.llm.test_simhash import brute_classes
+from tests.llm.test_near_copies import brute_kept
 from waybill.llm import mixing, simhash, token_records, toxicity
 
 DIR = "/root/testdata/sf0.01"
@@ -19,8 +19,8 @@ def test_stages_against_plain_versions(spark):
     rows = docs.collect()
     model = toxicity.learn(spark, docs, DIR)
     calm = [r for r, s in zip(rows, model.scores([r["text"] for r in rows]), strict=True) if s[0] < 0.5]
-    classes = {d: c for d, _, c in brute_classes([(r["doc_id"], r["text"]) for r in calm])}
-    single = [r for r in calm if classes[str(r["doc_id"])] == r["doc_id"]]
+    stay = set(brute_kept([(r["doc_id"], r["text"]) for r in calm]))
+    single = [r for r in calm if r["doc_id"] in stay]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
     hits = {h[0]: h[2] for h in brute_hits([(r["doc_id"], r["text"]) for r in single], items)}
     clean = [r for r in single if not hits[r["doc_id"]]]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import re
-import sys
 import tempfile
 import uuid
 
@@ -19,7 +18,8 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) is a folder of our own made and set.
+    Only where the setting is absent and all runs in one process (local tests) is a folder of our own made and set; on a
+    cluster executors would write to disks that others cannot see, so that is an error.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir")
@@ -27,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="waybill-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
@@ -61,24 +63,6 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return written(spark, df, name)[0]
 
 
-#: Bytes of an Arrow batch on its way to Python and back; a batch is in memory up to four times.
-BATCH_BYTES = 8 << 20
-
-
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, its session set to send Python batches of BATCH_BYTES at most; smaller settings stay."""
-    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
-    now = re.fullmatch(r"(\d+)b?", conf.get(key))
-    if not now or int(now[1]) > BATCH_BYTES:
-        conf.set(key, f"{BATCH_BYTES}b")
-    return df
-
-
-def free_worker() -> None:
-    """Let go of what an earlier operator keeps in this Python worker from task to task."""
-    sys.modules.pop("_waybill_worker", None)
-
-
 def carried(docs: DataFrame, own: tuple[str, ...]):
     """(``docs`` with every column but ``own`` under a name no operator uses, a function that gives the names back)."""
     names = {c: c if c in own else f"__carried_{i}" for i, c in enumerate(docs.columns)}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, staged
+from .common import staged
 
 #: Words of a window, and of a winnowed k-gram.
 WORDS, GRAM = 10, 5
@@ -115,7 +115,7 @@ def find_contamination(
     """
     keep = keep or [id_col]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = small_batches(docs.select(*[F.col(c) for c in keep], text.alias("__text"))).withColumn("__tid", F.unhex(F.md5(F.col("__text").cast("binary"))))
+    rows = docs.select(*[F.col(c) for c in keep], text.alias("__text")).withColumn("__tid", F.unhex(F.md5(F.col("__text").cast("binary"))))
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item is not null and text is not null")
     windows = staged(spark, _item_windows(items, words), "windows")
     shorter = sorted(r["n"] for r in windows.where(F.col("n") < words).select("n").distinct().collect())  # fewer than ``words``

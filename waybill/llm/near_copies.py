@@ -1,8 +1,10 @@
 """Near copies by word shingles: all pairs of texts whose sets of shingles reach a Jaccard similarity.
 
-Candidates come from prefix filtering: under one order of all shingles, two sets that are similar enough share a
-shingle among the first of each. The order puts shingles that a sample shows to be common last, so that few sets meet
-in one; any order gives the same pairs. Every candidate is verified on the whole sets, so no pair is lost or made up.
+Most are found by SimHash: fingerprints of the sets, linked by deletion-variant signatures, and verified on the whole
+sets. Few bits cannot reach every pair of that similarity, so prefix filtering adds the rest: under one order of all
+shingles, two sets that are similar enough share a shingle among the first of each. The order puts shingles that a sample
+shows to be common last, so that few sets meet in one; any order gives the same pairs. Every candidate is verified on the
+whole sets, so no pair is lost or made up.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import components, free_worker, small_batches, staged
+from .common import components, staged
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -42,16 +44,16 @@ def _name(found: np.ndarray) -> int:
 
 
 def set_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (``id_col`` unless given) and ``_fp``, the name of the row's set of shingles."""
+    """The ``keep`` columns (``id_col`` unless given), ``_fp``, the name of the row's set of shingles, and its SimHash ``_sim``."""
     keep = keep or [id_col]
-    rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text")))
-    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), T.StructField("_fp", T.LongType())])
+    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), T.StructField("_fp", T.LongType()), T.StructField("_sim", T.LongType())])
 
     def run(batches):
-        free_worker()
         for batch in batches:
-            names = np.array([_name(shingles(t.as_py(), size)) for t in batch.column(len(keep))], np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(names.view(np.int64))], schema.names)
+            found = [(_name(s := shingles(t.as_py(), size)), simhash.sign_bits(s)) for t in batch.column(len(keep))]
+            both = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(both[:, 0]), pa.array(both[:, 1])], schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -64,21 +66,19 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     """``fp, held`` (the shingles) of every row of ``texts`` (one text column)."""
 
     def run(batches):
-        free_worker()
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 found = [shingles(t.as_py(), size) for t in batch.column(0)[at : at + 64]]
                 names = np.array([_name(f) for f in found], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(names), _lists(found)], ["fp", "held"])
 
-    return small_batches(texts).mapInArrow(run, "fp long, held array<long>")
+    return texts.mapInArrow(run, "fp long, held array<long>")
 
 
 def _prefixes(texts: DataFrame, common, size: int, threshold: Fraction) -> DataFrame:
     """``token, fp, n, pos``: the first shingles of every text's set under the order, as many as can decide."""
 
     def run(batches):
-        free_worker()
         last, times = common.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -99,7 +99,7 @@ def _prefixes(texts: DataFrame, common, size: int, threshold: Fraction) -> DataF
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["token", "fp", "n", "pos"])
 
-    return small_batches(texts).mapInArrow(run, "token long, fp long, n int, pos int")
+    return texts.mapInArrow(run, "token long, fp long, n int, pos int")
 
 
 def _common(spark: SparkSession, texts: DataFrame, size: int):
@@ -114,8 +114,9 @@ def _common(spark: SparkSession, texts: DataFrame, size: int):
 def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int, threshold: Fraction) -> DataFrame:
     """Links ``a, b`` whose connected components are those of all pairs of sets with the similarity ``threshold``.
 
-    ``nodes`` has the distinct names ``fp`` of the sets of ``docs`` and an id ``_rep`` of each. First each set meets a
-    few centres of its shingles; then all sets meet that share a shingle and are not yet connected.
+    ``nodes`` has the distinct names ``fp`` of the sets of ``docs``, an id ``_rep`` and the SimHash ``_sim`` of each.
+    First each set meets the sets that SimHash links it with and a few centres of its shingles; then all sets meet that
+    share a shingle and are not yet connected.
     """
     part, whole = threshold.numerator, threshold.denominator
     total = nodes.count()
@@ -148,8 +149,14 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
         near = F.size(F.array_intersect("x", "y")) * F.lit(part + whole) >= (F.size("x") + F.size("y")) * F.lit(part)
         return staged(spark, both.where(near).select("a", "b"), f"{name}-links")
 
+    by_sim = staged(spark, nodes.groupBy("_sim").agg(F.min("fp").alias("first")), "sims")
+    near = simhash.links(spark, by_sim.select(F.col("_sim").alias("fp")))
+    ends = by_sim.toDF("_sim", "fp2")
+    alike = near.join(by_sim, near["a"] == by_sim["_sim"]).select("b", F.col("first").alias("fp")).join(ends, F.col("b") == ends["_sim"]).select("fp", "fp2")
+    alike = alike.unionAll(nodes.join(by_sim, "_sim").where(F.col("fp") != F.col("first")).select("fp", F.col("first").alias("fp2")))
     stars = index.where(F.col("fp") != F.col("c.fp")).where(may_reach(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos")))
-    first = verified(stars.select(F.least("fp", "c.fp").alias("a"), F.greatest("fp", "c.fp").alias("b")), "star")
+    met = stars.select("fp", F.col("c.fp").alias("fp2")).unionAll(alike)
+    first = verified(met.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")), "star")
     found = components(spark, first)
     placed = index.join(found, index["fp"] == found["node"], "left").select("token", "fp", "n", "pos", F.coalesce("root", "fp").alias("root"))
     placed = staged(spark, placed, "placed")
@@ -178,4 +185,4 @@ def keep_one(
     def link(nodes: DataFrame) -> DataFrame:
         return links(spark, docs, nodes, id_col, text_col, size, threshold)
 
-    return simhash.keep_winners(spark, docs, id_col, name, link)
+    return simhash.keep_winners(spark, docs, id_col, text_col, name, link)

@@ -14,14 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, flat_components, free_worker, small_batches, staged
+from .common import components, flat_components, staged
 
 #: Members of a bucket that one task compares; larger buckets are cut into tiles of two blocks.
 BUCKET = 4096
 #: Hot keys up to this number are broadcast (16 bytes each); more are joined by shuffle.
 MAX_BROADCAST_KEYS = 100_000
-#: Documents that stay, up to this number (16 bytes each), are broadcast; more are joined by shuffle.
-MAX_BROADCAST_ROWS = 2_000_000
+#: Documents that stay, up to this number (40 bytes each), are broadcast; more are joined by shuffle.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def sign_bits(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have set; 0 without hashes."""
+    counts = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), 65536):
+        block = hashes[i : i + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
@@ -35,22 +44,16 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
         digest, join = xxhash.xxh64_intdigest, b" ".join
         grams = zip(*(words[i:] for i in range(shingle)), strict=False)
         hashes = np.fromiter((digest(join(g), seed) for g in grams), np.uint64, len(words) - shingle + 1)
-    counts = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 65536):
-        block = hashes[i : i + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    ones = np.packbits(counts * 2 > len(hashes), bitorder="little")
-    return int(ones.view("<u8")[0])
+    return sign_bits(hashes)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (``id_col`` unless given) and ``_fp`` (the fingerprint's bits as a signed long) of every row."""
     keep = keep or [id_col]
-    rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text")))
+    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
     schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), T.StructField("_fp", T.LongType())])
 
     def run(batches):
-        free_worker()
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(len(keep))], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(prints.view(np.int64))], schema.names)
@@ -170,11 +173,18 @@ def links(spark: SparkSession, prints: DataFrame, max_bits: int = 4, bucket: int
 
 
 def _classes(spark: SparkSession, prints: DataFrame, id_col: str, link) -> DataFrame:
-    """``fp, _rep`` (smallest id of the fingerprint) and ``_root`` (its class) of every fingerprint of ``prints``."""
-    nodes = staged(spark, prints.groupBy(F.col("_fp").alias("fp")).agg(F.min(id_col).alias("_rep")), "nodes")
+    """``fp, _rep`` (smallest id of the fingerprint, null last) and ``_root`` (its class) of every fingerprint of ``prints``.
+
+    Other columns of ``prints`` come along: ``_tid`` is that of the smallest id, others depend on the fingerprint alone.
+    """
+    rest = [c for c in prints.columns if c not in (id_col, "_fp", "_tid")]
+    tid = ["_tid"] if "_tid" in prints.columns else []
+    best = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("_rep"), *tid)).alias("best")
+    nodes = prints.groupBy(F.col("_fp").alias("fp")).agg(best, *(F.first(c).alias(c) for c in rest))
+    nodes = staged(spark, nodes.select("fp", *(f"best.{c}" for c in ("_rep", *tid)), *rest), "nodes")
     found = components(spark, link(nodes))
     placed = nodes.join(found, nodes["fp"] == found["node"], "left")
-    return placed.select("fp", "_rep", F.coalesce("root", "fp").alias("_root"))
+    return placed.select("fp", "_rep", *tid, F.coalesce("root", "fp").alias("_root"))
 
 
 def near_duplicates(
@@ -183,12 +193,12 @@ def near_duplicates(
 ) -> DataFrame:
     """``id_col, fp, component_id`` for every row of ``docs``.
 
-    Null and empty texts have fingerprint zero and link like any other. Rows that repeat an id or a text stay, each
-    with its class; ``component_id`` is the smallest non-null id of the class (null where all are null). An empty
+    Null and empty texts have fingerprint zero and link like any other; half of the shingles is not enough for a bit.
+    Rows that repeat an id or a text stay, each with its class; ``component_id`` is the smallest non-null id of the class (null where all are null). An empty
     table gives an empty result. Other columns of ``docs`` are not read.
     """
     prints = staged(spark, fingerprints(docs, id_col, text_col, shingle), "prints")
-    placed = _classes(spark, prints, id_col, lambda nodes: links(spark, nodes, max_bits, bucket))
+    placed = _classes(spark, prints, id_col, lambda nodes: links(spark, nodes.select("fp"), max_bits, bucket))
     classes = placed.groupBy("_root").agg(F.min("_rep").alias("component_id"))
     placed = placed.join(classes, "_root").select("fp", "component_id")
     return prints.withColumnRenamed("_fp", "fp").join(placed, "fp").select(id_col, "fp", "component_id")
@@ -206,26 +216,31 @@ def keep_one(
     def name(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
         return fingerprints(rows, id_col, text_col, shingle, keep)
 
-    return keep_winners(spark, docs, id_col, name, lambda nodes: links(spark, nodes, max_bits, bucket))
+    return keep_winners(spark, docs, id_col, text_col, name, lambda nodes: links(spark, nodes.select("fp"), max_bits, bucket))
+
 
+def keep_winners(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, name, link) -> DataFrame:
+    """``keep_one`` by any names: ``name(rows, keep)`` adds ``_fp`` to rows, ``link(nodes)`` gives links of names.
 
-def keep_winners(spark: SparkSession, docs: DataFrame, id_col: str, name, link) -> DataFrame:
-    """``keep_one`` by any names: ``name(rows, keep)`` adds ``_fp`` to rows, ``link(nodes)`` gives links of names."""
-    prints = staged(spark, name(docs), "prints")
+    Rows are named once; the ones that stay are found again by their ids and the digests of their texts.
+    """
+    tid = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")))
+    prints = staged(spark, name(docs.withColumn("_tid", tid), [id_col, "_tid"]), "prints")
     placed = _classes(spark, prints, id_col, link)
-    order = F.struct(F.col("_rep").isNull().alias("none"), F.col("_rep").alias("id"), F.col("fp"))
-    winners = placed.groupBy("_root").agg(F.min(order).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_wfp"))
+    order = F.struct(F.col("_rep").isNull().alias("none"), F.col("_rep").alias("id"), F.col("fp"), F.col("_tid").alias("tid"))
+    winners = placed.groupBy("_root").agg(F.min(order).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.tid").alias("_wtid"))
     winners = staged(spark, winners, "winners")
-    rows = name(docs, docs.columns)
     small = F.broadcast(winners) if winners.count() <= MAX_BROADCAST_ROWS else winners
-    kept = rows.join(small, (rows["_fp"] == small["_wfp"]) & rows[id_col].eqNullSafe(small["_id"]), "left_semi")
-    repeated = prints.join(small, (prints["_fp"] == small["_wfp"]) & prints[id_col].eqNullSafe(small["_id"]), "left_semi")
-    if not repeated.groupBy(id_col, "_fp").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "_fp"])
+    rows = docs.withColumn("_tid", tid)
+    kept = rows.join(small, (rows["_tid"] == small["_wtid"]) & rows[id_col].eqNullSafe(small["_id"]), "left_semi")
+    repeated = prints.join(small, (prints["_tid"] == small["_wtid"]) & prints[id_col].eqNullSafe(small["_id"]), "left_semi")
+    if not repeated.groupBy(id_col, "_tid").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, "_tid"])
     return kept.select(*docs.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document; odd rows, ties and empty tables: see ``near_duplicates``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = near_duplicates(spark, docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

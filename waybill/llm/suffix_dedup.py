@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remove, small_batches, written
+from .common import remove, written
 
 LENGTH = 400
 #: The shorter length; a passage of over 50 words is rarely shorter.
@@ -321,7 +321,7 @@ def remove_repeats(
     """
     also = min(also, length)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = small_batches(docs.select(F.col(id_col).alias("id"), body.alias("body")))
+    rows = docs.select(F.col(id_col).alias("id"), body.alias("body"))
     rows = rows.withColumn("tid", F.unhex(F.md5("body")))
     copies = rows.select("tid", "id").groupBy("tid").agg(F.count("*").alias("n"), F.min("id").alias("rep")).where("n > 1")
     copies, _ = written(spark, copies, "copies")

@@ -13,8 +13,6 @@ import json
 import os
 import re
 import struct
-import sys
-import types
 import zlib
 from array import array
 from collections import ChainMap
@@ -25,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import file_system, shared_path, small_batches
+from .common import file_system, shared_path
 
 #: Fixed value: what is added to a rotated checksum, so that a checksum of data that holds checksums stays useful.
 MASK_DELTA = 0xA282EAD8
@@ -116,15 +114,6 @@ class WordEncoder:
             out[w] = array(self.code, e.ids).tobytes()
         return out
 
-    @classmethod
-    def of_worker(cls, vocabulary: str) -> WordEncoder:
-        """The encoder that this Python worker has for a vocabulary: its words stay known from task to task."""
-        home = sys.modules.setdefault("_waybill_worker", types.ModuleType("_waybill_worker"))
-        encoders = home.__dict__.setdefault("encoders", {})
-        if vocabulary not in encoders:
-            encoders[vocabulary] = cls(vocabulary)
-        return encoders[vocabulary]
-
     @staticmethod
     def words(text: str) -> list[str]:
         if any(c in text for c in NOT_SPACE):
@@ -180,18 +169,21 @@ def write_records(
     lost executor's files are never read. The manifest (one entry per file, not per document) is written last.
     """
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = small_batches(docs)
+    docs = docs
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("check", F.crc32(F.col("text").cast("binary")))
     order = [F.col("id").asc_nulls_first(), F.col("check")]
     parts = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "text").select("id", "text")
 
+    # A worker keeps a broadcast value from task to task of the jobs that name it, and so the words in it.
+    kept = spark.sparkContext.broadcast({})
+
     def run(batches):
         import uuid
 
         from pyspark import TaskContext
 
-        encoder = WordEncoder.of_worker(vocabulary)
+        encoder = kept.value.get("encoder") or kept.value.setdefault("encoder", WordEncoder(vocabulary))
         end = b"" if end_id is None else array(encoder.code, [end_id]).tobytes()
         size = len(array(encoder.code, [0]).tobytes())
         fs, root = file_system(url)

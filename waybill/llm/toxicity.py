@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import small_batches, staged
+from .common import staged
 
 WORDS = re.compile(r"[^\W\d_]+")
 #: Labelled examples of each class that the index holds at most, and entries (an example's distinct words) of all.
@@ -258,7 +258,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
     tables likewise. Only the index is bounded (``max_examples`` of a class, ``max_entries`` words of all examples);
     frequencies cover all rows and odds all labelled ones.
     """
-    docs = small_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     labels = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     labels = staged(spark, labels, "labels")
     words, examples = _examples(spark, _labelled(docs, labels, "inner"), max_examples, max_entries)
@@ -304,17 +304,17 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] |
     are not read.
     """
     keep = keep or ["doc_id"]
-    rows = small_batches(docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("__text")))
+    rows = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("__text"))
     kind = docs.schema["doc_id"].dataType
     fields = [*rows.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(kind)), T.StructField("cosines", T.ArrayType(T.DoubleType()))]
     schema = T.StructType(fields)
     listed = to_arrow_type(T.ArrayType(kind))
-    shared, curve = spark.sparkContext.broadcast(model.made), model.curve
+    shared, curve = spark.sparkContext.broadcast({"made": model.made}), model.curve
 
     def run(batches):
-        model = None
+        held = shared.value  # a worker keeps it from task to task, and so the model
+        model = held.get("model") or held.setdefault("model", Model(*held["made"], curve=curve))
         for batch in batches:
-            model = model or Model(*shared.value, curve=curve)
             texts = batch.column(len(keep))
             scored = [x for a in range(0, len(texts), TOGETHER) for x in model.scores(texts.slice(a, TOGETHER).to_pylist())]
             names = pa.array([s[1] for s in scored], listed)
