@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from waybill.functions import geometry
 from waybill.operators import contracts, geofence, metrics, quality, reporting, sequences, treatments
 from waybill.operators.contracts import Check, ColumnSpec, ContractError, TableContract
 from waybill.plans import gold, tables
@@ -178,3 +179,57 @@ def test_empty_frames(spark):
     assert reporting.histogram(empty, "x").count() == 0
     assert reporting.profile(empty).first()["total"] == 0
     assert quality.rejection_metrics(spark.createDataFrame([], "dq_observations string, quality_ok boolean"))["rejected_pct"] == 0.0
+
+
+def test_first_of_a_hot_key_and_of_equal_rows(spark):
+    """A key of half the rows, spread over many partitions, with rows that are equal in all their values."""
+    rows = [("hot", i % 40, "x") for i in range(2000)] + [("hot", None, "x")] + [(f"k{i}", 1, "y") for i in range(1000)] + [("k5", 0, "z"), ("", 1, "a"), ("", 1, "a"), (None, 1, "b")]
+    df = spark.createDataFrame(rows, "k string, n int, s string")
+    for parts in (1, 7, 50):
+        marked = quality.mark_first(df.repartition(parts), ["k"], ["n"], "first")
+        assert marked.columns == ["k", "n", "s", "first"]
+        got = [tuple(r) for r in marked.collect()]
+        assert len(got) == len(rows)
+        assert sorted(r[:3] for r in got if r[3] and r[0]) == sorted([("hot", 0, "x"), ("k5", 0, "z")] + [(f"k{i}", 1, "y") for i in range(1000) if i != 5])
+        assert all(r[3] for r in got if not r[0])
+    plan = quality.mark_first(df, ["k"], ["n"], "first")._jdf.queryExecution().executedPlan().toString()
+    assert "__part" in plan and plan.count("Window") >= 2
+
+
+def test_edges_of_a_cell_decide_as_all_edges_do(spark):
+    """A ring of many edges: its cells keep few of them, and every point is judged as by the whole ring."""
+    import math
+
+    ring = [(round(50 + 40 * math.cos(i / 60 * math.pi) * (1 + 0.3 * (i % 2)), 3), round(50 + 40 * math.sin(i / 60 * math.pi) * (1 + 0.3 * (i % 2)), 3)) for i in range(120)]
+    shape = '{"type":"Polygon","coordinates":[[%s]]}' % ",".join(f"[{x},{y}]" for x, y in [*ring, ring[0]])
+    small = '{"type":"Polygon","coordinates":[[[10,10],[12,10],[12,12],[10,12],[10,10]]]}'
+    fences = spark.createDataFrame([("star", shape), ("box", small)], "f string, geometry string")
+    cells, _ = geofence.candidate_cells(fences, ["f"])
+    sizes = [len(f["lines"]) for r in cells.collect() for f in r["fences"] if f["f"] == "star"]
+    assert len(sizes) > 4 and max(sizes) < 120
+    points = spark.createDataFrame([(float(x) / 2, float(y) / 2) for x in range(0, 220, 3) for y in range(0, 220, 3)], "x double, y double")
+    got = {(r["x"], r["y"]) for r in geofence.match_all(points, fences, "x", "y", ["f"]).where("f = 'star'").collect()}
+    lines = geometry.edges(F.lit(shape))
+    want = {(r["x"], r["y"]) for r in points.where(geometry.contains(F.col("x"), F.col("y"), lines)).collect()}
+    assert got == want and len(want) > 100
+
+
+def test_retries():
+    from waybill.plans.pipeline import with_retries
+
+    calls, waits = [], []
+
+    def f(x, fail):
+        calls.append(x)
+        if len(calls) <= fail:
+            raise OSError(x)
+        return x
+
+    assert with_retries(f, 7, fail=2, sleep=waits.append) == 7 and len(calls) == 3 and waits == [60.0, 60.0]
+    calls.clear()
+    try:
+        with_retries(f, 1, fail=9, retries=1, delay=0.5, sleep=waits.append)
+    except OSError:
+        assert len(calls) == 2 and waits[-1] == 0.5
+    else:
+        raise AssertionError

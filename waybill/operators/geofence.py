@@ -63,12 +63,22 @@ def _cell(c: Column, size: float) -> Column:
 
 
 def candidate_cells(fences: DataFrame, payload: list[str]) -> tuple[DataFrame, float]:
-    """(one row per grid cell with the array ``fences`` of those whose box touches it, cell size)."""
+    """(one row per grid cell with the array ``fences`` of those whose box touches it, cell size).
+
+    A cell's fences hold only the edges that can be on a point of the cell or to its right at its height, so a fence of
+    many edges is not copied into all its cells.
+    """
     bounded = _bounded(fences)
     size = cell_size(bounded)
     span = lambda axis: F.explode(F.sequence(_cell(F.col(f"{axis}_min"), size), _cell(F.col(f"{axis}_max"), size)))
     cells = bounded.withColumn("cell_x", span("x")).withColumn("cell_y", span("y"))
-    one = F.struct(*payload, "x_min", "x_max", "y_min", "y_max", "lines")
+    slack = F.lit(size * 1e-6)  # a point is in its cell up to rounding
+    low, high, left = F.col("cell_y") * size - slack, (F.col("cell_y") + 1) * size + slack, F.col("cell_x") * size - slack
+
+    def near(e: Column) -> Column:
+        return (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["x1"], e["x2"]) >= left)
+
+    one = F.struct(*payload, "x_min", "x_max", "y_min", "y_max", F.filter("lines", near).alias("lines"))
     return cells.groupBy("cell_x", "cell_y").agg(F.collect_list(one).alias("fences")), size
 
 

@@ -61,17 +61,23 @@ def null_failing(df: DataFrame, conditions: dict[str, list[Column]]) -> DataFram
     return df
 
 
-def first_of_group(df: DataFrame, columns: list[str], keys: list[str]) -> Column:
-    """Whether a row is the first of those with equal ``columns``, by ``keys`` and then all its values.
+def mark_first(df: DataFrame, columns: list[str], keys: list[str], name: str) -> DataFrame:
+    """``df`` with ``name``: whether a row is the first of those with equal ``columns``, by ``keys``, then all its values.
 
-    Rows with a null or empty part always pass; they are spread over the partitions rather than gathered in one group.
+    Rows with a null or empty part always pass; they are spread over the tasks rather than gathered in one group. A key
+    that many rows share never meets in one task: each input partition finds its own first, and only those meet, while
+    the others are dealt out by hash.
     """
     whole = reduce(lambda a, c: a & text.filled(F.col(c)), columns, F.lit(True))
     spread = F.when(~whole, F.xxhash64(*df.columns))
     orderable = [n for n, t in df.dtypes if not t.startswith(("map", "variant"))]
     order = [*(F.col(k).asc_nulls_last() for k in keys), *(F.col(n).asc_nulls_last() for n in orderable if n not in keys)]
-    window = W.partitionBy(*columns, spread).orderBy(*order)
-    return ~whole | (F.row_number().over(window) == 1)
+    group = [*columns, "__spread"]
+    placed = df.withColumns({"__spread": spread, "__part": F.spark_partition_id()})
+    placed = placed.withColumn("__local", F.row_number().over(W.partitionBy(*group, "__part").orderBy(*order)))
+    placed = placed.withColumn("__beaten", F.when(F.col("__local") > 1, F.xxhash64("__part", "__local")))
+    best = F.row_number().over(W.partitionBy(*group, "__beaten").orderBy(*order)) == 1
+    return placed.withColumn(name, ~whole | ((F.col("__local") == 1) & best)).drop("__spread", "__part", "__local", "__beaten")
 
 
 def validate(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -79,7 +85,7 @@ def validate(df: DataFrame, contract: TableContract) -> DataFrame:
     failures: dict[str, Column] = {}
     unique: dict[str, Column] = {}
     nulling: dict[str, list[Column]] = {}
-    helpers: dict[str, Column] = {}
+    helpers: dict[str, tuple[list[str], list[str]]] = {}
     later: list[tuple[str, Column]] = []
     for spec in contract.plain:
         for v in spec.validations:
@@ -90,7 +96,7 @@ def validate(df: DataFrame, contract: TableContract) -> DataFrame:
                 if missing:
                     continue
                 helper = f"__unique_{v.reason}"
-                helpers[helper] = first_of_group(df, columns, list(contract.keys) or columns)
+                helpers[helper] = (columns, list(contract.keys) or columns)
                 ok = unique[v.reason] = F.col(helper)
                 later += [(c, ok) for c in targets]
                 continue
@@ -103,7 +109,10 @@ def validate(df: DataFrame, contract: TableContract) -> DataFrame:
                 nulling.setdefault(c, []).append(ok)
     for c, ok in later:
         nulling.setdefault(c, []).append(ok)
-    flagged = quarantine(df.withColumns(helpers) if helpers else df, failures | unique)
+    marked = df
+    for helper, (columns, keys) in helpers.items():
+        marked = mark_first(marked.select("*"), columns, keys, helper)
+    flagged = quarantine(marked, failures | unique)
     return null_failing(flagged, nulling).drop(*helpers)
 
 
@@ -128,10 +137,23 @@ def rejection_metrics(df: DataFrame) -> dict:
     return {"approved": approved, "rejected": rejected, "rejected_pct": round(100 * rejected / total, 2) if total else 0.0, "reasons": reasons}
 
 
+def reason_counts(contract: TableContract) -> dict[str, Column]:
+    """For every reason of a contract, the aggregate that counts the flagged rows with it."""
+    reasons = dict.fromkeys(v.reason for c in contract.plain for v in c.validations)
+    return {r: F.count_if(F.array_contains(F.split(FLAGS, ";"), r)) for r in reasons}
+
+
+def rejection_message(name: str, metrics: dict) -> str | None:
+    """What an alert says of a table's rejected rows; None where there are none."""
+    if not metrics["rejected"]:
+        return None
+    parts = ", ".join(f"{reason}: {n} ({100 * n / metrics['rejected']:.1f}%)" for reason, n in metrics["reasons"].items())
+    return f"{name}: {metrics['rejected']} rows rejected ({metrics['rejected_pct']:.2f}%): {parts}"
+
+
 def log_rejections(name: str, metrics: dict) -> None:
-    if metrics["rejected"]:
-        parts = ", ".join(f"{reason}: {n} ({100 * n / metrics['rejected']:.1f}%)" for reason, n in metrics["reasons"].items())
-        log.warning("%s: %d rows rejected (%.2f%%): %s", name, metrics["rejected"], metrics["rejected_pct"], parts)
+    if message := rejection_message(name, metrics):
+        log.warning(message)
 
 
 def merge_orphans(df: DataFrame, staging: str, markers: dict[str, str]) -> DataFrame:

@@ -7,7 +7,9 @@ are events per user; lattice points are lines by quantity and discount.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from ..functions import geometry, temporal, text
 from ..operators import contracts, enrich, geofence, metrics, quality, reporting, sequences, treatments
 from ..operators.contracts import Check, ColumnSpec, TableContract
 from ..sources import lake, registry
-from . import gold
+from . import gold, pipeline, tables
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -147,10 +149,41 @@ def track_summary(spark, d):
     return enrich.track_summary(_t(spark, d, "lineitem"), "l_orderkey", "l_shipdate", "l_quantity", ("average", "total", "first", "last"))
 
 
-@query("WITH t AS (SELECT l_orderkey, round(avg(l_quantity), 2) AS speed FROM lineitem GROUP BY 1) SELECT min(speed) AS slowest, max(speed) AS fastest, count(*) AS trips FROM t")
+def _tracked(spark, d):
+    """Trips of which every fifth has no positions."""
+    return _enriched(spark, d).withColumn("distancia_km", F.lit(7)).withColumn("velocidade_media_kmh", F.when(F.col("viagem_id").cast("long") % 5 != 0, F.col("velocidade_media_kmh")))
+
+
+TRACKED = TRIPS + ", s AS (SELECT *, CASE WHEN viagem_id::BIGINT % 5 <> 0 THEN velocidade_media_kmh END AS v FROM e) "
+
+
+@query(TRACKED + "SELECT round(avg(v), 2) AS media_frota_kmh, min(v) AS min_kmh, max(v) AS max_kmh, count(v) AS com_telemetria, count(*) FILTER (v IS NULL) AS sem_telemetria FROM s")
 def speed_summary(spark, d):
-    speeds = enrich.track_summary(_t(spark, d, "lineitem"), "l_orderkey", "l_shipdate", "l_quantity", ("speed", "n", "a", "b"))
-    return speeds.agg(F.min("speed").alias("slowest"), F.max("speed").alias("fastest"), F.count("*").alias("trips"))
+    return metrics.fleet_speed(_tracked(spark, d))
+
+
+@query(TRACKED + "SELECT viagem_id, origem_nome, destino_nome, 7 AS distancia_km, num_posicoes, v AS velocidade_media_kmh FROM s WHERE v IS NOT NULL")
+def speed_per_trip(spark, d):
+    return metrics.speed_per_trip(_tracked(spark, d))
+
+
+@query(TRIPS + """, active AS (SELECT s_suppkey::VARCHAR AS id FROM vehicles WHERE status = 'ATIVO')
+SELECT mes, count(DISTINCT veiculo_id) AS veiculos_com_viagem, (SELECT count(*) FROM active) AS veiculos_ativos_total, round(count(DISTINCT veiculo_id)::DECIMAL(20,8) / (SELECT count(*) FROM active), 4)::DOUBLE AS taxa_utilizacao FROM e WHERE mes IS NOT NULL AND veiculo_id IN (SELECT id FROM active) GROUP BY mes""")
+def utilization_variant(spark, d):
+    return metrics.utilization_of_active_months(_enriched(spark, d), _vehicles(spark, d))
+
+
+@query(TRIPS + """SELECT count(*) FILTER (ok) AS validas, count(*) FILTER (NOT ok) AS invalidas, count(DISTINCT motorista_id) FILTER (ok) AS motoristas, round(avg(atrasada_flag::INT) FILTER (ok), 6) AS taxa_atraso,
+  round(avg(duracao_horas) FILTER (ok), 1) AS duracao_media, round(avg(velocidade_media_kmh) FILTER (ok), 1) AS velocidade_media FROM (SELECT *, dq_observations = '' AS ok FROM e)""")
+def trip_kpis(spark, d):
+    return reporting.trip_kpis(_enriched(spark, d), F.col("quality_ok"))
+
+
+@query(TRIPS + ", c AS (SELECT mes, status, count(*) AS total_viagens FROM valid WHERE mes IS NOT NULL GROUP BY ALL) SELECT row_number() OVER (ORDER BY mes, total_viagens DESC, status)::INT AS place, * FROM c")
+def presentation_order(spark, d):
+    """Months upwards, the most frequent status of each first; the places of a report's few rows are counted on one task."""
+    rows = reporting.ordered(_metric("viagens_por_mes_status")(spark, d), "mes", "-total_viagens", "status").collect()
+    return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "place int, mes string, status string, total_viagens long")
 
 
 # --- quality --------------------------------------------------------------------------------------------------------
@@ -251,7 +284,85 @@ def domain_checks(spark, d):
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n = 1 AS first FROM r""")
 def dq_unique(spark, d):
     lines = _t(spark, d, "lineitem")
-    return lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quality.first_of_group(lines, ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_linenumber"]).alias("first"))
+    key = ["l_orderkey", "l_linenumber"]
+    return quality.mark_first(lines, key, key, "first").select(*key, "l_partkey", "l_suppkey", "first")
+
+
+RAW_VEHICLES = """
+WITH w AS (SELECT p_partkey AS k, p_size, p_retailprice, p_type FROM part),
+t AS (SELECT CASE WHEN k % 13 <> 0 THEN 'V' || (k % 400) END AS id, CASE WHEN k % 2 = 0 THEN 'ABC1D23' ELSE 'XX' || k END AS placa, upper(trim(p_type)) AS marca,
+  CASE WHEN k % 5 <> 0 THEN p_size END AS ano, CASE WHEN k % 3 = 0 THEN 'Bitrem' ELSE 'bitrem' END AS tipo, CASE WHEN k % 4 = 0 THEN -p_size ELSE p_size END AS km,
+  CASE WHEN k % 6 = 0 THEN 'ATIVO' WHEN k % 6 = 1 THEN 'PARADO' ELSE 'INATIVO' END AS status, CASE WHEN k % 7 <> 0 THEN DATE '2024-03-15' END AS revisao FROM w),
+n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY placa, marca, ano NULLS LAST, tipo, km, status, revisao NULLS LAST) AS turn FROM t WHERE id IS NOT NULL),
+c AS (SELECT *, regexp_full_match(placa, '[A-Z]{3}[0-9][A-Z0-9][0-9]{2}') AS a, tipo = 'Bitrem' AS b, km >= 0 AS m, status IN ('ATIVO', 'INATIVO') AS s, revisao IS NOT NULL AS r, turn = 1 AS u FROM n),
+f AS (SELECT *, concat_ws(';', CASE WHEN NOT a THEN 'invalid_plate' END, CASE WHEN NOT b THEN 'invalid_vehicle_type' END, CASE WHEN NOT m THEN 'negative_mileage' END,
+  CASE WHEN NOT s THEN 'invalid_status' END, CASE WHEN NOT r THEN 'missing_revision_date' END, CASE WHEN NOT u THEN 'duplicate_key' END) AS reasons FROM c)
+"""
+
+
+def _raw_vehicles(spark, d):
+    """Parts as raw vehicles, all text: some without a key, many that share one."""
+    k = F.col("p_partkey")
+    size = F.col("p_size").cast("string")
+    return _t(spark, d, "part").select(
+        F.when(k % 13 == 0, F.lit("")).otherwise(F.concat(F.lit(" v"), (k % 400).cast("string"))).alias("veiculo_id"),
+        F.when(k % 2 == 0, " abc1d23").otherwise(F.concat(F.lit("xx"), k.cast("string"))).alias("placa"), F.concat(F.lit(" "), "p_type").alias("marca"), F.lit("m").alias("modelo"),
+        F.when(k % 5 == 0, "n/a").otherwise(size).alias("ano_fabricacao"), F.when(k % 3 == 0, " Bitrem ").otherwise("bitrem").alias("tipo"), F.lit("1").alias("capacidade_kg"), F.lit("2").alias("capacidade_paletes"),
+        F.when(k % 4 == 0, F.concat(F.lit("-"), size)).otherwise(size).alias("km_atual"), F.when(k % 6 == 0, " ativo").when(k % 6 == 1, "parado").otherwise("INATIVO").alias("status"),
+        F.when(k % 7 == 0, "2024-02-31").otherwise("2024-03-15").alias("data_ultima_revisao"), F.lit("f").alias("source_file"), F.lit(None).cast("timestamp").alias("ingested_at"),
+    )
+
+
+@query(RAW_VEHICLES + "SELECT CASE WHEN u THEN id END AS veiculo_id, CASE WHEN a THEN placa END AS placa, ano AS ano_fabricacao, CASE WHEN b THEN tipo END AS tipo, CASE WHEN m THEN km END AS km_atual, CASE WHEN s THEN status END AS status, revisao AS data_ultima_revisao, reasons AS dq_observations, reasons = '' AS quality_ok FROM f")
+def clean_and_validate(spark, d):
+    """A whole table contract over raw rows: treatments, casts, checks, uniqueness, cascade nulling, the closed schema."""
+    contract = tables.STAGING["veiculos"]
+    out = contracts.conform(pipeline.clean(_raw_vehicles(spark, d), contract), contract)
+    return out.select("veiculo_id", "placa", "ano_fabricacao", "tipo", "km_atual", "status", "data_ultima_revisao", "dq_observations", "quality_ok")
+
+
+@query(RAW_VEHICLES + """, x AS (SELECT unnest(string_split(reasons, ';')) AS reason FROM f WHERE reasons <> ''), sums AS (SELECT count(*) FILTER (reasons = '') AS approved, count(*) FILTER (reasons <> '') AS rejected FROM f)
+SELECT approved, rejected, round(100.0 * rejected / (approved + rejected), 2)::DOUBLE AS rejected_pct, reason, total FROM sums, (SELECT reason, count(*) AS total FROM x GROUP BY 1)""")
+def rejection_metrics(spark, d):
+    """The numbers of a rejection report, and each reason with its rows."""
+    found = quality.rejection_metrics(pipeline.clean(_raw_vehicles(spark, d), tables.STAGING["veiculos"]))
+    rows = [(found["approved"], found["rejected"], found["rejected_pct"], reason, n) for reason, n in found["reasons"].items()]
+    return spark.createDataFrame(rows, "approved long, rejected long, rejected_pct double, reason string, total long")
+
+
+@query(PARTS + """, r AS (SELECT unnest(string_split(dq_observations, ';')) AS reason FROM j), per AS (SELECT reason, count(*) AS n FROM r WHERE reason <> '' GROUP BY 1),
+whole AS (SELECT count(*) FILTER (dq_observations <> '') AS bad, count(*) AS total FROM j)
+SELECT format('part: {} rows rejected ({:.2f}%): ', any_value(bad), any_value(round(100.0 * bad / total, 2))) || string_agg(format('{}: {} ({:.1f}%)', reason, n, 100.0 * n / bad), ', ' ORDER BY n DESC, reason) AS message FROM per, whole""")
+def rejection_alert(spark, d):
+    return spark.createDataFrame([(quality.rejection_message("part", quality.rejection_metrics(_judged(spark, d))),)], "message string")
+
+
+OVERRIDE = TableContract("override", (
+    ColumnSpec("id", "bigint", True),
+    ColumnSpec("latitude", "double", validations=(Check("coordinates_in_brazil", "outside", ("latitude", "longitude"), ("longitude",)),)),
+    ColumnSpec("longitude", "double", validations=(Check("unique", "seen", ("longitude", "latitude"), ("absent", "latitude")),)),
+))
+
+
+@query("""WITH p AS (SELECT event_id AS id, floor(value % 40) - 35 AS lat, floor(value % 50) - 80 AS lon FROM events),
+c AS (SELECT *, coalesce((lat BETWEEN -33.75 AND 5.27 AND lon BETWEEN -73.99 AND -34.79) OR (lat = 0 AND lon = 0), false) AS box, row_number() OVER (PARTITION BY lon, lat ORDER BY id) = 1 AS first FROM p)
+SELECT id, CASE WHEN first THEN lat END AS latitude, CASE WHEN box THEN lon END AS longitude, concat_ws(';', CASE WHEN NOT box THEN 'outside' END, CASE WHEN NOT first THEN 'seen' END) AS dq_observations FROM c""")
+def check_resolution(spark, d):
+    """Checks over several columns that null others than their own; what a contract cannot resolve is an error."""
+    rows = _t(spark, d, "events").select(F.col("event_id").alias("id"), (F.floor(F.col("value") % 40) - 35).cast("double").alias("latitude"), (F.floor(F.col("value") % 50) - 80).cast("double").alias("longitude"))
+    for check in (Check("no_such_check", "x"), Check("positive", "x", ("no_such_column",))):
+        try:
+            quality.validate(rows, TableContract("wrong", (ColumnSpec("id", "bigint", True, validations=(check,)),)))
+        except contracts.ContractError:
+            continue
+        raise AssertionError(check)
+    return quality.validate(rows, OVERRIDE).drop("quality_ok")
+
+
+@query("SELECT p_partkey, trim(' ' || p_name || '  ') AS p_name, trim(' ' || p_brand) AS p_brand, ' ' || p_type AS p_type FROM part")
+def trim_columns(spark, d):
+    rows = _t(spark, d, "part").select("p_partkey", F.concat(F.lit(" "), "p_name", F.lit("  ")).alias("p_name"), F.concat(F.lit(" "), "p_brand").alias("p_brand"), F.concat(F.lit(" "), "p_type").alias("p_type"))
+    return treatments.trim_columns(rows, ["p_name", "p_brand"])
 
 
 # --- scalars --------------------------------------------------------------------------------------------------------
@@ -476,6 +587,55 @@ def dwell_all_types(spark, d):
     return sequences.dwell_of_all_kinds(track, ["user_id"], "fence", "event_type", "ts", "average")
 
 
+def _fence_rows(spark):
+    """Fences of tracks as staged rows; one is switched off and one failed its checks, so neither counts."""
+    everywhere = _polygon(_box(0, 0, 100, 100))
+    rows = [(*f, True, True) for f in TRACK_FENCES] + [("off", 0.5, everywhere, False, True), ("bad", 0.1, everywhere, True, False), ("unknown", 0.2, everywhere, None, True)]
+    return spark.createDataFrame(rows, "geocerca_id string, raio_km double, geometry string, ativo boolean, quality_ok boolean").withColumns({"nome": F.upper("geocerca_id"), "tipo": F.lit("CLIENTE")})
+
+
+def _tracked_positions(spark, d):
+    return _t(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("posicao_id"), F.col("user_id").cast("string").alias("viagem_id"), F.lit("v").alias("veiculo_id"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("value").alias("latitude"), F.hour("ts").cast("double").alias("longitude"), (F.col("event_id") % 90).cast("int").alias("velocidade_kmh"), F.lit("f").alias("source_file"),
+        F.lit(None).cast("timestamp").alias("ingested_at"), F.lit("").alias("dq_observations"), F.lit(True).alias("quality_ok"), F.lit("left out").alias("more"),
+    )
+
+
+POSITIONS = """WITH p AS (SELECT event_id::VARCHAR AS posicao_id, user_id, ts, (event_id % 90)::INT AS speed, CASE WHEN hour(ts) BETWEEN 11 AND 22 AND value BETWEEN 20 AND 90 THEN 'late' WHEN hour(ts) BETWEEN 6 AND 12 AND value BETWEEN 0 AND 60 THEN 'morning' END AS fence FROM events),
+l AS (SELECT *, lag(fence) OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, posicao_id) AS was FROM p),
+t AS (SELECT *, fence IS NOT NULL AND fence IS DISTINCT FROM was AS entered, was IS NOT NULL AND fence IS DISTINCT FROM was AS left_ FROM l)
+"""
+
+
+@query(POSITIONS + "SELECT posicao_id, user_id::VARCHAR AS viagem_id, fence AS geocerca_id, upper(fence) AS geocerca_nome, CASE WHEN fence IS NULL THEN 'em_rota' ELSE 'em_geocerca' END AS classificacao_localizacao, entered AS evento_entrada_geocerca, left_ AS evento_saida_geocerca, 13 AS columns FROM t")
+def positions_in_fences(spark, d):
+    """The gold table of positions: projection, active fences, best match, class, events, closed schema."""
+    placed = contracts.conform(gold.positions_in_fences(_tracked_positions(spark, d), _fence_rows(spark)), tables.GOLD["posicoes_geocercas"])
+    assert "more" not in placed.columns
+    kept = [c for c in placed.columns if c not in ("source_file", "ingested_at", "dq_observations", "quality_ok", "processed_at")]
+    return placed.select("posicao_id", "viagem_id", "geocerca_id", "geocerca_nome", "classificacao_localizacao", "evento_entrada_geocerca", "evento_saida_geocerca", F.lit(len(kept)).alias("columns"))
+
+
+@query("SELECT 'geocerca_id' AS name, 2 AS rows")
+def active_fences(spark, d):
+    kept = geofence.active_fences(_fence_rows(spark))
+    return kept.agg(F.lit("geocerca_id").alias("name"), F.count("*").cast("int").alias("rows"))
+
+
+@query(POSITIONS + "SELECT count(*) AS posicoes, round(avg((fence IS NOT NULL)::INT), 6) AS em_geocerca, round(avg(speed), 1) AS velocidade_media, count(*) FILTER (entered) + count(*) FILTER (left_) AS eventos FROM t")
+def position_kpis(spark, d):
+    placed = gold.positions_in_fences(_tracked_positions(spark, d), _fence_rows(spark))
+    return reporting.position_kpis(placed, F.col("classificacao_localizacao") == metrics.IN_FENCE, "evento_entrada_geocerca", "evento_saida_geocerca", "velocidade_kmh")
+
+
+@query(POSITIONS + """, v AS (SELECT *, sum(entered::INT) OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, posicao_id ROWS UNBOUNDED PRECEDING) AS visit FROM t WHERE fence IS NOT NULL),
+m AS (SELECT user_id, visit, (epoch(max(ts)) - epoch(min(ts))) / 60 AS minutes FROM v GROUP BY 1, 2) SELECT 'CLIENTE' AS geocerca_tipo, count(*) AS total_visitas, round(avg(minutes), 2) AS tempo_medio_parado_minutos FROM m""")
+def geofence_dwell(spark, d):
+    placed = gold.positions_in_fences(_tracked_positions(spark, d), _fence_rows(spark))
+    return metrics.build_metric("tempo_parado_geocercas", {"positions": placed}).drop("processed_at")
+
+
 # --- reports, sources and the lake ----------------------------------------------------------------------------------
 
 
@@ -502,6 +662,23 @@ def profile_nulls(spark, d):
     return reporting.profile(_t(spark, d, "customer"), ["c_nationkey", "c_mktsegment"])
 
 
+_STATS = "count(v) AS total, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS low, quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS high"
+
+
+@query(f"""WITH s AS (SELECT 'value' AS "column", {_STATS} FROM (SELECT value AS v FROM events) UNION ALL SELECT 'event_id', {_STATS} FROM (SELECT event_id::DOUBLE AS v FROM events))
+SELECT "column", total, round(mean, 6) AS mean, round(std, 6) AS std, low, round(p25, 6) AS p25, round(p50, 6) AS p50, round(p75, 6) AS p75, high FROM s""")
+def profile_describe(spark, d):
+    out = reporting.describe(_t(spark, d, "events"), ["value", "event_id"])
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN 'CD (Centro de Distribuição)' WHEN 1 THEN 'Cliente' WHEN 2 THEN 'Pedágio' WHEN 3 THEN 'Posto de Combustível' ELSE n_name END AS label FROM nation")
+def label_chain(spark, d):
+    kind = F.col("n_nationkey") % 5
+    value = F.when(kind == 0, "CENTRO_DISTRIBUICAO").when(kind == 1, "CLIENTE").when(kind == 2, "PEDAGIO").when(kind == 3, "POSTO_COMBUSTIVEL").otherwise(F.col("n_name"))
+    return _t(spark, d, "nation").select("n_nationkey", reporting.fence_label(value).alias("label"))
+
+
 @query("SELECT event_type, count(*) AS total FROM events GROUP BY 1")
 def value_counts(spark, d):
     return reporting.value_counts(_t(spark, d, "events"), "event_type")
@@ -520,8 +697,14 @@ def partition_filter(spark, d):
 
 
 def _scratch(spark: SparkSession) -> str:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{shared.rstrip('/')}/lake-{id(object())}-{spark.sparkContext.applicationId}" if shared else tempfile.mkdtemp(prefix="lake-")
+    """A fresh folder that driver and executors share; it goes when this process ends."""
+    sc = spark.sparkContext
+    shared = sc.getConf().get("spark.checkpoint.dir")
+    if not shared and not sc.master.startswith("local") or sc.master.startswith("local-cluster") and not shared:
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    path = f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="lake-")
+    atexit.register(lambda: sc._jsc is not None and lake.remove(spark, path))
+    return path
 
 
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 1")
@@ -559,6 +742,54 @@ def json_scan(spark, d):
     return registry.scan(spark, registry.Source("nation", "json", path, {"multiLine": "false"}))
 
 
+@query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, CASE WHEN n_regionkey > 1 THEN n_regionkey::VARCHAR END AS n_regionkey FROM nation")
+def json_multiline_scan(spark, d):
+    """An array of objects over many lines, as text; a key that some objects lack is null there."""
+    path = f"{_scratch(spark)}/nation_array"
+    region = F.when(F.col("n_regionkey") > 1, F.col("n_regionkey"))
+    one = F.to_json(F.struct("n_nationkey", "n_name", region.alias("n_regionkey")), {"pretty": "true"})
+    whole = _t(spark, d, "nation").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(one), ",\n"), F.lit("\n]")).alias("value"))
+    whole.write.text(path)
+    return registry.scan(spark, registry.Source("nation", "json", path)).select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query("""SELECT 'G' || n_nationkey AS geocerca_id, n_name AS nome, n_regionkey::VARCHAR AS uf,
+  '{"type":"Polygon","coordinates":[[[' || n_nationkey || '.0,1.5],[2.0,' || n_regionkey || '.0]]]}' AS geometry FROM nation""")
+def geojson_scan(spark, d):
+    """A feature collection in one file, scanned and flattened."""
+    path = f"{_scratch(spark)}/fences"
+    k, r = F.col("n_nationkey").cast("double"), F.col("n_regionkey").cast("double")
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.array(F.array(k, F.lit(1.5)), F.array(F.lit(2.0), r))).alias("coordinates"))
+    named = F.struct(F.concat(F.lit("G"), F.col("n_nationkey").cast("string")).alias("geocerca_id"), F.col("n_name").alias("nome"), F.col("n_regionkey").alias("uf"))
+    feature = F.struct(F.lit("Feature").alias("type"), named.alias("properties"), shape.alias("geometry"))
+    whole = _t(spark, d, "nation").agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features")), {"pretty": "true"}).alias("value"))
+    whole.write.text(path)
+    return geofence.flatten_features(registry.scan(spark, registry.Source("fences", "geojson", path)), ["geocerca_id", "nome", "uf"])
+
+
+@query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, true AS named, true AS stamped FROM nation")
+def raw_ingest(spark, d):
+    """A CSV source into its raw partition: lineage columns, counted rows, a marker, and the path of the layer."""
+    root = _scratch(spark)
+    path = lake.Lake(f"{root}/").path("raw", "nation")
+    assert path == f"{root}/raw/nation"
+    lake.write_csv(_t(spark, d, "nation").select("n_nationkey", "n_name"), f"{root}/nation_csv")
+    done = registry.ingest(spark, registry.Source("nation", "csv", f"{root}/nation_csv"), path, "2024-01-01")
+    assert lake.is_processed(spark, path, "2024-01-01") and done["records"] == _t(spark, d, "nation").count()
+    raw = lake.read_partition(spark, path, "2024-01-01")
+    return raw.select("n_nationkey", "n_name", F.endswith("source_file", F.lit("nation_csv")).alias("named"), F.col("ingested_at").isNotNull().alias("stamped"))
+
+
+@query("SELECT r_regionkey, r_name, day AS ingest_date FROM region, (VALUES ('2024-01-01'), ('2024-01-02')) v(day)")
+def whole_table(spark, d):
+    """All partitions of a table; a table that is not there is None."""
+    path = f"{_scratch(spark)}/region"
+    for day in ("2024-01-01", "2024-01-02"):
+        lake.write_partition(_t(spark, d, "region").select("r_regionkey", "r_name"), path, day)
+    assert lake.read_table(spark, f"{path}_missing") is None
+    return lake.read_table(spark, path).withColumn("ingest_date", F.col("ingest_date").cast("string"))
+
+
 @query("SELECT n_nationkey, CASE WHEN n_nationkey < 3 THEN 'missing' WHEN n_nationkey >= 100 THEN 'unexpected' ELSE 'changed' END AS kind FROM (SELECT n_nationkey FROM nation UNION ALL SELECT n_nationkey + 100 FROM nation WHERE n_nationkey < 2) WHERE n_nationkey < 3 OR n_nationkey >= 100 OR n_nationkey % 5 = 0")
 def golden_diff(spark, d):
     left = _t(spark, d, "nation").select("n_nationkey", "n_name")

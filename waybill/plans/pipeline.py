@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,17 @@ def run_with_session(f, *args, **kwargs):
         spark.stop()
 
 
+def with_retries(f, *args, retries: int = 2, delay: float = 60.0, sleep=time.sleep, **kwargs):
+    """``f``'s result; a call that fails is made again up to ``retries`` times, ``delay`` seconds apart."""
+    for left in range(retries, -1, -1):
+        try:
+            return f(*args, **kwargs)
+        except Exception:
+            if not left:
+                raise
+            sleep(delay)
+
+
 def ingest_date_of(logical: str | None = None, run_after: dt.datetime | None = None) -> str:
     """The date a run is for: its logical date, else the day it may start, else today (UTC)."""
     return logical or (run_after or dt.datetime.now(dt.UTC)).date().isoformat()
@@ -41,18 +53,24 @@ def clean(df: DataFrame, contract: TableContract) -> DataFrame:
 
 
 def staging(spark: SparkSession, name: str, raw: DataFrame, path: str, date: str) -> dict:
-    """Write the approved rows of a raw partition; counts come from the same pass, reasons from the rejected rows only."""
+    """Write the approved rows of a raw partition; the counts, those of the reasons too, come from the same pass."""
     contract = tables.STAGING[name]
     flat = geofence.flatten_features(raw) if name == "geocercas" else raw
     seen, judged = Observation(f"in_{name}"), Observation(f"ok_{name}")
     cleaned = conform(clean(flat.observe(seen, F.count(F.lit(1)).alias("n")), contract), contract)
     ok = F.coalesce(F.col(quality.OK), F.lit(False))
-    watched = cleaned.observe(judged, F.count_if(ok).alias("approved"), F.count_if(~ok).alias("rejected"))
+    reasons = quality.reason_counts(contract)
+    numbered = [c.alias(f"reason_{i}") for i, c in enumerate(reasons.values())]
+    watched = cleaned.observe(judged, F.count_if(ok).alias("approved"), F.count_if(~ok).alias("rejected"), *numbered)
     lake.write_partition(watched.where(ok), path, date)
     counts, total = judged.get, seen.get["n"]
     rejected = counts["rejected"]
-    reasons = {r["reason"]: r["total"] for r in quality.rejection_histogram(quality.split_by_quality(cleaned)[1]).collect()} if rejected else {}
-    metrics = {"approved": counts["approved"], "rejected": rejected, "rejected_pct": round(100 * rejected / total, 2) if total else 0.0, "reasons": reasons, "input": total, "keyless": total - counts["approved"] - rejected}
+    found = {r: counts[f"reason_{i}"] for i, r in enumerate(reasons) if counts[f"reason_{i}"]}
+    found = dict(sorted(found.items(), key=lambda x: (-x[1], x[0])))
+    metrics = {
+        "approved": counts["approved"], "rejected": rejected, "rejected_pct": round(100 * rejected / total, 2) if total else 0.0,
+        "reasons": found, "input": total, "keyless": total - counts["approved"] - rejected,
+    }
     quality.log_rejections(contract.table_name, metrics)
     lake.mark_processed(spark, path, date)
     return metrics

@@ -4,97 +4,202 @@ from __future__ import annotations
 
 from ..operators.contracts import Check, ColumnSpec, TableContract
 
-LINEAGE = [ColumnSpec("source_file", "string"), ColumnSpec("ingested_at", "timestamp")]
-QUALITY = [ColumnSpec("dq_observations", "string"), ColumnSpec("quality_ok", "boolean")]
-PROCESSED = [ColumnSpec("processed_at", "timestamp")]
-
-
-def _columns(text: str) -> list[ColumnSpec]:
-    """One column a line: name, type, treatments (joined by +, or -), then checks as check=reason[(columns)]; ! marks the key."""
-    out = []
-    for line in filter(None, map(str.strip, text.strip().splitlines())):
-        name, kind, treatments, *checks = line.split()
-        made = []
-        for c in checks:
-            check, _, reason = c.partition("=")
-            reason, _, columns = reason.rstrip(")").partition("(")
-            made.append(Check(check, reason, tuple(filter(None, columns.split(",")))))
-        name, _, new = name.partition(">")
-        out.append(ColumnSpec(name.rstrip("!"), kind, name.endswith("!"), tuple(t for t in treatments.split("+") if t != "-"), tuple(made), new or None))
-    return out
+# Names, types, treatments, checks and rejection reasons of all tables.
 
+LINEAGE = (ColumnSpec("source_file", "string"), ColumnSpec("ingested_at", "timestamp"))
+INGESTED = LINEAGE[1:]
+QUALITY = (ColumnSpec("dq_observations", "string"), ColumnSpec("quality_ok", "boolean"))
+PROCESSED = (ColumnSpec("processed_at", "timestamp"),)
 
 STAGING = {
-    name: TableContract(f"staging_{name}", tuple([*_columns(text), *lineage, *QUALITY, *PROCESSED]))
-    for name, lineage, text in (
-        ("veiculos", LINEAGE, """
-            veiculo_id! string normalize unique=duplicate_key
-            placa string normalize plate_is_valid=invalid_plate
-            marca string normalize
-            modelo string normalize
-            ano_fabricacao int -
-            tipo string trim vehicle_type_is_valid=invalid_vehicle_type
-            capacidade_kg int -
-            capacidade_paletes int -
-            km_atual int - non_negative=negative_mileage
-            status string normalize vehicle_status_is_valid=invalid_status
-            data_ultima_revisao date parse_date required=missing_revision_date"""),
-        ("motoristas", LINEAGE[1:], """
-            motorista_id! string normalize unique=duplicate_key
-            nome string normalize required=missing_name
-            cpf string trim cpf_is_valid=invalid_cpf
-            cpf>cpf_normalize string normalize_cpf
-            cnh string trim cnh_is_valid=invalid_cnh
-            categoria_cnh string normalize cnh_category_is_valid=invalid_cnh_category
-            validade_cnh date parse_date required=missing_cnh_expiry
-            telefone string trim+normalize_telefone
-            data_admissao date parse_date required=missing_admission_date
-            base_operacional string trim
-            status string normalize driver_status_is_valid=invalid_status"""),
-        ("geocercas", LINEAGE, """
-            geocerca_id! string normalize unique=duplicate_key
-            nome string trim required=missing_name
-            tipo string normalize geofence_type_is_valid=invalid_geofence_type
-            uf string normalize
-            raio_km double - positive=invalid_radius
-            ativo boolean - required=invalid_active_flag
-            geometry string - required=missing_geometry geojson_polygon_is_valid=invalid_geometry geojson_polygon_is_in_brazil=geometry_outside_brazil"""),
-        ("viagens", LINEAGE, """
-            viagem_id! string normalize unique=duplicate_key
-            veiculo_id string normalize
-            motorista_id string normalize
-            geocerca_origem_id string normalize
-            geocerca_destino_id string normalize
-            data_inicio timestamp parse_date required=missing_start_date
-            data_fim_prevista timestamp parse_date
-            data_fim_real timestamp parse_date
-            status string normalize trip_status_is_valid=invalid_status
-            distancia_km int - positive=invalid_distance
-            peso_carga_kg int - non_negative=negative_cargo_weight
-            nota_fiscal string normalize required=missing_invoice unique=duplicate_invoice"""),
-        ("posicoes", LINEAGE, """
-            posicao_id! string normalize unique=duplicate_key
-            viagem_id string normalize required=missing_trip_id
-            veiculo_id string normalize required=missing_vehicle_id
-            latitude double - non_zero=zeroed_latitude coordinates_in_brazil=coordinates_outside_brazil(latitude,longitude)
-            longitude double - non_zero=zeroed_longitude
-            timestamp timestamp parse_date required=missing_timestamp
-            velocidade_kmh int - non_negative=negative_speed speed_within_limit=speed_above_limit
-            ignicao boolean -
-            odometro_metros double - non_negative=negative_odometer"""),
-    )
+    "veiculos": TableContract("staging_veiculos", (
+        ColumnSpec("veiculo_id", "string", key=True, treatments=("normalize",), validations=(Check("unique", "duplicate_key"),)),
+        ColumnSpec("placa", "string", treatments=("normalize",), validations=(Check("plate_is_valid", "invalid_plate"),)),
+        ColumnSpec("marca", "string", treatments=("normalize",)),
+        ColumnSpec("modelo", "string", treatments=("normalize",)),
+        ColumnSpec("ano_fabricacao", "int"),
+        ColumnSpec("tipo", "string", treatments=("trim",), validations=(Check("vehicle_type_is_valid", "invalid_vehicle_type"),)),
+        ColumnSpec("capacidade_kg", "int"),
+        ColumnSpec("capacidade_paletes", "int"),
+        ColumnSpec("km_atual", "int", validations=(Check("non_negative", "negative_mileage"),)),
+        ColumnSpec(
+            "status", "string", treatments=("normalize",),
+            validations=(Check("vehicle_status_is_valid", "invalid_status"),),
+        ),
+        ColumnSpec(
+            "data_ultima_revisao", "date", treatments=("parse_date",),
+            validations=(Check("required", "missing_revision_date"),),
+        ),
+        *LINEAGE, *QUALITY, *PROCESSED,
+    )),
+    "motoristas": TableContract("staging_motoristas", (
+        ColumnSpec("motorista_id", "string", key=True, treatments=("normalize",), validations=(Check("unique", "duplicate_key"),)),
+        ColumnSpec("nome", "string", treatments=("normalize",), validations=(Check("required", "missing_name"),)),
+        ColumnSpec("cpf", "string", treatments=("trim",), validations=(Check("cpf_is_valid", "invalid_cpf"),)),
+        ColumnSpec("cpf", "string", treatments=("normalize_cpf",), new_name="cpf_normalize"),
+        ColumnSpec("cnh", "string", treatments=("trim",), validations=(Check("cnh_is_valid", "invalid_cnh"),)),
+        ColumnSpec(
+            "categoria_cnh", "string", treatments=("normalize",),
+            validations=(Check("cnh_category_is_valid", "invalid_cnh_category"),),
+        ),
+        ColumnSpec("validade_cnh", "date", treatments=("parse_date",), validations=(Check("required", "missing_cnh_expiry"),)),
+        ColumnSpec("telefone", "string", treatments=("trim", "normalize_telefone",)),
+        ColumnSpec("data_admissao", "date", treatments=("parse_date",), validations=(Check("required", "missing_admission_date"),)),
+        ColumnSpec("base_operacional", "string", treatments=("trim",)),
+        ColumnSpec("status", "string", treatments=("normalize",), validations=(Check("driver_status_is_valid", "invalid_status"),)),
+        *INGESTED, *QUALITY, *PROCESSED,
+    )),
+    "geocercas": TableContract("staging_geocercas", (
+        ColumnSpec("geocerca_id", "string", key=True, treatments=("normalize",), validations=(Check("unique", "duplicate_key"),)),
+        ColumnSpec("nome", "string", treatments=("trim",), validations=(Check("required", "missing_name"),)),
+        ColumnSpec(
+            "tipo", "string", treatments=("normalize",),
+            validations=(Check("geofence_type_is_valid", "invalid_geofence_type"),),
+        ),
+        ColumnSpec("uf", "string", treatments=("normalize",)),
+        ColumnSpec("raio_km", "double", validations=(Check("positive", "invalid_radius"),)),
+        ColumnSpec("ativo", "boolean", validations=(Check("required", "invalid_active_flag"),)),
+        ColumnSpec(
+            "geometry", "string",
+            validations=(Check("required", "missing_geometry"), Check("geojson_polygon_is_valid", "invalid_geometry"), Check("geojson_polygon_is_in_brazil", "geometry_outside_brazil"),),
+        ),
+        *LINEAGE, *QUALITY, *PROCESSED,
+    )),
+    "viagens": TableContract("staging_viagens", (
+        ColumnSpec("viagem_id", "string", key=True, treatments=("normalize",), validations=(Check("unique", "duplicate_key"),)),
+        ColumnSpec("veiculo_id", "string", treatments=("normalize",)),
+        ColumnSpec("motorista_id", "string", treatments=("normalize",)),
+        ColumnSpec("geocerca_origem_id", "string", treatments=("normalize",)),
+        ColumnSpec("geocerca_destino_id", "string", treatments=("normalize",)),
+        ColumnSpec("data_inicio", "timestamp", treatments=("parse_date",), validations=(Check("required", "missing_start_date"),)),
+        ColumnSpec("data_fim_prevista", "timestamp", treatments=("parse_date",)),
+        ColumnSpec("data_fim_real", "timestamp", treatments=("parse_date",)),
+        ColumnSpec("status", "string", treatments=("normalize",), validations=(Check("trip_status_is_valid", "invalid_status"),)),
+        ColumnSpec("distancia_km", "int", validations=(Check("positive", "invalid_distance"),)),
+        ColumnSpec("peso_carga_kg", "int", validations=(Check("non_negative", "negative_cargo_weight"),)),
+        ColumnSpec(
+            "nota_fiscal", "string", treatments=("normalize",),
+            validations=(Check("required", "missing_invoice"), Check("unique", "duplicate_invoice"),),
+        ),
+        *LINEAGE, *QUALITY, *PROCESSED,
+    )),
+    "posicoes": TableContract("staging_posicoes", (
+        ColumnSpec("posicao_id", "string", key=True, treatments=("normalize",), validations=(Check("unique", "duplicate_key"),)),
+        ColumnSpec("viagem_id", "string", treatments=("normalize",), validations=(Check("required", "missing_trip_id"),)),
+        ColumnSpec("veiculo_id", "string", treatments=("normalize",), validations=(Check("required", "missing_vehicle_id"),)),
+        ColumnSpec(
+            "latitude", "double",
+            validations=(Check("non_zero", "zeroed_latitude"), Check("coordinates_in_brazil", "coordinates_outside_brazil", ("latitude", "longitude")),),
+        ),
+        ColumnSpec("longitude", "double", validations=(Check("non_zero", "zeroed_longitude"),)),
+        ColumnSpec("timestamp", "timestamp", treatments=("parse_date",), validations=(Check("required", "missing_timestamp"),)),
+        ColumnSpec(
+            "velocidade_kmh", "int",
+            validations=(Check("non_negative", "negative_speed"), Check("speed_within_limit", "speed_above_limit"),),
+        ),
+        ColumnSpec("ignicao", "boolean"),
+        ColumnSpec("odometro_metros", "double", validations=(Check("non_negative", "negative_odometer"),)),
+        *LINEAGE, *QUALITY, *PROCESSED,
+    )),
 }
 
 GOLD = {
-    name: TableContract(f"analytics_{name}", tuple([*(ColumnSpec(*c.split(":")) for c in text.split()), *tail, *PROCESSED]))
-    for name, tail, text in (
-        ("posicoes_geocercas", [*LINEAGE, *QUALITY], "posicao_id:string viagem_id:string veiculo_id:string timestamp:timestamp latitude:double longitude:double velocidade_kmh:int geocerca_id:string geocerca_nome:string geocerca_tipo:string classificacao_localizacao:string evento_entrada_geocerca:boolean evento_saida_geocerca:boolean"),
-        ("viagens_enriquecidas", [*LINEAGE, *QUALITY], "viagem_id:string veiculo_id:string motorista_id:string geocerca_origem_id:string geocerca_destino_id:string data_inicio:timestamp data_fim_prevista:timestamp data_fim_real:timestamp status:string distancia_km:int peso_carga_kg:int nota_fiscal:string veiculo_placa:string veiculo_marca:string veiculo_modelo:string veiculo_tipo:string veiculo_capacidade_kg:int veiculo_status:string motorista_nome:string motorista_categoria_cnh:string motorista_base_operacional:string motorista_status:string origem_nome:string origem_tipo:string origem_uf:string destino_nome:string destino_tipo:string destino_uf:string velocidade_media_kmh:double num_posicoes:bigint primeira_posicao_ts:timestamp ultima_posicao_ts:timestamp duracao_horas:double duracao_prevista_horas:double atraso_horas:double atrasada_flag:boolean mes:string"),
-        ("viagens_por_mes_status", [], "mes:string status:string total_viagens:bigint"),
-        ("tempo_medio_por_rota", [], "geocerca_origem_id:string geocerca_destino_id:string origem_nome:string destino_nome:string tempo_medio_horas:double total_viagens:bigint"),
-        ("taxa_atraso_mensal", [], "mes:string viagens_atrasadas:bigint viagens_total:bigint taxa_atraso:double"),
-        ("top_motoristas", [], "posicao_rank:int motorista_id:string motorista_nome:string viagens_concluidas:bigint"),
-        ("utilizacao_frota_mensal", [], "mes:string veiculos_com_viagem:bigint veiculos_ativos_total:bigint taxa_utilizacao:double"),
-        ("tempo_parado_geocercas", [], "geocerca_tipo:string total_visitas:bigint tempo_medio_parado_minutos:double"),
-    )
+    "posicoes_geocercas": TableContract("analytics_posicoes_geocercas", (
+        ColumnSpec("posicao_id", "string"),
+        ColumnSpec("viagem_id", "string"),
+        ColumnSpec("veiculo_id", "string"),
+        ColumnSpec("timestamp", "timestamp"),
+        ColumnSpec("latitude", "double"),
+        ColumnSpec("longitude", "double"),
+        ColumnSpec("velocidade_kmh", "int"),
+        ColumnSpec("geocerca_id", "string"),
+        ColumnSpec("geocerca_nome", "string"),
+        ColumnSpec("geocerca_tipo", "string"),
+        ColumnSpec("classificacao_localizacao", "string"),
+        ColumnSpec("evento_entrada_geocerca", "boolean"),
+        ColumnSpec("evento_saida_geocerca", "boolean"),
+        *LINEAGE, *QUALITY, *PROCESSED,
+    )),
+    "viagens_enriquecidas": TableContract("analytics_viagens_enriquecidas", (
+        ColumnSpec("viagem_id", "string"),
+        ColumnSpec("veiculo_id", "string"),
+        ColumnSpec("motorista_id", "string"),
+        ColumnSpec("geocerca_origem_id", "string"),
+        ColumnSpec("geocerca_destino_id", "string"),
+        ColumnSpec("data_inicio", "timestamp"),
+        ColumnSpec("data_fim_prevista", "timestamp"),
+        ColumnSpec("data_fim_real", "timestamp"),
+        ColumnSpec("status", "string"),
+        ColumnSpec("distancia_km", "int"),
+        ColumnSpec("peso_carga_kg", "int"),
+        ColumnSpec("nota_fiscal", "string"),
+        ColumnSpec("veiculo_placa", "string"),
+        ColumnSpec("veiculo_marca", "string"),
+        ColumnSpec("veiculo_modelo", "string"),
+        ColumnSpec("veiculo_tipo", "string"),
+        ColumnSpec("veiculo_capacidade_kg", "int"),
+        ColumnSpec("veiculo_status", "string"),
+        ColumnSpec("motorista_nome", "string"),
+        ColumnSpec("motorista_categoria_cnh", "string"),
+        ColumnSpec("motorista_base_operacional", "string"),
+        ColumnSpec("motorista_status", "string"),
+        ColumnSpec("origem_nome", "string"),
+        ColumnSpec("origem_tipo", "string"),
+        ColumnSpec("origem_uf", "string"),
+        ColumnSpec("destino_nome", "string"),
+        ColumnSpec("destino_tipo", "string"),
+        ColumnSpec("destino_uf", "string"),
+        ColumnSpec("velocidade_media_kmh", "double"),
+        ColumnSpec("num_posicoes", "bigint"),
+        ColumnSpec("primeira_posicao_ts", "timestamp"),
+        ColumnSpec("ultima_posicao_ts", "timestamp"),
+        ColumnSpec("duracao_horas", "double"),
+        ColumnSpec("duracao_prevista_horas", "double"),
+        ColumnSpec("atraso_horas", "double"),
+        ColumnSpec("atrasada_flag", "boolean"),
+        ColumnSpec("mes", "string"),
+        *LINEAGE, *QUALITY, *PROCESSED,
+    )),
+    "viagens_por_mes_status": TableContract("analytics_viagens_por_mes_status", (
+        ColumnSpec("mes", "string"),
+        ColumnSpec("status", "string"),
+        ColumnSpec("total_viagens", "bigint"),
+        *PROCESSED,
+    )),
+    "tempo_medio_por_rota": TableContract("analytics_tempo_medio_por_rota", (
+        ColumnSpec("geocerca_origem_id", "string"),
+        ColumnSpec("geocerca_destino_id", "string"),
+        ColumnSpec("origem_nome", "string"),
+        ColumnSpec("destino_nome", "string"),
+        ColumnSpec("tempo_medio_horas", "double"),
+        ColumnSpec("total_viagens", "bigint"),
+        *PROCESSED,
+    )),
+    "taxa_atraso_mensal": TableContract("analytics_taxa_atraso_mensal", (
+        ColumnSpec("mes", "string"),
+        ColumnSpec("viagens_atrasadas", "bigint"),
+        ColumnSpec("viagens_total", "bigint"),
+        ColumnSpec("taxa_atraso", "double"),
+        *PROCESSED,
+    )),
+    "top_motoristas": TableContract("analytics_top_motoristas", (
+        ColumnSpec("posicao_rank", "int"),
+        ColumnSpec("motorista_id", "string"),
+        ColumnSpec("motorista_nome", "string"),
+        ColumnSpec("viagens_concluidas", "bigint"),
+        *PROCESSED,
+    )),
+    "utilizacao_frota_mensal": TableContract("analytics_utilizacao_frota_mensal", (
+        ColumnSpec("mes", "string"),
+        ColumnSpec("veiculos_com_viagem", "bigint"),
+        ColumnSpec("veiculos_ativos_total", "bigint"),
+        ColumnSpec("taxa_utilizacao", "double"),
+        *PROCESSED,
+    )),
+    "tempo_parado_geocercas": TableContract("analytics_tempo_parado_geocercas", (
+        ColumnSpec("geocerca_tipo", "string"),
+        ColumnSpec("total_visitas", "bigint"),
+        ColumnSpec("tempo_medio_parado_minutos", "double"),
+        *PROCESSED,
+    )),
 }

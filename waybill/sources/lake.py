@@ -25,6 +25,11 @@ def _file(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, folder = _file(spark, path)
+    fs.delete(folder, True)
+
+
 def write_partition(df: DataFrame, path: str, date: str, files: int | None = None) -> None:
     """Replace one date's partition and leave the others. ``files`` is for small tables: as many output files."""
     dated = df.withColumn(PARTITION, F.lit(date))
