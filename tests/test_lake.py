@@ -19,7 +19,7 @@ def sources(root):
         "VEI-1,ABC1D23,Volvo,FH,2020,Bitrem,1000,20,5,ativo,2024-01-01\nVEI-2,XX,Volvo,FH,2020,Bitrem,1000,20,5,ativo,2024-01-01\n,ABC1D23,v,m,1,VUC,1,1,1,ativo,2024-01-01\n"
     )
     (root / "motoristas").mkdir()
-    (root / "motoristas/motoristas.json").write_text(json.dumps([{"motorista_id": "M1", "nome": "Ana", "cpf": "529.982.247-25", "cnh": "12345678901", "categoria_cnh": "C", "validade_cnh": "2027-01-01", "telefone": "81 6342 7352", "data_admissao": "2020-01-01", "base_operacional": "CD", "status": "ativo"}]))
+    (root / "motoristas/motoristas.json").write_text(json.dumps([{"motorista_id": "M1", "nome": "Ana", "cpf": "246.813.579-28", "cnh": "12345678901", "categoria_cnh": "C", "validade_cnh": "2027-01-01", "telefone": "81 3456 7890", "data_admissao": "2020-01-01", "base_operacional": "CD", "status": "ativo"}]))
     (root / "geocercas").mkdir()
     box = lambda x: {"type": "Polygon", "coordinates": [[[x, -10], [x + 1, -10], [x + 1, -9], [x, -9], [x, -10]]]}
     feature = lambda i, shape: {"type": "Feature", "properties": {"geocerca_id": i, "nome": i, "tipo": "cliente", "uf": "PE", "raio_km": 1.5, "ativo": True}, "geometry": shape}

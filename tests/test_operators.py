@@ -35,13 +35,13 @@ def test_vehicles(spark):
 
 def test_drivers_keep_one_of_a_repeated_key_and_derive_after_nulling(spark):
     df = raw(spark, "motorista_id nome cpf cnh categoria_cnh validade_cnh telefone data_admissao base_operacional status", [
-        ("M1", "a", "529.982.247-25", "12345678901", "c", "2026-01-01", "+55 (071) 2827-1996", "2020-01-01", "x", "ativo"),
-        ("M1", "b", "529.982.247-25", "12345678901", "D", "2026-01-01", None, "2020-01-01", "x", "ATIVO"),
+        ("M1", "a", "246.813.579-28", "12345678901", "c", "2026-01-01", "+55 (071) 2827-1996", "2020-01-01", "x", "ativo"),
+        ("M1", "b", "246.813.579-28", "12345678901", "D", "2026-01-01", None, "2020-01-01", "x", "ATIVO"),
         ("M2", " ", "111.111.111-11", None, "E", "2026-01-01", "", "2020-01-01", "x", "ATIVO"),
     ])
     rows = clean(df, tables.STAGING["motoristas"]).collect()
     first, second, bad = next(r for r in rows if r["nome"] == "A"), next(r for r in rows if r["nome"] == "B"), next(r for r in rows if r["motorista_id"] == "M2")
-    assert first["dq_observations"] == "" and first["telefone"] == "7128271996" and first["cpf_normalize"] == "52998224725"
+    assert first["dq_observations"] == "" and first["telefone"] == "7128271996" and first["cpf_normalize"] == "24681357928"
     assert second["dq_observations"] == "duplicate_key" and second["motorista_id"] is None
     assert bad["dq_observations"] == "missing_name;invalid_cpf;invalid_cnh" and bad["cpf"] is None and bad["cpf_normalize"] is None
 

@@ -82,31 +82,35 @@ def candidate_cells(fences: DataFrame, payload: list[str]) -> tuple[DataFrame, f
     return cells.groupBy("cell_x", "cell_y").agg(F.collect_list(one).alias("fences")), size
 
 
-def hits(points: DataFrame, fences: DataFrame, x: str, y: str, payload: list[str]) -> DataFrame:
-    """``points`` with the array ``inside`` of the fences (``payload`` fields) that contain them, boundary included.
-
-    Every point is in one cell and meets one row, so the join never multiplies rows and needs no aggregation after it;
-    the small cell table is broadcast by its measured size, otherwise both sides are shuffled by cell.
-    """
+def _placed(points: DataFrame, fences: DataFrame, x: str, y: str, payload: list[str], how: str) -> DataFrame:
+    """``points`` with the array ``fences`` of their cell's; a cell table that is small is broadcast by its measured size."""
     cells, size = candidate_cells(fences.select(*payload, "geometry"), payload)
-    px, py = F.col(x), F.col(y)
-    placed = points.withColumns({"cell_x": _cell(px, size), "cell_y": _cell(py, size)}).join(cells, ["cell_x", "cell_y"], "left")
+    return points.withColumns({"cell_x": _cell(F.col(x), size), "cell_y": _cell(F.col(y), size)}).join(cells, ["cell_x", "cell_y"], how)
 
-    def inside(f: Column) -> Column:
-        return px.between(f["x_min"], f["x_max"]) & py.between(f["y_min"], f["y_max"]) & geometry.contains(px, py, f["lines"])
 
-    found = F.transform(F.filter(F.coalesce("fences", F.array()), inside), lambda f: F.struct(*(f[p].alias(p) for p in payload)))
-    return placed.withColumn("inside", found).drop("cell_x", "cell_y", "fences")
+def _inside(f: Column, x: str, y: str) -> Column:
+    """Whether the point is in a fence: its box first, which most candidates fail, then its edges."""
+    px, py = F.col(x), F.col(y)
+    return px.between(f["x_min"], f["x_max"]) & py.between(f["y_min"], f["y_max"]) & geometry.contains(px, py, f["lines"])
 
 
 def match_all(points: DataFrame, fences: DataFrame, x: str, y: str, payload: list[str]) -> DataFrame:
-    """One row per point and containing fence."""
-    return hits(points, fences, x, y, payload).withColumn("m", F.explode("inside")).select(*points.columns, *(F.col(f"m.{p}").alias(p) for p in payload))
+    """One row per point and containing fence, boundary included.
+
+    Every point is in one cell, so the join never multiplies rows; only the candidates of its cell are laid out.
+    """
+    candidates = _placed(points, fences, x, y, payload, "inner").withColumn("m", F.explode("fences"))
+    return candidates.where(_inside(F.col("m"), x, y)).select(*points.columns, *(F.col(f"m.{p}").alias(p) for p in payload))
 
 
 def match_best(points: DataFrame, fences: DataFrame, x: str, y: str, payload: list[str], rank: str, key: str) -> DataFrame:
-    """Every point with the containing fence of smallest ``rank`` (null last), ties by ``key``; null where none."""
+    """Every point with the containing fence of smallest ``rank`` (null last), ties by ``key``; null where none.
+
+    The best of a cell's candidates is an array minimum, so neither the join nor anything after it multiplies or gathers
+    rows.
+    """
     order = lambda f: F.struct(f[rank].isNull().alias("none"), f[rank].alias("rank"), f[key].alias("key"), f.alias("fence"))
-    best = F.array_min(F.transform("inside", order))["fence"]
-    joined = hits(points, fences, x, y, payload).withColumn("m", best)
+    found = F.filter("fences", lambda f: _inside(f, x, y))
+    best = F.array_min(F.transform(found, order))["fence"]
+    joined = _placed(points, fences, x, y, payload, "left").withColumn("m", best)
     return joined.select(*points.columns, *(F.col(f"m.{p}").alias(p) for p in payload))
