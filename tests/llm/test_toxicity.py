@@ -87,11 +87,12 @@ def test_bounds_hold_and_all_terms_stay(spark):
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label int")
     model = tx.fit(spark, docs, labels, max_examples=30)
+    assert not model.vectors and model.index.n == 60
     assert sorted(Counter(model.labels.tolist()).items()) == [(0, 30), (1, 30)]
     texts = dict((i, t) for i, t, _ in rows)
     assert set(model.known) == {w for n in model.names for w in tx.words_of(texts[n])}
     fewer = tx.fit(spark, docs, labels, max_examples=30, max_entries=500)
-    assert 0 < sum(len(t) for t, _ in fewer.vectors) <= 500
+    assert fewer.index.n and 0 < sum(len(t) for t, _ in fewer.vectors) <= 500
 
 
 def corpus():

@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import components, staged
+from .common import components, remove, staged, written
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
 #: Texts whose shingles are counted to order all shingles; only speed depends on it.
 SAMPLE = 50_000
+#: Numbers of 64 bits in a set's parity marks: two sets differ in as many shingles at least as their marks in bits.
+MARKS = 4
 #: Shingles that come last are in so many sampled texts at least, and this number (16 bytes each) at most is broadcast.
 COMMON, MAX_COMMON = 3, 500_000
 
@@ -43,17 +45,27 @@ def _name(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.astype("<u8").tobytes(), 42)
 
 
+def _marks(found: np.ndarray) -> list[int]:
+    """Bits that an odd number of a set's shingles fall on, as MARKS numbers."""
+    odd = np.bincount((found % np.uint64(64 * MARKS)).astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8").tolist()
+
+
 def set_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (``id_col`` unless given), ``_fp``, the name of the row's set of shingles, and its SimHash ``_sim``."""
+    """The ``keep`` columns (``id_col`` unless given), ``_fp``, the name of the row's set of shingles, its SimHash ``_sim`` and its marks."""
     keep = keep or [id_col]
     rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_text"))
-    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), T.StructField("_fp", T.LongType()), T.StructField("_sim", T.LongType())])
+    made = ["_fp", "_sim", *(f"_m{i}" for i in range(MARKS))]
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_text"), *(T.StructField(c, T.LongType()) for c in made)])
 
     def run(batches):
         for batch in batches:
-            found = [(_name(s := shingles(t.as_py(), size)), simhash.sign_bits(s)) for t in batch.column(len(keep))]
-            both = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(both[:, 0]), pa.array(both[:, 1])], schema.names)
+            found = []
+            for t in batch.column(len(keep)):
+                own = shingles(t.as_py(), size)
+                found.append((_name(own), simhash.sign_bits(own), *_marks(own)))
+            all_of = np.array(found, np.uint64).reshape(-1, len(made)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(c) for c in all_of.T.copy())], schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -114,9 +126,9 @@ def _common(spark: SparkSession, texts: DataFrame, size: int):
 def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int, threshold: Fraction) -> DataFrame:
     """Links ``a, b`` whose connected components are those of all pairs of sets with the similarity ``threshold``.
 
-    ``nodes`` has the distinct names ``fp`` of the sets of ``docs``, an id ``_rep`` and the SimHash ``_sim`` of each.
+    ``nodes`` has the distinct names ``fp`` of the sets of ``docs``, an id ``_rep``, the SimHash ``_sim`` and the parity marks of each.
     First each set meets the sets that SimHash links it with and a few centres of its shingles; then all sets meet that
-    share a shingle and are not yet connected.
+    share a shingle, are not yet connected, and whose parity marks differ in few enough bits.
     """
     part, whole = threshold.numerator, threshold.denominator
     total = nodes.count()
@@ -132,7 +144,7 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
     mates = Window.partitionBy("token")
     index = _prefixes(texts_of(nodes), common, size, threshold)
     index = index.withColumns({"low": F.min("fp").over(mates), "high": F.max("fp").over(mates), "c": F.min(centre).over(mates)})
-    index = staged(spark, index.where("low < high").select("token", "fp", "n", "pos", "c"), "shared")
+    index, index_at = written(spark, index.where("low < high").select("token", "fp", "n", "pos", "c"), "shared")
 
     def may_reach(n, pos, m, at):
         """Whether sets of n and m shingles whose first common one is at pos and at can be similar enough."""
@@ -140,14 +152,21 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
         return (overlap >= (n + m) * F.lit(part)) & (F.least(n, m) * F.lit(whole) >= F.greatest(n, m) * F.lit(part))
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = staged(spark, pairs.distinct(), f"{name}-pairs")
+        pairs, pairs_at = written(spark, pairs.distinct(), f"{name}-pairs")
         used = pairs.select(F.col("a").alias("fp")).unionAll(pairs.select(F.col("b").alias("fp"))).distinct()
-        used = staged(spark, nodes.join(used, "fp", "left_semi"), f"{name}-used")
-        held = staged(spark, _sets(texts_of(used), size).join(used.select("fp"), "fp", "left_semi").dropDuplicates(["fp"]), f"{name}-sets")
+        used, used_at = written(spark, nodes.select("fp", "_rep").join(used, "fp", "left_semi"), f"{name}-used")
+        held = _sets(texts_of(used), size).join(used.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+        held, held_at = written(spark, held, f"{name}-sets")
         left, right = held.select(F.col("fp").alias("a"), F.col("held").alias("x")), held.select(F.col("fp").alias("b"), F.col("held").alias("y"))
         both = pairs.join(left, "a").join(right, "b")
         near = F.size(F.array_intersect("x", "y")) * F.lit(part + whole) >= (F.size("x") + F.size("y")) * F.lit(part)
-        return staged(spark, both.where(near).select("a", "b"), f"{name}-links")
+        out = staged(spark, both.where(near).select("a", "b"), f"{name}-links")
+        for path in (pairs_at, used_at, held_at):
+            remove(spark, path)
+        return out
+
+    def paired(rows: DataFrame, x: str = "fp", y: str = "fp2") -> DataFrame:
+        return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
     by_sim = staged(spark, nodes.groupBy("_sim").agg(F.min("fp").alias("first")), "sims")
     near = simhash.links(spark, by_sim.select(F.col("_sim").alias("fp")))
@@ -155,16 +174,22 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
     alike = near.join(by_sim, near["a"] == by_sim["_sim"]).select("b", F.col("first").alias("fp")).join(ends, F.col("b") == ends["_sim"]).select("fp", "fp2")
     alike = alike.unionAll(nodes.join(by_sim, "_sim").where(F.col("fp") != F.col("first")).select("fp", F.col("first").alias("fp2")))
     stars = index.where(F.col("fp") != F.col("c.fp")).where(may_reach(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos")))
-    met = stars.select("fp", F.col("c.fp").alias("fp2")).unionAll(alike)
-    first = verified(met.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")), "star")
+    first = verified(paired(stars.select("fp", F.col("c.fp").alias("fp2")).unionAll(alike)), "star")
     found = components(spark, first)
     placed = index.join(found, index["fp"] == found["node"], "left").select("token", "fp", "n", "pos", F.coalesce("root", "fp").alias("root"))
-    placed = staged(spark, placed, "placed")
-    open_ = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-    x = placed.join(open_, "token", "left_semi")
-    y = x.toDF("token", "fp2", "n2", "pos2", "root2")
+    placed, placed_at = written(spark, placed, "placed")
+    remove(spark, index_at)
+    classes = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
+    marks = [f"_m{i}" for i in range(MARKS)]
+    apart = placed.join(classes, "token", "left_semi").join(nodes.select("fp", *marks), "fp")
+    x, apart_at = written(spark, apart.select("token", "fp", "n", "pos", "root", *marks), "apart")
+    remove(spark, placed_at)
+    y = x.toDF("token", "fp2", "n2", "pos2", "root2", *(f"{m}2" for m in marks))
+    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}2"))) for m in marks[1:]), F.bit_count(F.col(marks[0]).bitwiseXOR(F.col(f"{marks[0]}2"))))
     rest = x.join(y, "token").where("fp < fp2 and root <> root2").where(may_reach(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
-    second = verified(rest.select(F.col("fp").alias("a"), F.col("fp2").alias("b")), "rest")
+    rest = rest.where(differ * F.lit(part + whole) <= (F.col("n") + F.col("n2")) * F.lit(whole - part))
+    second = verified(paired(rest), "rest")
+    remove(spark, apart_at)
     return first.unionAll(second)
 
 

@@ -136,15 +136,30 @@ class Model:
         """``examples``: names, labels, cuts of the terms and counts that follow; ``share``: what a clean and a toxic one stand for."""
         self.made = (known, scale, examples, share, base_rate)
         self.known, self.scale, self.k, self.prior, self.base_rate = known, scale, k, prior, base_rate
-        names, labels, cuts, terms, counts = examples
+        self._index, self.vectors = None, []
+        self._build()
+        self.curve = curve or self._calibrated()
+
+    def _build(self) -> None:
+        names, labels, cuts, terms, counts = self.made[2]
         vectors = [self._unit(terms[a:b], counts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
         heaviest = [int(t[np.argmax(w)]) for t, w in vectors]
         like = sorted(range(len(names)), key=lambda i: (labels[i], heaviest[i], i))  # like examples share blocks
         self.vectors = [vectors[i] for i in like]
         self.names, self.labels = [names[i] for i in like], np.array([labels[i] for i in like], np.int64)
-        self.votes = np.array(share)[self.labels]
-        self.index = BlockMaxIndex(self.vectors, len(known))
-        self.curve = curve or self._calibrated()
+        self.votes = np.array(self.made[3])[self.labels]
+        self._index = BlockMaxIndex(self.vectors, len(self.known))
+
+    def light(self) -> Model:
+        """This model without its index, which comes back when it is asked for."""
+        self._index, self.vectors = None, []
+        return self
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        if self._index is None:
+            self._build()
+        return self._index
 
     def _unit(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(terms)
@@ -292,7 +307,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
     base_rate = float(n_toxic / (n_toxic + n_clean))
     held = np.bincount(examples[1], minlength=2)
     share = [float(m / max(1, h)) for m, h in zip((n_clean, n_toxic), held, strict=True)]
-    return Model(known, term_scale(n, toxic, clean, n_docs, n_toxic, n_clean), examples, (share[0] / max(share), share[1] / max(share)), base_rate)
+    scale = term_scale(n, toxic, clean, n_docs, n_toxic, n_clean)
+    return Model(known, scale, examples, (share[0] / max(share), share[1] / max(share)), base_rate).light()
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
