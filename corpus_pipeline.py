@@ -1,4 +1,9 @@
-"""A training corpus from ``documents``: five stages, each an operator applied to all that the one before it kept."""
+"""A training corpus from ``documents``: five stages, each an operator applied to all that the one before it kept.
+
+All stages but the last return their rows as they came, with every column, also ones whose names an operator uses itself.
+A null id, text or source is a value like others: no stage drops a row for it. Rows that repeat an id or a text are judged
+each, save that near copies and equal rows leave one. An empty table goes through all stages and gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -14,20 +19,27 @@ OWN = ("doc_id", "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half; labels that are not held out teach the scores."""
+    """Documents that score below one half; labels that are not held out teach the scores.
+
+    Null and empty texts have the score of the base rate; a score of one half goes; without labels every document stays.
+    """
     rows, named = carried(docs, OWN)
     scored = toxicity.score(spark, rows, toxicity.learn(spark, docs, sf_dir), rows.columns)
     return named(scored.where(F.col("score") < 0.5))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the smallest id, of each class connected by 5-word shingle similarities of 0.8 or more."""
+    """One document, of the smallest id, of each class connected by 5-word shingle similarities of 0.8 or more.
+
+    SimHash finds most links and prefix filtering the rest. Null and empty texts are copies of each other; a null id comes
+    last; of equal rows one stays.
+    """
     rows, named = carried(docs, OWN)
     return named(near_copies.keep_one(spark, rows))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs; null and empty texts have none."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows, named = carried(docs, OWN)
     found = decontaminate.find_contamination(spark, rows, benchmark, keep=rows.columns)
@@ -35,13 +47,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in as many copies as the mix of sources takes of them."""
+    """Documents in as many copies as the mix of sources takes of them; those without words stay once, a null source is one."""
     rows, named = carried(docs, (*OWN, "source"))
     return named(mixing.mixed_rows(spark, rows))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the record files of the corpus hold, as read back: a row for each record."""
+    """What the record files of the corpus hold, as read back: a row for each record; null texts have only the end id."""
     out = records.token_records(spark, docs, records.vocabulary_path(), shared_path(spark, "corpus"))
     return out.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 

@@ -53,5 +53,22 @@ def test_targets_are_met(spark, cell):
     assert sorted(out, key=key) == sorted(again, key=key)
 
 
+def test_many_sources_and_a_very_long_text(spark):
+    """Thousands of sources go through one small joined table a step; a text of half a million words is one document."""
+    rnd = random.Random(4)
+    data = [(i, "w " * rnd.randrange(1, 30), f"s{i % 2500:04d}") for i in range(20_000)] + [(20_000, "w " * 500_000, "long"), (20_001, "a b", "long")]
+    out = mixing.mix(spark, frame(spark, data)).collect()
+    assert len(out) == len(data)
+    taken, target, size = {}, {}, {}
+    for r in out:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["copies"] * r["size"]
+        target[r["source"]], size[r["source"]] = r["target"], r["source_size"]
+        assert r["copies"] <= 2
+    assert size["long"] == 500_002 and abs(taken["long"] - target["long"]) <= 500_000
+    assert all(abs(taken[s] - target[s]) <= 40 for s in target if s != "long")
+    capped = mixing.capped_shares([size[s] for s in sorted(size)], [[3, 1, 2][i % 3] for i in range(len(size))], 1.5 * sum(size.values()))
+    assert [target[s] for s in sorted(size)] == pytest.approx(capped)
+
+
 def test_empty(spark):
     assert mixing.mix(spark, frame(spark, [])).collect() == []

@@ -72,6 +72,23 @@ def test_shuffled_joins_and_cut_texts_give_the_same(spark, monkeypatch):
     assert got(spark, texts + long) == want_of(texts + long)
 
 
+def test_very_long_texts(spark):
+    """Texts beyond the length at which they are cut share a passage across the cut, at different places."""
+    rnd = random.Random(6)
+    draw = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    passage = draw(5000)
+    first, second = (1 << 20) - 2500, 300_000
+    texts = [draw(first) + passage + draw(1000), draw(second) + passage + draw(200_000), draw(1000)]
+    rows = sorted(sd.remove_repeats(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect(), key=lambda r: r["doc_id"])
+    for r, at in zip(rows, (first, second, None), strict=True):
+        spans = [(s["start"], s["end"]) for s in r["spans"]]
+        if at is None:
+            assert not spans and not r["repeats"]
+        else:  # a byte or two beside the passage can agree by chance
+            assert len(spans) == 1 and at - 4 <= spans[0][0] <= at and at + 5000 <= spans[0][1] <= at + 5004
+            assert bytes(r["kept"]) == (texts[r["doc_id"]][: spans[0][0]] + texts[r["doc_id"]][spans[0][1] :]).encode()
+
+
 def test_orders_and_prefixes():
     rnd = random.Random(1)
     texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(40, 60))) for _ in range(30)] + [b"a" * 45]

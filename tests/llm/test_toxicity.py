@@ -127,7 +127,7 @@ def test_held_out_accuracy_and_odd_rows(spark):
 def test_nothing_labelled_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, label int")
-    assert [r["score"] for r in tx.score(spark, docs, tx.fit(spark, docs, none)).collect()] == [0.5]
+    assert [r["score"] for r in tx.score(spark, docs, tx.fit(spark, docs, none)).collect()] == [0.0]
     empty = docs.where("doc_id < 0")
     assert tx.score(spark, empty, tx.fit(spark, empty, none)).collect() == []
 

@@ -48,24 +48,27 @@ def capped_shares(sizes: list[float], weights: list[float], total: float, cap: f
     return targets
 
 
-def _solve(cells: DataFrame, sources: list[dict], cap: float) -> dict:
-    """Lambda by source number: safeguarded Newton steps, all sources at once, one aggregation a step."""
+def _solve(spark: SparkSession, cells: DataFrame, sources: list[dict], cap: float) -> dict:
+    """Lambda by source number: safeguarded Newton steps, all sources at once, one join with the lambdas so far and one
+    aggregation a step.
+    """
+    targets = {s["number"]: s["target"] for s in sources}
     state = {s["number"]: {"at": 0.0, "low": -math.inf, "high": math.inf, "open": 0 < s["target"] < cap * s["size"] * (1 - 1e-12)} for s in sources}
     for _ in range(STEPS):
         now = {n: x["at"] for n, x in state.items() if x["open"]}
         if not now:
             break
-        lam = F.element_at(F.create_map(*(F.lit(v) for kv in now.items() for v in kv)), F.col("number"))
-        rate = F.least(F.lit(cap), F.exp(F.least(lam * F.col("z"), F.lit(50.0))))
+        table = spark.createDataFrame(list(now.items()), "number int, lam double")
+        rate = F.least(F.lit(cap), F.exp(F.least(F.col("lam") * F.col("z"), F.lit(50.0))))
         free = rate < cap
         words = F.col("n") * F.col("size")
         exact = "decimal(38,6)"
-        sums = cells.where(F.col("number").isin(*now)).groupBy("number").agg(
+        sums = cells.join(F.broadcast(table), "number").groupBy("number").agg(
             F.sum((rate * words).cast(exact)).alias("f"),
             F.sum(F.when(free, rate * words * F.col("z")).otherwise(0.0).cast(exact)).alias("g"),
         )
         for r in sums.collect():
-            x, target = state[r["number"]], next(s["target"] for s in sources if s["number"] == r["number"])
+            x, target = state[r["number"]], targets[r["number"]]
             miss = float(r["f"]) - target
             if abs(miss) <= 1e-9 * target + 1e-5:
                 x["open"] = False
@@ -111,7 +114,7 @@ def mix(
     named = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"])).drop(table["source"])
     cells = named.groupBy("number", "size", "scale").agg(F.count("*").alias("n")).withColumn("z", F.col("size") * F.col("scale"))
     cells = staged(spark, cells, "cells")
-    found = _solve(cells, sources, cap)
+    found = _solve(spark, cells, sources, cap)
     lams = spark.createDataFrame([(s["number"], found[s["number"]], s["target"] >= cap * s["size"] * (1 - 1e-12), s["target"] <= 0) for s in sources], "number int, lam double, full boolean, none boolean")
     rate = F.least(F.lit(cap), F.exp(F.least(F.col("lam") * F.col("z"), F.lit(50.0))))
     rate = F.when(F.col("size") == 0, F.lit(1.0)).when(F.col("full"), F.lit(cap)).when(F.col("none"), F.lit(0.0)).otherwise(rate)
@@ -180,6 +183,7 @@ def mixed_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document; odd rows, ties and empty tables: see ``mix``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     mixed = mix(spark, docs)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

@@ -32,6 +32,8 @@ END_ID = 1
 MAX_CACHED_WORDS = 400_000
 #: Words up to this many characters are kept.
 MAX_CACHED_CHARS = 40
+#: Bytes of text that a file's records are made of, about; small tables have a file for each shuffle partition.
+FILE_BYTES = 256 << 20
 ENTRY = np.dtype([("offset", "<u8"), ("n", "<u8"), ("known", "u1"), ("id", "<i8")])
 VOCABULARY = "word_bpe_49k.json"
 
@@ -168,12 +170,14 @@ def write_records(
     many tasks. A task writes under a name of its own attempt and the manifest names the attempts that counted, so a
     lost executor's files are never read. The manifest (one entry per file, not per document) is written last.
     """
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not files:
+        size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
     docs = docs
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("check", F.crc32(F.col("text").cast("binary")))
     order = [F.col("id").asc_nulls_first(), F.col("check")]
-    parts = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "text").select("id", "text")
+    parts = rows.repartitionByRange(files, *order).sortWithinPartitions(*order, "text").select("id", "text")
 
     # A worker keeps a broadcast value from task to task of the jobs that name it, and so the words in it.
     kept = spark.sparkContext.broadcast({})
@@ -284,8 +288,9 @@ def read_shuffled(url: str, seed: int = 0):
 def token_records(spark: SparkSession, docs: DataFrame, vocabulary: str, url: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = END_ID) -> DataFrame:
     """Encode, write and read back: ``id_col, start, ids`` of every row of ``docs``, in the files' order.
 
-    Null and empty texts have only the end id. Rows that repeat an id or a text are records each. An empty table
-    gives an empty manifest and no rows. Other columns are not read.
+    Null and empty texts have only the end id. Rows that repeat an id or a text are records each; equal ids are in the
+    order of their texts' checksums, then texts, and rows without an id come first. An empty table gives an empty
+    manifest and no rows. Other columns are not read, whatever their names.
     """
     url = url or shared_path(spark, "records")
     write_records(spark, docs, vocabulary, url, id_col, text_col, end_id)
@@ -293,6 +298,7 @@ def token_records(spark: SparkSession, docs: DataFrame, vocabulary: str, url: st
 
 
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's record as read back; odd rows, ties and empty tables: see ``token_records``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     records = token_records(spark, docs, vocabulary_path())
     return records.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

@@ -269,8 +269,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
 
     Null ids and labels teach nothing; an id that repeats among the labels counts once, as toxic if any row says so;
     labelled rows of equal texts are one example of a class, under their smallest id, but count one by one in odds,
-    frequencies and rates. Texts without words are no examples. Without labelled rows every score is 0.5; with empty
-    tables likewise. Only the index is bounded (``max_examples`` of a class, ``max_entries`` words of all examples);
+    frequencies and rates. Texts without words are no examples. Without labelled rows, or with
+    empty tables, every score is 0. Only the index is bounded (``max_examples`` of a class, ``max_entries`` words of all examples);
     frequencies cover all rows and odds all labelled ones.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -303,7 +303,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_examples: i
         table[sums.column("term").to_numpy() + 1, i] = sums.column(c).to_numpy()
     (n_docs, n_toxic, n_clean), (n, toxic, clean) = table[0], table[1:].T
     if not n_toxic + n_clean:
-        return Model({}, np.zeros(0), examples, (1.0, 1.0), 0.5)
+        return Model({}, np.zeros(0), examples, (1.0, 1.0), 0.0)
     base_rate = float(n_toxic / (n_toxic + n_clean))
     held = np.bincount(examples[1], minlength=2)
     share = [float(m / max(1, h)) for m, h in zip((n_clean, n_toxic), held, strict=True)]
