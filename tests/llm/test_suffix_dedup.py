@@ -43,8 +43,15 @@ def fixture():
     return texts + [texts[9]] * 3 + ["b" * 64, "q" + "b" * 64]
 
 
+def shared(texts, also):
+    """Whether each text has a string of so many bytes that another row has too."""
+    rows = [{b[i : i + also] for i in range(len(b) - also + 1)} for b in ((t or "").encode() for t in texts)]
+    n = Counter(w for r in rows for w in r)
+    return [any(n[w] > 1 for w in r) for r in rows]
+
+
 def want_of(texts, length=64, also=40):
-    both = [(*x, y[1], y[2]) for x, y in zip(brute(texts, length), brute(texts, also), strict=True)]
+    both = [(*x, y[1], y[2], z) for x, y, z in zip(brute(texts, length), brute(texts, also), shared(texts, also), strict=True)]
     return sorted((str(None if i == 4 else i // 2 * 2), *x) for i, x in enumerate(both))
 
 
@@ -52,7 +59,7 @@ def got(spark, texts, length=64, also=40, **kw):
     df = spark.createDataFrame([(None if i == 4 else i // 2 * 2, t, "x", i) for i, t in enumerate(texts)], "doc_id long, text string, spans string, n long")
     rows = sd.remove_repeats(spark, df, length=length, also=also, **kw).collect()
     total = lambda spans: sum(s["end"] - s["start"] for s in spans)
-    return sorted((str(r["doc_id"]), r["n_bytes"], total(r["spans"]), len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest(), total(r["repeats"]), len(r["repeats"])) for r in rows)
+    return sorted((str(r["doc_id"]), r["n_bytes"], total(r["spans"]), len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest(), total(r["repeats"]), len(r["repeats"]), r["elsewhere"]) for r in rows)
 
 
 def test_against_brute_force(spark):
@@ -103,14 +110,20 @@ def test_orders_and_prefixes():
 def test_merging_finds_strings_of_two_shards():
     import pyarrow as pa
 
-    rows = [(b"a", 1, 1, 5, 5), (None, 2, 0, 5, 5), (b"c", 3, 1, 5, 6), (None, 4, 0, 6, 6), (b"e", 5, 1, 7, 1), (b"f", 6, 0, 7, 1), (b"g", 7, 0, 7, 1)]
+    x, y, z = b"x", b"y", b"z"
+    rows = [  # place's text or none, start, level, digest, the one text that has the string or none
+        (x, 1, 1, 5, 5, x), (None, 2, 1, 5, 5, None), (x, 3, 0, 5, 6, x), (None, 4, 0, 6, 6, y), (x, 5, 0, 7, 1, x),
+        (x, 6, 0, 7, 1, x), (y, 7, 0, 8, 1, y), (None, 8, 0, 8, 1, None), (y, 9, 0, 9, 1, y), (None, 10, 0, 9, 1, z),
+    ]
     batches = []
-    for a in range(0, 7, 2):
-        part = rows[a : a + 2]
-        columns = ([r[0] for r in part], [r[1] for r in part], [r[1] + 1 for r in part], [r[2] for r in part], [r[3] for r in part], [r[4] for r in part])
+    for a in range(0, len(rows), 3):
+        part = rows[a : a + 3]
+        columns = ([r[0] for r in part], [r[1] for r in part], [r[1] + 1 for r in part], *([r[i] for r in part] for i in (2, 3, 4, 5)))
         batches.append(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, sd.FOUND.values(), strict=True)], list(sd.FOUND)))
-    out = [tuple(r.values()) for b in sd._merged(iter(batches)) for r in b.to_pylist()]
-    assert out == [(b"a", 1, 2, 1), (b"e", 5, 6, 1), (b"f", 6, 7, 0), (b"g", 7, 8, 0)]
+    out = sorted(tuple(r.values()) for b in sd._merged(iter(batches)) for r in b.to_pylist())
+    places = [(x, 1, 2, 1), (x, 5, 6, 0), (x, 6, 7, 0), (y, 7, 8, 0), (y, 9, 10, 0)]
+    assert [r for r in out if r[3] != sd.ELSEWHERE] == places
+    assert {r[0] for r in out if r[3] == sd.ELSEWHERE} == {y, z}  # x meets itself only
     assert list(sd._merged(iter([]))) == []
 
 

@@ -191,24 +191,28 @@ def _runs(flags: np.ndarray, number: np.ndarray) -> np.ndarray:
     return np.c_[set_[new], set_[np.r_[new[1:], True]] + 1]
 
 
-FOUND = {"tid": pa.binary(), "start": pa.int64(), "end": pa.int64(), "level": pa.int32(), "d1": pa.int64(), "d2": pa.int64()}
+FOUND = {"tid": pa.binary(), "start": pa.int64(), "end": pa.int64(), "level": pa.int32(), "d1": pa.int64(), "d2": pa.int64(), "owner": pa.binary()}
+#: Level of rows that say of a text that another one has a string of the shorter length of it; 0 and 1 are the lengths.
+ELSEWHERE = 2
 
 
 def _shards(lengths: tuple[int, int], chunk: int):
     """Sorted stream of (akey, block, split, tid, first, count, ctx) -> runs of repeated starts, and strings to merge.
 
     A shard of a split key sends each distinct string once, under its digest: with its place where the shard has it
-    only once, else without one, as its places are already known to repeat.
+    only once, else without one, as its places are already known to repeat; and with its text where only one has it.
     """
 
-    def batch(tid, start, end, level, d1=None, d2=None):
+    def batch(tid, start, end, level, d1=None, d2=None, owner=None):
         none = [None] * len(start)
-        columns = (tid, start, end, [level] * len(start), none if d1 is None else d1, none if d2 is None else d2)
+        columns = (tid, start, end, [level] * len(start), *(none if c is None else c for c in (d1, d2, owner)))
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, FOUND.values(), strict=True)], list(FOUND))
 
     def solve(rows: list[tuple]):
         number, start, found = repeated_starts([r[6] for r in rows], np.array([r[5] for r in rows], np.int64), lengths)
         where, split = np.array([r[4] for r in rows]), np.array([r[2] for r in rows])
+        names: dict[bytes, int] = {}
+        text = np.array([names.setdefault(r[3], len(names)) for r in rows])
         for level, (place, group) in enumerate(found):
             size = np.bincount(group, minlength=1)
             repeats = np.zeros(len(number), bool)
@@ -217,14 +221,23 @@ def _shards(lengths: tuple[int, int], chunk: int):
             at = number[runs[:, 0]]
             yield batch([rows[n][3] for n in at], where[at] + start[runs[:, 0]], where[at] + start[runs[:, 1] - 1] + 1, level)
             new = np.r_[True, group[1:] != group[:-1]] if len(group) else np.zeros(0, bool)
-            open_ = place[new & split[number[place]]]
+            own = text[number[place]]
+            heads = np.flatnonzero(new)
+            several = np.minimum.reduceat(own, heads) != np.maximum.reduceat(own, heads) if len(heads) else new
+            if level == 0:
+                shared = np.unique(own[several[np.cumsum(new) - 1]])
+                tids = list(names)
+                yield batch([tids[t] for t in shared], np.zeros(len(shared), np.int64), np.ones(len(shared), np.int64), ELSEWHERE)
+            chosen = np.flatnonzero(split[number[place[heads]]])
+            open_, many = place[heads[chosen]], several[chosen]
             alone = ~repeats
             for a in range(0, len(open_), 50_000):
                 part = open_[a : a + 50_000]
                 digests = [xxhash.xxh3_128_digest(rows[number[i]][6][start[i] : start[i] + lengths[level]], level) for i in part]
                 both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 at = where[number[part]] + start[part]
-                yield batch([rows[number[i]][3] if alone[i] else None for i in part], at, at + 1, level, both[:, 0], both[:, 1])
+                owner = [None if m else rows[number[i]][3] for i, m in zip(part, many[a : a + 50_000], strict=True)]
+                yield batch([rows[number[i]][3] if alone[i] else None for i in part], at, at + 1, level, both[:, 0], both[:, 1], owner)
 
     def run(batches):
         held, size = [], 0
@@ -258,9 +271,17 @@ def _merged(batches):
         if end:
             run = run[:end]
             shards = np.searchsorted(run, run, "right") - np.searchsorted(run, run, "left")
-            here = held.slice(0, end)
-            chosen = here.filter(pa.array(shards > 1)).filter(pc.field("tid").is_valid()).select(["tid", "start", "end", "level"])
-            yield from chosen.combine_chunks().to_batches()
+            here = held.slice(0, end).combine_chunks()
+            places = here.filter(pa.array(shards > 1)).filter(pc.field("tid").is_valid()).select(["tid", "start", "end", "level"])
+            yield from places.combine_chunks().to_batches()
+            code = here.column("owner").combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            heads = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+            several = np.minimum.reduceat(code, heads) != np.maximum.reduceat(code, heads)
+            told = here.filter(pa.array(np.repeat(several, np.diff(np.r_[heads, end])))).filter(pc.field("owner").is_valid() & (pc.field("level") == 0))
+            tids = told.column("owner").combine_chunks().unique()
+            if len(tids):
+                k = len(tids)
+                yield pa.RecordBatch.from_arrays([tids, pa.array(np.zeros(k, np.int64)), pa.array(np.ones(k, np.int64)), pa.array(np.full(k, ELSEWHERE, np.int32))], ["tid", "start", "end", "level"])
             held = held.slice(end).combine_chunks()
 
 
@@ -281,7 +302,7 @@ def _union(runs: list[tuple[int, int]], reach: int = 0) -> list[int]:
 
 
 def _cover(batches):
-    """(tid, runs of starts) -> (tid, bounds of the union of starts at the shorter and at the longer length)."""
+    """(tid, runs of starts) -> (tid, bounds of the union of starts at either length, whether another text has a string)."""
     for batch in batches:
         runs = batch.column(1)
         size, flat = pc.list_value_length(runs).to_numpy(zero_copy_only=False), runs.flatten()
@@ -299,7 +320,8 @@ def _cover(batches):
             bounds = np.c_[a[new], (far - base)[last]].ravel()
             cuts = np.r_[0, np.cumsum(2 * np.bincount(r[new], minlength=len(size)))]
             out.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(bounds)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *out], ["tid", "short", "long"])
+        elsewhere = np.bincount(row[level == ELSEWHERE], minlength=len(size)) > 0
+        yield pa.RecordBatch.from_arrays([batch.column(0), *out, pa.array(elsewhere)], ["tid", "short", "long", "elsewhere"])
 
 
 def _hinted(small: DataFrame, size: Column) -> DataFrame:
@@ -312,10 +334,10 @@ def remove_repeats(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     also: int = ALSO, shard_contexts: int = SHARD_CONTEXTS, chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """``id_col, n_bytes, spans, repeats, kept`` for every row of ``docs``.
+    """``id_col, n_bytes, spans, repeats, elsewhere, kept`` for every row of ``docs``.
 
     ``spans`` are the removed (start, end) byte runs, ``kept`` the rest; ``repeats`` the runs covered by strings of
-    ``also`` bytes (16 to ``length``) that start elsewhere too. Texts are taken as UTF-8 bytes; a null text is empty.
+    ``also`` bytes (16 to ``length``) that start elsewhere too; ``elsewhere`` whether another row has one of these. Texts are taken as UTF-8 bytes; a null text is empty.
     Rows that repeat a text of so many bytes lose all of it, whatever their ids (also null ones); of such rows one (the
     smallest id) stands for all in the search. An empty table gives an empty result. Other columns are not read.
     """
@@ -357,10 +379,11 @@ def remove_repeats(
 
     found = searching.select("tid", "body", "n").mapInArrow(anchored, "akey long, whole long, tid binary, first long, count int, deep int, n long")
     found, found_at = written(spark, found, "anchors")
-    kinds = found.groupBy("akey", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("tid", "first", "count")).alias("one"))
-    kinds, kinds_at = written(spark, kinds.withColumn("many", F.col("n") > 1), "contexts")
+    kinds = found.groupBy("akey", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("tid", "first", "count")).alias("one"), F.max("tid").alias("other"))
+    kinds = kinds.withColumns({"many": F.col("n") > 1, "shared": F.col("one.tid") != F.col("other")}).drop("other")
+    kinds, kinds_at = written(spark, kinds, "contexts")
     keys = kinds.groupBy("akey").agg(F.count("*").alias("m")).where("m > 1")
-    settled = found.join(kinds.where("many").select("akey", "whole"), ["akey", "whole"]).select("tid", "first", "count", "deep")
+    settled = found.join(kinds.where("many").select("akey", "whole", "shared"), ["akey", "whole"]).select("tid", "first", "count", "deep", "shared")
     settled, settled_at = written(spark, settled, "settled")
     remove(spark, found_at)
     blocks = F.ceil(F.col("m") / shard_contexts).cast("long")
@@ -372,13 +395,15 @@ def remove_repeats(
     sent = sent.select("akey", "block", "split", "tid", "first", F.col("count").cast("long").alias("count"), bytes_.alias("ctx"))
     shards = sent.repartition("akey", "block").sortWithinPartitions("akey", "block")
     kind = "tid binary, start long, end long, level int"
-    starts, starts_at = written(spark, shards.mapInArrow(_shards((also, length), chunk), f"{kind}, d1 long, d2 long"), "starts")
+    starts, starts_at = written(spark, shards.mapInArrow(_shards((also, length), chunk), f"{kind}, d1 long, d2 long, owner binary"), "starts")
     remove(spark, pending_at)
     open_ = starts.where("d1 is not null").repartition("d1", "d2").sortWithinPartitions("d1", "d2")
     level = lambda n, upto: settled.where(F.col(upto) > 0).select("tid", F.col("first").alias("start"), (F.col("first") + F.col(upto)).alias("end"), F.lit(n).alias("level"))
     every = level(0, "count").unionAll(level(1, "deep")).unionAll(starts.where("d1 is null").select("tid", "start", "end", "level")).unionAll(open_.mapInArrow(_merged, kind))
+    zero, one = F.lit(0).cast("long").alias("start"), F.lit(1).cast("long").alias("end")
+    every = every.unionAll(settled.where("shared").select("tid", zero, one, F.lit(ELSEWHERE).alias("level")).distinct())
     cover = every.groupBy("tid").agg(F.collect_list(F.struct("start", "end", "level")).alias("runs"))
-    cover, _ = written(spark, cover.mapInArrow(_cover, "tid binary, short array<long>, long array<long>"), "cover")
+    cover, _ = written(spark, cover.mapInArrow(_cover, "tid binary, short array<long>, long array<long>, elsewhere boolean"), "cover")
     remove(spark, settled_at)
     remove(spark, starts_at)
 
@@ -401,11 +426,14 @@ def remove_repeats(
                     at = s["end"]
                 sizes.append(len(text))
                 kept.append(b"".join([*parts, text[at:]]))
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), *(pa.array(x, span) for x in both), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "spans", "repeats", "kept"])
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), *(pa.array(x, span) for x in both), batch.column(4), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "spans", "repeats", "elsewhere", "kept"])
 
     spans = "array<struct<start:bigint,end:bigint>>"
-    return joined.select("id", "body", whole(also, "short"), whole(length, "long")).mapInArrow(cut, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_bytes long, spans {spans}, repeats {spans}, kept binary")
+    elsewhere = F.coalesce("elsewhere", F.lit(False)) | (F.col("n").isNotNull() & (n >= also))
+    made = joined.select("id", "body", whole(also, "short"), whole(length, "long"), elsewhere.alias("elsewhere"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    return made.mapInArrow(cut, f"{id_col} {kind}, n_bytes long, spans {spans}, repeats {spans}, elsewhere boolean, kept binary")
 
 
 def covered_bytes(spans: Column) -> Column:
@@ -413,9 +441,11 @@ def covered_bytes(spans: Column) -> Column:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What ``remove_repeats`` removes of every document; ``n_repeated`` counts the bytes of its shorter repeats."""
+    """What ``remove_repeats`` removes of every document; ``n_repeated`` counts the bytes of its shorter repeats, and
+    ``in_others`` says whether any of them is in another document.
+    """
     out = remove_repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select(
         "doc_id", "n_bytes", covered_bytes(F.col("spans")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"), covered_bytes(F.col("repeats")).alias("n_repeated"),
+        F.sha2("kept", 256).alias("kept_sha256"), covered_bytes(F.col("repeats")).alias("n_repeated"), F.col("elsewhere").alias("in_others"),
     )
