@@ -15,10 +15,10 @@ import re
 import struct
 import zlib
 from array import array
-from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +30,8 @@ MASK_DELTA = 0xA282EAD8
 END_ID = 1
 #: Words whose ids a Python worker keeps at most, some 250 bytes each; further words are encoded when they come.
 MAX_CACHED_WORDS = 400_000
+#: Texts encoded at once.
+TOGETHER = 1024
 #: Words up to this many characters are kept.
 MAX_CACHED_CHARS = 40
 #: Bytes of text that a file's records are made of, about; small tables have a file for each shuffle partition.
@@ -89,7 +91,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         size = self.tokenizer.get_vocab_size()
         self.code = "H" if size <= 1 << 16 else "I"
-        self.kept = {}
+        self.kept: dict[str, bytes] = {}
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         self.by_word = ids(" a.b\n\tcd, e  ") == ids("a.b") + ids("cd,") + ids("e") and ids("cd.") == ids("cd") + ids(".")
         self.folds = ids("A\xc9 b") == ids("a\xe9 b")
@@ -100,7 +102,7 @@ class WordEncoder:
     def _ids_of(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words. Words of Latin letters are encoded together and cut at the tokens that end one."""
         out: dict[str, bytes] = {}
-        plain = [w for w in words if w.isalpha() and max(w) < "\u0250"]
+        plain = [w for w in words if w.isalpha() and (w.isascii() or max(w) < "\u0250")]
         size = np.dtype(f"u{array(self.code).itemsize}").itemsize
         for a in range(0, len(plain), 1000):
             part = plain[a : a + 1000]
@@ -122,41 +124,60 @@ class WordEncoder:
             return re.split(r"[ \t\n\v\f\r]+", text)
         return text.split()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids of each text, two or four bytes each as ``code`` says."""
-        if not self.by_word:
-            return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [self.words(t) for t in texts]
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, from those kept where they are."""
         kept = self.kept
-        fresh = {w for words in split for w in words if w not in kept}
-        if fresh:
-            stems, made_of = set(), {}
-            for w in fresh:
-                tail = ""
-                stem = w
-                if len(w) > 1 and w[-1] in ".," and w[-2].isascii() and w[-2].isalnum():
-                    stem, tail = w[:-1], w[-1]
-                    stems.add(tail)
-                if self.folds and stem.isalpha() and max(stem) < "\u0100":
-                    stem = stem.lower()
-                stems.add(stem)
-                if stem != w:
-                    made_of[w] = (stem, tail)
-            ids = self._ids_of([w for w in stems if w not in kept])
-            known = ChainMap(ids, kept)
-            ids |= {w: known[stem] + known[tail] if tail else known[stem] for w, (stem, tail) in made_of.items()}
-            room = MAX_CACHED_WORDS - len(kept)
-            rest = {}
+        fresh = [w for w in words if w not in kept]
+        if not fresh:
+            return list(map(kept.__getitem__, words))
+        stems, made_of = set(), {}
+        for w in fresh:
+            tail = ""
+            stem = w
+            if len(w) > 1 and w[-1] in ".," and w[-2].isascii() and w[-2].isalnum():
+                stem, tail = w[:-1], w[-1]
+                stems.add(tail)
+            if self.folds and stem.isalpha() and (stem.isascii() or max(stem) < "\u0100"):
+                stem = stem.lower()
+            stems.add(stem)
+            if stem != w:
+                made_of[w] = (stem, tail)
+        ids = self._ids_of([w for w in stems if w not in kept])
+        tails = {t: ids.get(t) or kept.get(t) for t in ".,"}
+        for w, (stem, tail) in made_of.items():
+            x = ids.get(stem) or kept[stem]
+            ids[w] = x + tails[tail] if tail else x
+        room = MAX_CACHED_WORDS - len(kept)
+        if room > 0:
             for w, x in ids.items():
-                if room > 0 and len(w) <= MAX_CACHED_CHARS:
+                if len(w) <= MAX_CACHED_CHARS and room > 0:
                     kept[w] = x
                     room -= 1
-                else:
-                    rest[w] = x
-            if rest:
-                return [b"".join([kept[w] if w in kept else rest[w] for w in words]) for words in split]
-        at = kept.__getitem__
-        return [b"".join(map(at, words)) for words in split]
+        return [ids[w] if w in ids else kept[w] for w in words]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian ids of each text, two or four bytes each as ``code`` says.
+
+        Words are cut and told apart by Arrow, and the ids of all texts gathered at once from those of distinct words.
+        """
+        if not self.by_word:
+            return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if any(c in t for t in texts for c in NOT_SPACE):
+            split = pa.array([self.words(t) for t in texts], pa.list_(pa.string()))
+        else:
+            split = pc.utf8_split_whitespace(pa.array(texts, pa.string()))
+        words = split.flatten().dictionary_encode()
+        known = self._known(words.dictionary.to_pylist())
+        size = np.dtype(f"u{array(self.code).itemsize}").itemsize
+        blob = np.frombuffer(b"".join(known), f"<u{size}")
+        count = np.fromiter(map(len, known), np.int64, len(known)) // size
+        first = np.cumsum(count) - count
+        at = words.indices.to_numpy()
+        counts = count[at]
+        ends = np.cumsum(counts)
+        ids = blob[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - (ends - counts), counts)]
+        cuts = np.r_[0, ends][np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy())]]
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 def write_records(
@@ -198,10 +219,10 @@ def write_records(
         entries, offset, ids = [], 0, 0
         with fs.open_output_stream(f"{root}/{name}.records") as out:
             for batch in batches:
-                for a in range(0, batch.num_rows, 256):
-                    keys = batch.column(0).slice(a, 256).to_pylist()
+                for a in range(0, batch.num_rows, TOGETHER):
+                    keys = batch.column(0).slice(a, TOGETHER).to_pylist()
                     block = np.zeros(len(keys), ENTRY)
-                    for i, payload in enumerate(encoder.encode(batch.column(1).slice(a, 256).to_pylist())):
+                    for i, payload in enumerate(encoder.encode(batch.column(1).slice(a, TOGETHER).to_pylist())):
                         payload += end
                         block[i] = (offset, len(payload) // size, keys[i] is not None, keys[i] or 0)
                         out.write(record := frame(payload))
