@@ -31,7 +31,7 @@ END_ID = 1
 #: Words whose ids a Python worker keeps at most, some 250 bytes each; further words are encoded when they come.
 MAX_CACHED_WORDS = 400_000
 #: Texts encoded at once.
-TOGETHER = 1024
+TOGETHER = 2048
 #: Words up to this many characters are kept.
 MAX_CACHED_CHARS = 40
 #: Bytes of text that a file's records are made of, about; small tables have a file for each shuffle partition.
@@ -170,16 +170,26 @@ class WordEncoder:
         known = self._known(words.dictionary.to_pylist())
         size = np.dtype(f"u{array(self.code).itemsize}").itemsize
         blob = np.frombuffer(b"".join(known), f"<u{size}")
-        count = np.fromiter(map(len, known), np.int64, len(known)) // size
-        first = np.cumsum(count) - count
+        count = np.fromiter(map(len, known), np.int32, len(known)) // size
+        first = np.cumsum(count, dtype=np.int32) - count
         at = words.indices.to_numpy()
         counts = count[at]
-        ends = np.cumsum(counts)
-        ids = blob[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - (ends - counts), counts)]
+        ends = np.cumsum(counts, dtype=np.int64)
+        if len(ends) and ends[-1] >= 1 << 31 and len(texts) > 1:  # places have 31 bits
+            return [x for t in texts for x in self.encode([t])]
+        place = np.repeat((first[at] - (ends - counts)).astype(np.int32), counts)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = blob[place]
         cuts = np.r_[0, ends][np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy())]]
         return [ids[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
+def _text_bytes(texts: DataFrame) -> int:
+    """Bytes of a column of texts, as the optimizer has them from the files' sizes; counted where it has no idea."""
+    about = int(str(texts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return about if about < 1 << 50 else texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
 def write_records(
     spark: SparkSession, docs: DataFrame, vocabulary: str, url: str, id_col: str = "doc_id", text_col: str = "text",
     end_id: int | None = END_ID, files: int | None = None,
@@ -192,7 +202,7 @@ def write_records(
     lost executor's files are never read. The manifest (one entry per file, not per document) is written last.
     """
     if not files:
-        size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+        size = _text_bytes(docs.select(F.col(text_col).cast("string").alias("text")))
         files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
     docs = docs
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
