@@ -63,3 +63,25 @@ def test_stage_keeps_one_of_all_pairs_that_brute_force_finds(spark):
 
 def test_no_rows(spark):
     assert near_copies.keep_one(spark, spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def watched(monkeypatch):
+    """What near_copies writes: (name, plan, rows) of each table."""
+    found, write = [], near_copies.written
+
+    def watch(spark, df, name):
+        out = write(spark, df, name)
+        found.append((name, df._jdf.queryExecution().optimizedPlan().toString(), out[0].count()))
+        return out
+
+    monkeypatch.setattr(near_copies, "written", watch)
+    return found
+
+
+def test_index_of_many_sets_moves_no_texts(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "MAX_BROADCAST_ROWS", -1)
+    found = watched(monkeypatch)
+    rows = edited() + [(1000 + i, t) for i, t in edited()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(spark, docs).collect()) == brute_kept(rows)
+    assert ["Join" in plan for name, plan, _ in found if name == "shared"] == [False]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import components, remove, staged, written
+from .common import components, let_go, remove, staged, written
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -29,6 +29,8 @@ SAMPLE = 50_000
 MARKS = 4
 #: Shingles that come last are in so many sampled texts at least, and this number (16 bytes each) at most is broadcast.
 COMMON, MAX_COMMON = 3, 500_000
+#: Names that a task remembers to send the prefix of a repeated set once.
+REMEMBERED = 100_000
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -88,25 +90,32 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
 
 
 def _prefixes(texts: DataFrame, common, size: int, threshold: Fraction) -> DataFrame:
-    """``token, fp, n, pos``: the first shingles of every text's set under the order, as many as can decide."""
+    """``token, fp, n, pos``: the first shingles of every text's set under the order, as many as can decide.
+
+    A task leaves out most sets that it has seen; other repeats stay.
+    """
 
     def run(batches):
         last, times = common.value
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 out = []
                 for text in batch.column(0)[at : at + 256]:
                     found = shingles(text.as_py(), size)
                     n = len(found)
-                    if not n:
+                    if not n or (own := _name(found)) in seen:
                         continue
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(own)
                     rank = np.zeros(n, np.int64)
                     if len(last):
                         spot = np.minimum(np.searchsorted(last, found), len(last) - 1)
                         rank = np.where(last[spot] == found, times[spot], 0)
                     first = found[np.lexsort((found, rank))[: n - -(-n * threshold.numerator // threshold.denominator) + 1]]
                     m = len(first)
-                    name = np.full(m, _name(found), np.uint64)
+                    name = np.full(m, own, np.uint64)
                     out.append((first.view(np.int64), name.view(np.int64), np.full(m, n, np.int32), np.arange(m, dtype=np.int32)))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["token", "fp", "n", "pos"])
@@ -142,9 +151,10 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
     common = _common(spark, texts_of(drawn), size)
     centre = F.struct(F.xxhash64("fp", F.pmod("token", F.lit(4))).alias("_"), F.col("fp"), F.col("n"), F.col("pos"))
     mates = Window.partitionBy("token")
-    index = _prefixes(texts_of(nodes), common, size, threshold)
+    index = _prefixes(docs.select(F.col(text_col).cast("string")), common, size, threshold)
     index = index.withColumns({"low": F.min("fp").over(mates), "high": F.max("fp").over(mates), "c": F.min(centre).over(mates)})
-    index, index_at = written(spark, index.where("low < high").select("token", "fp", "n", "pos", "c"), "shared")
+    index, index_at = written(spark, index.where("low < high").select("token", "fp", "n", "pos", "c").distinct(), "shared")
+    let_go(spark)
 
     def may_reach(n, pos, m, at):
         """Whether sets of n and m shingles whose first common one is at pos and at can be similar enough."""
@@ -161,8 +171,10 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
         both = pairs.join(left, "a").join(right, "b")
         near = F.size(F.array_intersect("x", "y")) * F.lit(part + whole) >= (F.size("x") + F.size("y")) * F.lit(part)
         out = staged(spark, both.where(near).select("a", "b"), f"{name}-links")
+        del held, left, right, both
         for path in (pairs_at, used_at, held_at):
             remove(spark, path)
+        let_go(spark)
         return out
 
     def paired(rows: DataFrame, x: str = "fp", y: str = "fp2") -> DataFrame:
