@@ -85,3 +85,19 @@ def test_index_of_many_sets_moves_no_texts(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sorted(r["doc_id"] for r in near_copies.keep_one(spark, docs).collect()) == brute_kept(rows)
     assert ["Join" in plan for name, plan, _ in found if name == "shared"] == [False]
+
+
+def test_large_group_does_not_meet_in_all_pairs(spark, monkeypatch):
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(600):
+        w = list(base)
+        for at in rnd.sample(range(100), 1 + i % 2):
+            w[at] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    found = watched(monkeypatch)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(spark, docs).collect()) == brute_kept(rows)
+    tried = sum(n for name, _, n in found if name.endswith("-pairs"))
+    assert tried < 600 * 18, tried

@@ -4,7 +4,8 @@ Most are found by SimHash: fingerprints of the sets, linked by deletion-variant
 sets. Few bits cannot reach every pair of that similarity, so prefix filtering adds the rest: under one order of all
 shingles, two sets that are similar enough share a shingle among the first of each. The order puts shingles that a sample
 shows to be common last, so that few sets meet in one; any order gives the same pairs. Every candidate is verified on the
-whole sets, so no pair is lost or made up.
+whole sets, so no pair is lost or made up. Sets of one class need not meet again: before all others do, those that share a
+shingle meet centres of it in rounds, so that a large group of near copies is one class by then and not all its pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ MARKS = 4
 COMMON, MAX_COMMON = 3, 500_000
 #: Names that a task remembers to send the prefix of a repeated set once.
 REMEMBERED = 100_000
+#: Rounds before all sets meet, at most, while there could be more pairs a row than the second number; a round draws about the third of
+#: a shingle's sets as centres. Only speed depends on them.
+ROUNDS, PAIRS_A_ROW, CENTRES = 3, 8, 16
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -186,23 +190,47 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
     alike = near.join(by_sim, near["a"] == by_sim["_sim"]).select("b", F.col("first").alias("fp")).join(ends, F.col("b") == ends["_sim"]).select("fp", "fp2")
     alike = alike.unionAll(nodes.join(by_sim, "_sim").where(F.col("fp") != F.col("first")).select("fp", F.col("first").alias("fp2")))
     stars = index.where(F.col("fp") != F.col("c.fp")).where(may_reach(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos")))
-    first = verified(paired(stars.select("fp", F.col("c.fp").alias("fp2")).unionAll(alike)), "star")
-    found = components(spark, first)
-    placed = index.join(found, index["fp"] == found["node"], "left").select("token", "fp", "n", "pos", F.coalesce("root", "fp").alias("root"))
-    placed, placed_at = written(spark, placed, "placed")
-    remove(spark, index_at)
-    classes = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
+    made = verified(paired(stars.select("fp", F.col("c.fp").alias("fp2")).unionAll(alike)), "star")
     marks = [f"_m{i}" for i in range(MARKS)]
-    apart = placed.join(classes, "token", "left_semi").join(nodes.select("fp", *marks), "fp")
-    x, apart_at = written(spark, apart.select("token", "fp", "n", "pos", "root", *marks), "apart")
-    remove(spark, placed_at)
-    y = x.toDF("token", "fp2", "n2", "pos2", "root2", *(f"{m}2" for m in marks))
-    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}2"))) for m in marks[1:]), F.bit_count(F.col(marks[0]).bitwiseXOR(F.col(f"{marks[0]}2"))))
-    rest = x.join(y, "token").where("fp < fp2 and root <> root2").where(may_reach(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
-    rest = rest.where(differ * F.lit(part + whole) <= (F.col("n") + F.col("n2")) * F.lit(whole - part))
-    second = verified(paired(rest), "rest")
+
+    def apart() -> tuple[DataFrame, str]:
+        """The rows of ``index`` whose shingle is in several classes, with class and marks."""
+        found = components(spark, made)
+        placed = index.join(found, index["fp"] == found["node"], "left").select("token", "fp", "n", "pos", F.coalesce("root", "fp").alias("root"))
+        placed, placed_at = written(spark, placed, "placed")
+        classes = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
+        rows = placed.join(classes, "token", "left_semi").join(nodes.select("fp", *marks), "fp")
+        rows = written(spark, rows.select("token", "fp", "n", "pos", "root", *marks), "apart")
+        remove(spark, placed_at)
+        return rows
+
+    def candidates(rows: DataFrame) -> DataFrame:
+        """Rows whose two sets are of different classes and, by places and marks, may be similar enough."""
+        differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}2"))) for m in marks[1:]), F.bit_count(F.col(marks[0]).bitwiseXOR(F.col(f"{marks[0]}2"))))
+        rows = rows.where("root <> root2").where(may_reach(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
+        return rows.where(differ * F.lit(part + whole) <= (F.col("n") + F.col("n2")) * F.lit(whole - part))
+
+    x, apart_at = apart()
+    twice = ["fp", "n", "pos", "root", *marks]
+    for turn in range(ROUNDS):
+        sizes = x.groupBy("token").count()
+        rows, pairs = sizes.agg(F.sum("count"), F.sum(F.expr("count * (count - 1.0) / 2"))).first()
+        if not rows or pairs <= PAIRS_A_ROW * rows:
+            break
+        drawn = x.join(sizes, "token").where(F.pmod(F.xxhash64("fp", "token", F.lit(turn)), F.col("count")) < CENTRES)
+        met = x.join(drawn.select("token", *(F.col(c).alias(f"{c}2") for c in twice)), "token")
+        more = verified(paired(candidates(met)), "round")
+        if more.isEmpty():
+            break
+        made = made.unionAll(more)
+        remove(spark, apart_at)
+        x, apart_at = apart()
+    remove(spark, index_at)
+    y = x.toDF("token", *(f"{c}2" for c in twice))
+    rest = candidates(x.join(y, "token").where("fp < fp2"))
+    made = made.unionAll(verified(paired(rest), "rest"))
     remove(spark, apart_at)
-    return first.unionAll(second)
+    return made
 
 
 def keep_one(
