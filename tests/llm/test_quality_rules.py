@@ -132,3 +132,17 @@ def test_no_labels_and_empty(spark):
     assert [r["kept"] for r in qr.judge(spark, docs, qr.fit(spark, docs, none)).collect()] == [True]
     empty = docs.where("doc_id < 0")
     assert qr.judge(spark, empty, qr.fit(spark, empty, none)).collect() == []
+
+
+def test_every_labelled_row_counts(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join("".join(rnd.choice("abcd") for _ in range(rnd.randrange(1, 7))) + "#" * (i % 9 == 0 and rnd.random() < 0.4) for _ in range(12)), int(i % 9 > 0)) for i in range(21_000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    rules = qr.fit(spark, docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, good int"))
+    found = [(qr.statistics(t), y) for _, t, y in rows]
+    found = [(f, y) for (c, f), y in found if not qr.base_failed(c[0], c[4])]
+    values, good = np.array([f for f, _ in found]), np.array([y > 0 for _, y in found])
+    assert len(values) > 20_000
+    assert np.array_equal(rules.forest.weights, qr.separation(values, good))
+    assert rules.threshold == qr.calibrate(rules.forest.score(values), good)
+    assert len(rules.forest.trees) == qr.TREES and rules.forest.sample == qr.TREE_ROWS
