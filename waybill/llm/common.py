@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import re
 import tempfile
 import uuid
@@ -60,12 +59,6 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, s
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def let_go(spark: SparkSession) -> None:
-    """Let shuffle files of queries that nothing refers to any more be deleted now, not when the driver's memory fills."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return written(spark, df, name)[0]
 
