@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+#: Bytes of rows that a Python worker holds for one row group of a working table.
+GROUP_BYTES = 8 << 20
 #: Words of the counting contracts: runs of anything but space and \t..\r, as bytes.split() cuts them.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
@@ -63,6 +69,67 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return written(spark, df, name)[0]
 
 
+def written_by_workers(spark: SparkSession, df: DataFrame, name: str, made: tuple | None = None) -> tuple[DataFrame, str]:
+    """``written`` for working tables of longs, integers, doubles, booleans, binaries and structs of these, by the Python workers.
+
+    Without its native library, Hadoop's local file system starts a process for every file and folder that a task makes;
+    until that runs, it shares the executor's memory and doubles what is measured of it. Workers start none. ``made`` is
+    (function of Arrow batches, schema) to apply on the way, as mapInArrow would. A task writes under a hidden name of its
+    attempt, and the driver gives those that count their names. Other folders and types are written by Spark; lists are
+    taken from ``made`` only, whose batches are as small as it makes them.
+    """
+    schema = T.StructType.fromDDL(made[1]) if made else df.schema
+    path = shared_path(spark, name)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() != "file" or not _flat(schema, bool(made)):
+        (df.mapInArrow(*made) if made else df).write.parquet(path)
+        return spark.read.schema(schema).parquet(path), path
+    _, root = file_system(path)
+    os.makedirs(root, exist_ok=True)
+    names = df.mapInArrow(_parquet_writer(root, to_arrow_schema(schema), made[0] if made else None), "name string").collect()
+    for n, row in enumerate(names):
+        os.rename(f"{root}/{row.name}", f"{root}/part-{n:05d}.parquet")
+    return spark.read.schema(schema).parquet(path), path
+
+
+def _flat(kind: T.DataType, lists: bool) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_flat(f.dataType, lists) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return lists and _flat(kind.elementType, lists)
+    return isinstance(kind, (T.LongType, T.IntegerType, T.BooleanType, T.DoubleType, T.BinaryType))
+
+
+def _parquet_writer(root: str, schema: pa.Schema, made):
+    """Batches (through ``made``, if any) -> the name of a file with all their rows; none for no rows."""
+
+    def run(batches):
+        import pyarrow.parquet as pq
+
+        name, out, held, size = f"_attempt-{uuid.uuid4().hex}.parquet", None, [], 0
+        try:
+            for batch in with_end(made(batches) if made else batches):
+                if batch is not None and batch.num_rows:
+                    held.append(batch)
+                    size += batch.nbytes
+                if held and (batch is None or size >= GROUP_BYTES):
+                    out = out or pq.ParquetWriter(f"{root}/{name}", schema, use_dictionary=False, compression="zstd", compression_level=1)
+                    out.write_table(pa.Table.from_batches(held).cast(schema))
+                    held, size = [], 0
+        finally:
+            if out:
+                out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([name] if out else [], pa.string())], ["name"])
+
+    return run
+
+
+def with_end(batches):
+    """The batches, then None."""
+    yield from batches
+    yield None
+
+
 def carried(docs: DataFrame, own: tuple[str, ...]):
     """(``docs`` with every column but ``own`` under a name no operator uses, a function that gives the names back)."""
     names = {c: c if c in own else f"__carried_{i}" for i, c in enumerate(docs.columns)}
@@ -118,11 +185,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         row = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return tuple(row)
 
-    now, path = written(spark, edges.select("a", "b").where("a <> b"), "links")
+    now, path = written_by_workers(spark, edges.select("a", "b").where("a <> b"), "links")
     before = None
     while (after := state(now))[0] and after != before:
         before, old = after, path
-        now, path = written(spark, stars(stars(now, True), False), "links")
+        now, path = written_by_workers(spark, stars(stars(now, True), False), "links")
         remove(spark, old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

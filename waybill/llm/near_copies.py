@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import components, remove, staged, written
+from .common import components, remove
+from .common import written_by_workers as written
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -173,7 +174,7 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
         left, right = held.select(F.col("fp").alias("a"), F.col("held").alias("x")), held.select(F.col("fp").alias("b"), F.col("held").alias("y"))
         both = pairs.join(left, "a").join(right, "b")
         near = F.size(F.array_intersect("x", "y")) * F.lit(part + whole) >= (F.size("x") + F.size("y")) * F.lit(part)
-        out = staged(spark, both.where(near).select("a", "b"), f"{name}-links")
+        out, _ = written(spark, both.where(near).select("a", "b"), f"{name}-links")
         for path in (pairs_at, used_at, held_at):
             remove(spark, path)
         return out
@@ -181,7 +182,7 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
     def paired(rows: DataFrame, x: str = "fp", y: str = "fp2") -> DataFrame:
         return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
-    by_sim = staged(spark, nodes.groupBy("_sim").agg(F.min("fp").alias("first")), "sims")
+    by_sim, _ = written(spark, nodes.groupBy("_sim").agg(F.min("fp").alias("first")), "sims")
     near = simhash.links(spark, by_sim.select(F.col("_sim").alias("fp")))
     ends = by_sim.toDF("_sim", "fp2")
     alike = near.join(by_sim, near["a"] == by_sim["_sim"]).select("b", F.col("first").alias("fp")).join(ends, F.col("b") == ends["_sim"]).select("fp", "fp2")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, flat_components, staged
+from .common import components, flat_components, staged, written_by_workers
 
 #: Members of a bucket that one task compares; larger buckets are cut into tiles of two blocks.
 BUCKET = 4096
@@ -161,7 +161,7 @@ def links(spark: SparkSession, prints: DataFrame, max_bits: int = 4, bucket: int
         tiles = rows.select("key", zero.alias("t1"), zero.alias("t2"), "fp")
     else:
         hot = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
-        hot = staged(spark, hot, "hot")
+        hot, _ = written_by_workers(spark, hot, "hot")
         few = hot.count() <= MAX_BROADCAST_KEYS
         blocks = F.ceil(F.coalesce("n", F.lit(1)) / bucket).cast("int")
         cut = rows.join(F.broadcast(hot) if few else hot, "key", "left").withColumn("blocks", blocks)
@@ -181,7 +181,7 @@ def _classes(spark: SparkSession, prints: DataFrame, id_col: str, link) -> DataF
     tid = ["_tid"] if "_tid" in prints.columns else []
     best = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("_rep"), *tid)).alias("best")
     nodes = prints.groupBy(F.col("_fp").alias("fp")).agg(best, *(F.first(c).alias(c) for c in rest))
-    nodes = staged(spark, nodes.select("fp", *(f"best.{c}" for c in ("_rep", *tid)), *rest), "nodes")
+    nodes, _ = written_by_workers(spark, nodes.select("fp", *(f"best.{c}" for c in ("_rep", *tid)), *rest), "nodes")
     found = components(spark, link(nodes))
     placed = nodes.join(found, nodes["fp"] == found["node"], "left")
     return placed.select("fp", "_rep", *tid, F.coalesce("root", "fp").alias("_root"))
@@ -229,7 +229,7 @@ def keep_winners(spark: SparkSession, docs: DataFrame, id_col: str, text_col: st
     placed = _classes(spark, prints, id_col, link)
     order = F.struct(F.col("_rep").isNull().alias("none"), F.col("_rep").alias("id"), F.col("fp"), F.col("_tid").alias("tid"))
     winners = placed.groupBy("_root").agg(F.min(order).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.tid").alias("_wtid"))
-    winners = staged(spark, winners, "winners")
+    winners, _ = written_by_workers(spark, winners, "winners")
     small = F.broadcast(winners) if winners.count() <= MAX_BROADCAST_ROWS else winners
     rows = docs.withColumn("_tid", tid)
     kept = rows.join(small, (rows["_tid"] == small["_wtid"]) & rows[id_col].eqNullSafe(small["_id"]), "left_semi")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remove, written
+from .common import remove, with_end, written_by_workers
 
 LENGTH = 400
 #: The shorter length; a passage of over 50 words is rarely shorter.
@@ -257,7 +257,7 @@ def _shards(lengths: tuple[int, int], chunk: int):
 def _merged(batches):
     """Stream sorted by digest, a row for each shard that has the string -> places of strings that two shards have."""
     held = None
-    for batch in _with_end(batches):
+    for batch in with_end(batches):
         if batch is not None:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
@@ -285,11 +285,6 @@ def _merged(batches):
             held = held.slice(end).combine_chunks()
 
 
-def _with_end(batches):
-    yield from batches
-    yield None
-
-
 def _union(runs: list[tuple[int, int]], reach: int = 0) -> list[int]:
     """Flat sorted bounds of the union of runs, ends moved on by ``reach``."""
     bounds: list[int] = []
@@ -346,7 +341,7 @@ def remove_repeats(
     rows = docs.select(F.col(id_col).alias("id"), body.alias("body"))
     rows = rows.withColumn("tid", F.unhex(F.md5("body")))
     copies = rows.select("tid", "id").groupBy("tid").agg(F.count("*").alias("n"), F.min("id").alias("rep")).where("n > 1")
-    copies, _ = written(spark, copies, "copies")
+    copies, _ = written_by_workers(spark, copies, "copies")
     marked = rows.join(_hinted(copies, F.lit(64)), "tid", "left")
     # Of copies, the one that searches; rows that repeat both text and id search together.
     searching = marked.where((F.length("body") >= also) & (F.col("n").isNull() | F.col("id").eqNullSafe(F.col("rep"))))
@@ -377,25 +372,25 @@ def remove_repeats(
         if held:
             yield flush(held)
 
-    found = searching.select("tid", "body", "n").mapInArrow(anchored, "akey long, whole long, tid binary, first long, count int, deep int, n long")
-    found, found_at = written(spark, found, "anchors")
+    anchors = "akey long, whole long, tid binary, first long, count int, deep int, n long"
+    found, found_at = written_by_workers(spark, searching.select("tid", "body", "n"), "anchors", (anchored, anchors))
     kinds = found.groupBy("akey", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("tid", "first", "count")).alias("one"), F.max("tid").alias("other"))
     kinds = kinds.withColumns({"many": F.col("n") > 1, "shared": F.col("one.tid") != F.col("other")}).drop("other")
-    kinds, kinds_at = written(spark, kinds, "contexts")
+    kinds, kinds_at = written_by_workers(spark, kinds, "contexts")
     keys = kinds.groupBy("akey").agg(F.count("*").alias("m")).where("m > 1")
     settled = found.join(kinds.where("many").select("akey", "whole", "shared"), ["akey", "whole"]).select("tid", "first", "count", "deep", "shared")
-    settled, settled_at = written(spark, settled, "settled")
+    settled, settled_at = written_by_workers(spark, settled, "settled")
     remove(spark, found_at)
     blocks = F.ceil(F.col("m") / shard_contexts).cast("long")
     pending = kinds.join(keys, "akey").select("akey", F.pmod("whole", blocks).alias("block"), (blocks > 1).alias("split"), F.col("one.tid").alias("tid"), F.col("one.first").alias("first"), F.col("one.count").alias("count"))
-    pending, pending_at = written(spark, pending, "pending")
+    pending, pending_at = written_by_workers(spark, pending, "pending")
     remove(spark, kinds_at)
     sent = searching.select("tid", "body").join(pending.hint("shuffle_hash"), "tid")
     bytes_ = F.expr(f"substring(body, cast(first + 1 as int), cast(count + {length - 1} as int))")
     sent = sent.select("akey", "block", "split", "tid", "first", F.col("count").cast("long").alias("count"), bytes_.alias("ctx"))
     shards = sent.repartition("akey", "block").sortWithinPartitions("akey", "block")
     kind = "tid binary, start long, end long, level int"
-    starts, starts_at = written(spark, shards.mapInArrow(_shards((also, length), chunk), f"{kind}, d1 long, d2 long, owner binary"), "starts")
+    starts, starts_at = written_by_workers(spark, shards, "starts", (_shards((also, length), chunk), f"{kind}, d1 long, d2 long, owner binary"))
     remove(spark, pending_at)
     open_ = starts.where("d1 is not null").repartition("d1", "d2").sortWithinPartitions("d1", "d2")
     level = lambda n, upto: settled.where(F.col(upto) > 0).select("tid", F.col("first").alias("start"), (F.col("first") + F.col(upto)).alias("end"), F.lit(n).alias("level"))
@@ -403,7 +398,7 @@ def remove_repeats(
     zero, one = F.lit(0).cast("long").alias("start"), F.lit(1).cast("long").alias("end")
     every = every.unionAll(settled.where("shared").select("tid", zero, one, F.lit(ELSEWHERE).alias("level")).distinct())
     cover = every.groupBy("tid").agg(F.collect_list(F.struct("start", "end", "level")).alias("runs"))
-    cover, _ = written(spark, cover.mapInArrow(_cover, "tid binary, short array<long>, long array<long>, elsewhere boolean"), "cover")
+    cover, _ = written_by_workers(spark, cover, "cover", (_cover, "tid binary, short array<long>, long array<long>, elsewhere boolean"))
     remove(spark, settled_at)
     remove(spark, starts_at)
 
