@@ -72,3 +72,14 @@ def test_damage_is_noticed():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert tr.token_records(spark, df, VOCAB).collect() == []
+
+
+def test_many_files_are_read_by_few_tasks(spark, tmp_path):
+    rows = [(i, f"word{i} " * (i % 9)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = tr.write_records(spark, docs, VOCAB, str(tmp_path), files=40)
+    out = tr.read_records(spark, str(tmp_path))
+    assert len(manifest) == 40 and out.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    got = out.collect()
+    assert [r["doc_id"] for r in got] == list(range(300))
+    assert [r["start"] for r in got][1:] == [sum(len(r["ids"]) // 4 for r in got[: i + 1]) for i in range(299)]

@@ -36,6 +36,8 @@ TOGETHER = 2048
 MAX_CACHED_CHARS = 40
 #: Bytes of text that a file's records are made of, about; small tables have a file for each shuffle partition.
 FILE_BYTES = 256 << 20
+#: Bytes of record files that a task reads, about; small tables have two tasks for each core, or one for each file.
+READ_BYTES = 32 << 20
 ENTRY = np.dtype([("offset", "<u8"), ("n", "<u8"), ("known", "u1"), ("id", "<i8")])
 VOCABULARY = "word_bpe_49k.json"
 
@@ -271,18 +273,24 @@ def read_records(spark: SparkSession, url: str, id_col: str = "doc_id") -> DataF
 
     ``ids`` is binary, little-endian u32 whatever the files hold.
 
-    One task per file; a file is read record by record. Every checksum is verified.
+    A task reads neighbouring files of about ``READ_BYTES``, record by record, as every task costs processes where its
+    rows are written to a local disk. Every checksum is verified.
     """
     fs, root = file_system(url)
     with fs.open_input_stream(f"{root}/manifest.json") as f:
         manifest = json.loads(f.read())
-    files = spark.createDataFrame([(m["name"], m["start"], m["size"]) for m in manifest], "name string, start long, size int")
-    files = files.repartition(max(1, len(manifest)), "name")
+    total = sum(m["bytes"] for m in manifest)
+    tasks = min(len(manifest), max(2 * spark.sparkContext.defaultParallelism, -(-total // READ_BYTES)))
+    groups: dict[int, list] = {}
+    before = 0
+    for m in manifest:
+        groups.setdefault((before + m["bytes"] // 2) * tasks // total, []).append((m["name"], m["start"], m["size"]))
+        before += m["bytes"]
 
     def run(batches):
         fs, root = file_system(url)
         for batch in batches:
-            for name, start, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, start, size in (f for g in batch.column(0).to_pylist() for f in groups.get(g, ())):
                 index = read_index(fs, f"{root}/{name}.index")
                 ids = [int(k) if known else None for k, known in zip(index["id"], index["known"], strict=True)]
                 starts = start + np.r_[0, np.cumsum(index["n"].astype(np.int64))[:-1]]
@@ -298,7 +306,7 @@ def read_records(spark: SparkSession, url: str, id_col: str = "doc_id") -> DataF
                             payloads.append(np.frombuffer(payload, f"<u{size}").astype("<u4").tobytes())
                         yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + 512], pa.int64()), pa.array(starts[a : a + 512]), pa.array(payloads, pa.binary())], [id_col, "start", "ids"])
 
-    return files.mapInArrow(run, T.StructType([T.StructField(id_col, T.LongType()), T.StructField("start", T.LongType()), T.StructField("ids", T.BinaryType())]))
+    return spark.range(0, tasks, 1, max(1, tasks)).mapInArrow(run, T.StructType([T.StructField(id_col, T.LongType()), T.StructField("start", T.LongType()), T.StructField("ids", T.BinaryType())]))
 
 
 def read_shuffled(url: str, seed: int = 0):
