@@ -4,7 +4,7 @@ import os
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from waybill.llm.common import components, file_system, shared_dir, written_by_workers
+from waybill.llm.common import components, file_system, shared_dir, trimmed, written_by_workers
 from waybill.llm.suffix_dedup import remove_repeats
 
 
@@ -65,3 +65,21 @@ def test_working_tables_start_no_processes(spark):
     assert all(r.spans for r in remove_repeats(spark, docs).collect())
     made = set(glob.glob(f"{folder}/waybill-*")) - before
     assert made and not [p for m in made for p in os.listdir(m) if p.endswith(".crc")]
+
+
+def test_workers_give_memory_back():
+    import re
+
+    def resident():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"Pss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+    def run(batches):
+        held = [bytes(50_000) for _ in range(4000)]  # pieces that malloc keeps behind the last one when they go
+        tail.append(bytes(50_000))
+        yield from (batches, len(held))
+
+    tail = []
+    before = resident()
+    assert list(trimmed(run)([1])) == [[1], 4000]
+    assert resident() - before < 100

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import os
 import re
 import tempfile
@@ -86,7 +88,7 @@ def written_by_workers(spark: SparkSession, df: DataFrame, name: str, made: tupl
         return spark.read.schema(schema).parquet(path), path
     _, root = file_system(path)
     os.makedirs(root, exist_ok=True)
-    names = df.mapInArrow(_parquet_writer(root, to_arrow_schema(schema), made[0] if made else None), "name string").collect()
+    names = df.mapInArrow(trimmed(_parquet_writer(root, to_arrow_schema(schema), made[0] if made else None)), "name string").collect()
     for n, row in enumerate(names):
         os.rename(f"{root}/{row.name}", f"{root}/part-{n:05d}.parquet")
     return spark.read.schema(schema).parquet(path), path
@@ -124,6 +126,18 @@ def _parquet_writer(root: str, schema: pa.Schema, made):
     return run
 
 
+def trimmed(run):
+    """``run`` over batches; after the last one the worker, which later tasks use again, gives freed memory back."""
+
+    def and_trim(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return and_trim
+
+
 def with_end(batches):
     """The batches, then None."""
     yield from batches

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import components, remove
+from .common import components, remove, trimmed
 from .common import written_by_workers as written
 
 SHINGLE = 5
@@ -74,7 +74,7 @@ def set_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             all_of = np.array(found, np.uint64).reshape(-1, len(made)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(c) for c in all_of.T.copy())], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -91,7 +91,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
                 names = np.array([_name(f) for f in found], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(names), _lists(found)], ["fp", "held"])
 
-    return texts.mapInArrow(run, "fp long, held array<long>")
+    return texts.mapInArrow(trimmed(run), "fp long, held array<long>")
 
 
 def _prefixes(texts: DataFrame, common, size: int, threshold: Fraction) -> DataFrame:
@@ -125,12 +125,16 @@ def _prefixes(texts: DataFrame, common, size: int, threshold: Fraction) -> DataF
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["token", "fp", "n", "pos"])
 
-    return texts.mapInArrow(run, "token long, fp long, n int, pos int")
+    return texts.mapInArrow(trimmed(run), "token long, fp long, n int, pos int")
 
 
 def _common(spark: SparkSession, texts: DataFrame, size: int):
-    """Broadcast (sorted shingles that come last, times each is in the sampled ``texts``)."""
-    tokens = _sets(texts, size).select(F.explode("held").alias("token")).groupBy("token").count().where(F.col("count") >= COMMON)
+    """Broadcast (sorted shingles that come last, times each is in the sampled ``texts``).
+
+    Most shingles are in one text, so they are dealt out before they are counted: a table of a task's own would only grow.
+    """
+    tokens = _sets(texts, size).select(F.explode("held").alias("token")).repartition("token")
+    tokens = tokens.groupBy("token").count().where(F.col("count") >= COMMON)
     found = tokens.orderBy(F.desc("count"), "token").limit(MAX_COMMON).toArrow()
     token = found.column(0).to_numpy().view(np.uint64)
     order = np.argsort(token)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import file_system, shared_path
+from .common import file_system, shared_path, trimmed
 
 #: Fixed value: what is added to a rotated checksum, so that a checksum of data that holds checksums stays useful.
 MASK_DELTA = 0xA282EAD8
@@ -247,7 +247,7 @@ def write_records(
         row = [part, name, len(index) // ENTRY.itemsize, ids, offset, size]
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["part", "name", "records", "ids", "bytes", "size"])
 
-    done = parts.mapInArrow(run, "part long, name string, records long, ids long, bytes long, size long").collect()
+    done = parts.mapInArrow(trimmed(run), "part long, name string, records long, ids long, bytes long, size long").collect()
     manifest, start = [], 0
     for r in sorted(done, key=lambda r: r["part"]):
         if r["records"]:
