@@ -19,6 +19,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of rows that a Python worker holds for one row group of a working table.
 GROUP_BYTES = 8 << 20
+#: Links, up to this number (16 bytes each), that one task of ``components`` may take where a caller allows it.
+FEW_LINKS = 500_000
 #: Words of the counting contracts: runs of anything but space and \t..\r, as bytes.split() cuts them.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
@@ -131,13 +133,18 @@ def trimmed(run):
 
     def and_trim(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
     return and_trim
 
 
+def give_back() -> None:
+    """This process gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def with_end(batches):
     """The batches, then None."""
     yield from batches
@@ -172,13 +179,23 @@ def flat_components(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
     return label
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+def _solved(batches):
+    """Batches of links ``a, b``, all of them -> ``node, root`` of every node."""
+    ends = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if ends:
+        a, b = (np.concatenate(x) for x in zip(*ends, strict=True))
+        nodes, at = np.unique(np.r_[a, b], return_inverse=True)
+        label = flat_components(at[: len(a)], at[len(a) :], len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], ["node", "root"])
+
+
+def components(spark: SparkSession, edges: DataFrame, few: int = 0) -> DataFrame:
     """Connected components by alternating large-star and small-star rounds.
 
     ``edges`` has long columns ``a`` and ``b``. Returns ``node, root`` for each node with a link, ``root``
     being the smallest node reachable. Every round is cut by a written table; a node's neighbours meet only
     in partial minimum aggregates and in joins that adaptive execution may split, so a hub never gathers
-    in one task.
+    in one task. ``few`` links at most, counted, are one task's work instead: each round is some jobs.
     """
 
     def stars(pairs: DataFrame, large: bool) -> DataFrame:
@@ -200,6 +217,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         return tuple(row)
 
     now, path = written_by_workers(spark, edges.select("a", "b").where("a <> b"), "links")
+    if few and now.count() <= few:
+        found, _ = written_by_workers(spark, now.coalesce(1), "classes", (_solved, "node long, root long"))
+        remove(spark, path)
+        return found
     before = None
     while (after := state(now))[0] and after != before:
         before, old = after, path

@@ -1,11 +1,14 @@
 """Near copies by word shingles: all pairs of texts whose sets of shingles reach a Jaccard similarity.
 
 Most are found by SimHash: fingerprints of the sets, linked by deletion-variant signatures, and verified on the whole
-sets. Few bits cannot reach every pair of that similarity, so prefix filtering adds the rest: under one order of all
-shingles, two sets that are similar enough share a shingle among the first of each. The order puts shingles that a sample
-shows to be common last, so that few sets meet in one; any order gives the same pairs. Every candidate is verified on the
-whole sets, so no pair is lost or made up. Sets of one class need not meet again: before all others do, those that share a
-shingle meet centres of it in rounds, so that a large group of near copies is one class by then and not all its pairs.
+sets. Few bits cannot reach every pair of that similarity, so prefix filtering adds the rest. It does not compare single
+shingles, of which more and more are in several texts by chance as a corpus grows, but parts: the shingles of a set that
+fall into the same one of as many ranges of values as its size calls for. A shingle that one of two sets lacks spoils one
+part, so sets that are similar enough have equal parts, and under one order of all parts share one among the first of each.
+The order puts parts last whose shingles a sample all shows to be common, and parts of many shingles first, so that hardly
+any sets but near copies meet in one; any order gives the same pairs. Every candidate is verified on the whole sets, so no
+pair is lost or made up. Sets of one class need not meet again: before all others do, those that share a part meet centres
+of it in rounds, so that a large group of near copies is one class by then and not all its pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import components, remove, trimmed
+from .common import FEW_LINKS, components, give_back, remove, trimmed
 from .common import written_by_workers as written
 
 SHINGLE = 5
@@ -31,6 +34,9 @@ SAMPLE = 50_000
 MARKS = 4
 #: Shingles that come last are in so many sampled texts at least, and this number (16 bytes each) at most is broadcast.
 COMMON, MAX_COMMON = 3, 500_000
+#: Sets of under FIRST shingles have each shingle as a part; up to SPREAD times as many shingles have FIRST_BITS bits of ranges, up to
+#: SPREAD times as many as these two bits more, and so on: 0.8 to 3.2 shingles a range, so that more parts than can be spoilt hold any.
+FIRST, SPREAD, FIRST_BITS = 13, 4, 4
 #: Names that a task remembers to send the prefix of a repeated set once.
 REMEMBERED = 100_000
 #: Rounds before all sets meet, at most, while there could be more pairs a row than the second number; a round draws about the third of
@@ -94,8 +100,44 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(trimmed(run), "fp long, held array<long>")
 
 
+def _levels(n: int, threshold: Fraction) -> list[tuple[int, int]]:
+    """(bits of the ranges, parts that can be spoilt at most) for a set of n shingles; 0 bits: each shingle is a part.
+
+    Two sets meet at the level of the larger one, so a set is at those of all sizes from its own to the largest similar.
+    """
+    part, whole = threshold.numerator, threshold.denominator
+    reach, out, end, bits = n * whole // part, [], FIRST, 0
+    while True:
+        if n < end:
+            out.append((bits, (n + min(reach, end - 1)) * (whole - part) // (whole + part) if bits else 0))
+        if reach < end:
+            return out
+        bits, end = bits + 2 if bits else FIRST_BITS, end * SPREAD
+
+
+def _parts(found: np.ndarray, rank: np.ndarray, threshold: Fraction) -> np.ndarray:
+    """The first parts of a set under the order, as many as can decide, at each of its levels, as numbers of 64 bits.
+
+    ``rank`` is how common each shingle is. Where all parts of a level could be spoilt, all are given, and single shingles
+    too: there it meets sets of the same kind; sets of more parts have one that is left in any case.
+    """
+    n, out, alone = len(found), [], False
+    single = np.lexsort((found, rank))[: n - -(-n * threshold.numerator // threshold.denominator) + 1]
+    for bits, spoilt in _levels(n, threshold):
+        if bits:
+            ranges = found >> np.uint64(64 - bits)
+            starts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]])
+            name = np.add.reduceat(found, starts) + np.uint64(bits * 0x9E3779B97F4A7C15 % 2**64)
+            order = np.lexsort((name, -np.diff(np.r_[starts, n]), np.minimum.reduceat(rank, starts)))
+            out.append(name[order[: spoilt + 1]])
+        if not alone and (not bits or len(name) <= spoilt):
+            out.append(found[single])
+            alone = True
+    return np.concatenate(out)
+
+
 def _prefixes(texts: DataFrame, common, size: int, threshold: Fraction) -> DataFrame:
-    """``token, fp, n, pos``: the first shingles of every text's set under the order, as many as can decide.
+    """``token, fp, n``: the first parts of every text's set, and the set's name and number of shingles.
 
     A task leaves out most sets that it has seen; other repeats stay.
     """
@@ -118,14 +160,13 @@ def _prefixes(texts: DataFrame, common, size: int, threshold: Fraction) -> DataF
                     if len(last):
                         spot = np.minimum(np.searchsorted(last, found), len(last) - 1)
                         rank = np.where(last[spot] == found, times[spot], 0)
-                    first = found[np.lexsort((found, rank))[: n - -(-n * threshold.numerator // threshold.denominator) + 1]]
+                    first = _parts(found, rank, threshold)
                     m = len(first)
-                    name = np.full(m, own, np.uint64)
-                    out.append((first.view(np.int64), name.view(np.int64), np.full(m, n, np.int32), np.arange(m, dtype=np.int32)))
+                    out.append((first.view(np.int64), np.full(m, own, np.uint64).view(np.int64), np.full(m, n, np.int32)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["token", "fp", "n", "pos"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["token", "fp", "n"])
 
-    return texts.mapInArrow(trimmed(run), "token long, fp long, n int, pos int")
+    return texts.mapInArrow(trimmed(run), "token long, fp long, n int")
 
 
 def _common(spark: SparkSession, texts: DataFrame, size: int):
@@ -138,15 +179,18 @@ def _common(spark: SparkSession, texts: DataFrame, size: int):
     found = tokens.orderBy(F.desc("count"), "token").limit(MAX_COMMON).toArrow()
     token = found.column(0).to_numpy().view(np.uint64)
     order = np.argsort(token)
-    return spark.sparkContext.broadcast((token[order], found.column(1).to_numpy()[order]))
+    out = spark.sparkContext.broadcast((token[order], found.column(1).to_numpy()[order]))
+    del found, token, order
+    give_back()  # also what stages before this one have left on the driver
+    return out
 
 
 def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int, threshold: Fraction) -> DataFrame:
     """Links ``a, b`` whose connected components are those of all pairs of sets with the similarity ``threshold``.
 
     ``nodes`` has the distinct names ``fp`` of the sets of ``docs``, an id ``_rep``, the SimHash ``_sim`` and the parity marks of each.
-    First each set meets the sets that SimHash links it with and a few centres of its shingles; then all sets meet that
-    share a shingle, are not yet connected, and whose parity marks differ in few enough bits.
+    First each set meets the sets that SimHash links it with and a few centres of its parts; then all sets meet that
+    share a part, are not yet connected, and whose parity marks differ in few enough bits.
     """
     part, whole = threshold.numerator, threshold.denominator
     total = nodes.count()
@@ -158,16 +202,19 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
 
     drawn = nodes.where(F.pmod(F.xxhash64("fp"), F.lit(1_000_000)) < F.lit(1_000_000 * SAMPLE / max(total, 1)))
     common = _common(spark, texts_of(drawn), size)
-    centre = F.struct(F.xxhash64("fp", F.pmod("token", F.lit(4))).alias("_"), F.col("fp"), F.col("n"), F.col("pos"))
+    centre = F.struct(F.xxhash64("fp", F.pmod("token", F.lit(4))).alias("_"), F.col("fp"), F.col("n"))
     mates = Window.partitionBy("token")
     index = _prefixes(docs.select(F.col(text_col).cast("string")), common, size, threshold)
     index = index.withColumns({"low": F.min("fp").over(mates), "high": F.max("fp").over(mates), "c": F.min(centre).over(mates)})
-    index, index_at = written(spark, index.where("low < high").select("token", "fp", "n", "pos", "c").distinct(), "shared")
+    index, index_at = written(spark, index.where("low < high").select("token", "fp", "n", "c").distinct(), "shared")
+
+    marks = [f"_m{i}" for i in range(MARKS)]
 
-    def may_reach(n, pos, m, at):
-        """Whether sets of n and m shingles whose first common one is at pos and at can be similar enough."""
-        overlap = F.least(n - pos, m - at) * F.lit(part + whole)
-        return (overlap >= (n + m) * F.lit(part)) & (F.least(n, m) * F.lit(whole) >= F.greatest(n, m) * F.lit(part))
+    def may_reach(rows: DataFrame) -> DataFrame:
+        """Rows whose two sets may be similar enough by their sizes and marks."""
+        n, m = F.col("n"), F.col("n2")
+        differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}2"))) for c in marks[1:]), F.bit_count(F.col(marks[0]).bitwiseXOR(F.col(f"{marks[0]}2"))))
+        return rows.where(F.least(n, m) * F.lit(whole) >= F.greatest(n, m) * F.lit(part)).where(differ * F.lit(part + whole) <= (n + m) * F.lit(whole - part))
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         pairs, pairs_at = written(spark, pairs.distinct(), f"{name}-pairs")
@@ -191,29 +238,24 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
     ends = by_sim.toDF("_sim", "fp2")
     alike = near.join(by_sim, near["a"] == by_sim["_sim"]).select("b", F.col("first").alias("fp")).join(ends, F.col("b") == ends["_sim"]).select("fp", "fp2")
     alike = alike.unionAll(nodes.join(by_sim, "_sim").where(F.col("fp") != F.col("first")).select("fp", F.col("first").alias("fp2")))
-    stars = index.where(F.col("fp") != F.col("c.fp")).where(may_reach(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos")))
-    made = verified(paired(stars.select("fp", F.col("c.fp").alias("fp2")).unionAll(alike)), "star")
-    marks = [f"_m{i}" for i in range(MARKS)]
+    marked = nodes.select("fp", *marks)
+    stars = index.where(F.col("fp") != F.col("c.fp")).select("fp", "n", F.col("c.fp").alias("fp2"), F.col("c.n").alias("n2")).distinct()
+    stars = may_reach(stars.join(marked, "fp").join(marked.toDF("fp2", *(f"{c}2" for c in marks)), "fp2"))
+    made = verified(paired(stars.select("fp", "fp2").unionAll(alike)), "star")
 
     def apart() -> tuple[DataFrame, str]:
-        """The rows of ``index`` whose shingle is in several classes, with class and marks."""
-        found = components(spark, made)
-        placed = index.join(found, index["fp"] == found["node"], "left").select("token", "fp", "n", "pos", F.coalesce("root", "fp").alias("root"))
+        """The rows of ``index`` whose part is in several classes, with class and marks."""
+        found = components(spark, made, FEW_LINKS)
+        placed = index.join(found, index["fp"] == found["node"], "left").select("token", "fp", "n", F.coalesce("root", "fp").alias("root"))
         placed, placed_at = written(spark, placed, "placed")
         classes = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-        rows = placed.join(classes, "token", "left_semi").join(nodes.select("fp", *marks), "fp")
-        rows = written(spark, rows.select("token", "fp", "n", "pos", "root", *marks), "apart")
+        rows = placed.join(classes, "token", "left_semi").join(marked, "fp")
+        rows = written(spark, rows.select("token", "fp", "n", "root", *marks), "apart")
         remove(spark, placed_at)
         return rows
 
-    def candidates(rows: DataFrame) -> DataFrame:
-        """Rows whose two sets are of different classes and, by places and marks, may be similar enough."""
-        differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}2"))) for m in marks[1:]), F.bit_count(F.col(marks[0]).bitwiseXOR(F.col(f"{marks[0]}2"))))
-        rows = rows.where("root <> root2").where(may_reach(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
-        return rows.where(differ * F.lit(part + whole) <= (F.col("n") + F.col("n2")) * F.lit(whole - part))
-
     x, apart_at = apart()
-    twice = ["fp", "n", "pos", "root", *marks]
+    twice = ["fp", "n", "root", *marks]
     for turn in range(ROUNDS):
         sizes = x.groupBy("token").count()
         rows, pairs = sizes.agg(F.sum("count"), F.sum(F.expr("count * (count - 1.0) / 2"))).first()
@@ -221,7 +263,7 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
             break
         drawn = x.join(sizes, "token").where(F.pmod(F.xxhash64("fp", "token", F.lit(turn)), F.col("count")) < CENTRES)
         met = x.join(drawn.select("token", *(F.col(c).alias(f"{c}2") for c in twice)), "token")
-        more = verified(paired(candidates(met)), "round")
+        more = verified(paired(may_reach(met.where("root <> root2"))), "round")
         if more.isEmpty():
             break
         made = made.unionAll(more)
@@ -229,7 +271,7 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
         x, apart_at = apart()
     remove(spark, index_at)
     y = x.toDF("token", *(f"{c}2" for c in twice))
-    rest = candidates(x.join(y, "token").where("fp < fp2"))
+    rest = may_reach(x.join(y, "token").where("fp < fp2 AND root <> root2"))
     made = made.unionAll(verified(paired(rest), "rest"))
     remove(spark, apart_at)
     return made

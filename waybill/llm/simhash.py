@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, flat_components, staged, written_by_workers
+from .common import FEW_LINKS, components, flat_components, staged, written_by_workers
 
 #: Members of a bucket that one task compares; larger buckets are cut into tiles of two blocks.
 BUCKET = 4096
@@ -172,7 +172,7 @@ def links(spark: SparkSession, prints: DataFrame, max_bits: int = 4, bucket: int
     return parts.mapInArrow(_bucket_links(max_bits), "a long, b long").distinct()
 
 
-def _classes(spark: SparkSession, prints: DataFrame, id_col: str, link) -> DataFrame:
+def _classes(spark: SparkSession, prints: DataFrame, id_col: str, link, few: int = 0) -> DataFrame:
     """``fp, _rep`` (smallest id of the fingerprint, null last) and ``_root`` (its class) of every fingerprint of ``prints``.
 
     Other columns of ``prints`` come along: ``_tid`` is that of the smallest id, others depend on the fingerprint alone.
@@ -182,7 +182,7 @@ def _classes(spark: SparkSession, prints: DataFrame, id_col: str, link) -> DataF
     best = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("_rep"), *tid)).alias("best")
     nodes = prints.groupBy(F.col("_fp").alias("fp")).agg(best, *(F.first(c).alias(c) for c in rest))
     nodes, _ = written_by_workers(spark, nodes.select("fp", *(f"best.{c}" for c in ("_rep", *tid)), *rest), "nodes")
-    found = components(spark, link(nodes))
+    found = components(spark, link(nodes), few)
     placed = nodes.join(found, nodes["fp"] == found["node"], "left")
     return placed.select("fp", "_rep", *tid, F.coalesce("root", "fp").alias("_root"))
 
@@ -226,7 +226,7 @@ def keep_winners(spark: SparkSession, docs: DataFrame, id_col: str, text_col: st
     """
     tid = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")))
     prints = staged(spark, name(docs.withColumn("_tid", tid), [id_col, "_tid"]), "prints")
-    placed = _classes(spark, prints, id_col, link)
+    placed = _classes(spark, prints, id_col, link, FEW_LINKS)
     order = F.struct(F.col("_rep").isNull().alias("none"), F.col("_rep").alias("id"), F.col("fp"), F.col("_tid").alias("tid"))
     winners = placed.groupBy("_root").agg(F.min(order).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.tid").alias("_wtid"))
     winners, _ = written_by_workers(spark, winners, "winners")
