@@ -40,7 +40,7 @@ FIRST, SPREAD, FIRST_BITS = 13, 4, 4
 #: Names that a task remembers to send the prefix of a repeated set once.
 REMEMBERED = 100_000
 #: Rounds before all sets meet, at most, while there could be more pairs a row than the second number; a round draws about the third of
-#: a shingle's sets as centres. Only speed depends on them.
+#: a part's sets as centres. Only speed depends on them.
 ROUNDS, PAIRS_A_ROW, CENTRES = 3, 8, 16
 
 
@@ -207,7 +207,6 @@ def links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, id_col: str, t
     index = _prefixes(docs.select(F.col(text_col).cast("string")), common, size, threshold)
     index = index.withColumns({"low": F.min("fp").over(mates), "high": F.max("fp").over(mates), "c": F.min(centre).over(mates)})
     index, index_at = written(spark, index.where("low < high").select("token", "fp", "n", "c").distinct(), "shared")
-
     marks = [f"_m{i}" for i in range(MARKS)]
 
     def may_reach(rows: DataFrame) -> DataFrame:
